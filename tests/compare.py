@@ -1,0 +1,73 @@
+"""Runs registered queries next to their SQL and compares the results as row multisets."""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+NAMES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for n in NAMES:
+        con.execute(f"create view {n} as select * from '{sf_dir}/{n}.parquet'")
+    return con
+
+
+def rows_of_sql(con, sql: str):
+    cur = con.execute(sql)
+    names = [d[0] for d in cur.description]
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(names), Counter(tuple(r[i] for i in order) for r in cur.fetchall())
+
+
+def rows_of_spark(df):
+    names = sorted(df.columns)
+    return names, Counter(tuple(r) for r in df.select(*names).collect())
+
+
+def difference(spark, con, name: str, sf_dir: str) -> str | None:
+    import __spark_entry__ as entry
+
+    got_names, got = rows_of_spark(entry.queries()[name](spark, sf_dir))
+    want_names, want = rows_of_sql(con, entry.oracle_sql()[name])
+    if got_names != want_names:
+        return f"columns {got_names} vs {want_names}"
+    if got != want:
+        extra, lacking = got - want, want - got
+        return (
+            f"rows {got.total()} vs {want.total()}, {extra.total()} extra, {lacking.total()} lacking\n"
+            f"  spark {list(extra)[:2]}\n  sql   {list(lacking)[:2]}"
+        )
+    if not got.total():
+        return "no rows"
+    return None
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    import __spark_entry__ as entry
+    from tallyworks.session import build_session
+
+    sf = sys.argv[1]
+    picked = sys.argv[2:] or list(entry.queries())
+    session = build_session(
+        "compare", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+                      "spark.driver.memory": "8g"}
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    db = database(sf)
+    for q in picked:
+        t = time.time()
+        try:
+            bad = difference(session, db, q, sf)
+        except Exception as e:  # noqa: BLE001
+            bad = f"{type(e).__name__} {str(e)[:600]}"
+        print(f"{q:30s} {time.time() - t:6.2f}s {'ok' if bad is None else bad}", flush=True)
