@@ -3,6 +3,7 @@ from tallyworks.functions.columns import (
     STRICT_STATUS_CODES,
     date_key,
     default_processing_date,
+    iso_date,
     margin_percent,
     new_run_id,
     row_hash,
@@ -18,6 +19,7 @@ __all__ = [
     "STRICT_STATUS_CODES",
     "date_key",
     "default_processing_date",
+    "iso_date",
     "margin_percent",
     "new_run_id",
     "row_hash",

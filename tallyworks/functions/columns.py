@@ -55,6 +55,15 @@ def standardise_status_strict(
     return F.coalesce(F.try_element_at(table, _col(c)), F.lit(UNKNOWN_STATUS))
 
 
+def iso_date(c: Column | str) -> Column:
+    """Text that is exactly ``yyyy-MM-dd`` as a date, anything else as null.
+
+    The pattern keeps out the other spellings a cast takes; the cast parses faster than a formatter.
+    """
+    c = _col(c)
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), c.try_cast("date"))
+
+
 def row_hash(cols: Sequence[str]) -> Column:
     """MD5 over the columns as text, joined by ``|``, null written as the empty string."""
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]))

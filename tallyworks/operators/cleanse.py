@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.contracts import MONEY
-from tallyworks.functions import standardise_status
+from tallyworks.functions import iso_date, standardise_status
 
 AMOUNTS = ("quantity", "unit_price", "total_amount")
 REQUIRED = ("order_id", "order_date", "customer_id", "product_id")
@@ -19,7 +19,7 @@ DEFAULTS = {"region": "UNKNOWN", "sales_rep_id": "UNASSIGNED"}
 def parse_types(df: DataFrame, date_col: str = "order_date", amounts: Sequence[str] = AMOUNTS) -> DataFrame:
     """Dates from ``yyyy-MM-dd`` text and amounts as DECIMAL(18,4); unreadable text becomes null."""
     parsed = (
-        F.try_to_date(date_col, "yyyy-MM-dd")
+        iso_date(date_col)
         if isinstance(df.schema[date_col].dataType, T.StringType)
         else F.col(date_col).cast("date")
     )

@@ -172,19 +172,26 @@ def effective_changes(
     staged: DataFrame,
     keys: Sequence[str] = ("order_id",),
     cols: HistoryColumns = SILVER_HISTORY,
+    small_batch: bool = False,
 ) -> DataFrame:
     """The staged rows that are new or changed; the merge of these equals the merge of all.
 
-    Only keys and hashes of the target are read.
+    Only keys and hashes of the target are read. ``small_batch`` says that the batch's keys were
+    counted to fit a broadcast: the target is then cut to those keys before anything is shuffled.
     """
     keys = list(keys)
-    held = target.where(F.col(cols.is_current)).select(
-        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col(cols.source_hash).alias("_t_hash")
+    held = target.where(F.col(cols.is_current)).select(*keys, cols.source_hash)
+    if small_batch:
+        held = held.join(F.broadcast(staged.select(*keys)), keys, "left_semi")
+    # One row per key already, unless the table is damaged: then every current row must agree.
+    agreed = held.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(
+        F.min(cols.source_hash).alias("_lo"), F.max(cols.source_hash).alias("_hi")
     )
-    same = F.coalesce(F.col("_t_hash") == F.col(cols.source_hash), F.lit(True))
+    h = F.col(cols.source_hash)
+    same = F.coalesce((F.col("_lo") == h) & (F.col("_hi") == h), F.lit(True))
     for k in keys:
         same = same & (F.col(k) == F.col(f"_t_{k}"))
-    return staged.join(held, same, "left_anti")
+    return staged.join(agreed, same, "left_anti")
 
 
 def change_feed(classified: DataFrame, run_ts: datetime, cols: HistoryColumns = SILVER_HISTORY) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyworks.contracts import SILVER_ORDERS, conform_to_contract
 from tallyworks.functions import row_hash, standardise_status
@@ -90,15 +91,17 @@ def merge_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: dat
     target = table.read(spark)
     # The batch is computed once. Redelivered, unchanged orders leave here and cost no rewrite.
     batch = stage(staged, "silver-batch")
-    changes = stage(scd2.effective_changes(target, batch), "silver-changes")
+    few = batch.count() <= BROADCAST_ROWS
+    changes = stage(scd2.effective_changes(target, batch, small_batch=few), "silver-changes")
     n = changes.count()
     if n == 0:
         return 0
-    ids = changes.select("order_id")
+    few = n <= BROADCAST_ROWS
+    ids = F.broadcast(changes.select("order_id")) if few else changes.select("order_id")
     held_in = target.where("_is_current").join(ids, "order_id", "left_semi").select(*months)
     affected = [tuple(r) for r in held_in.unionByName(changes.select(*months)).distinct().collect()]
     part = table.read(spark, affected)
-    merged = scd2.merge(part, changes, run_ts, small_batch=n <= BROADCAST_ROWS)
+    merged = scd2.merge(part, changes, run_ts, small_batch=few)
     write_months(merged, table, affected, optimize)
     return n
 

@@ -42,6 +42,7 @@ from tallyworks.sources import (
 )
 from tallyworks.sources.files import CATALOGUE_JSON, CRM_JSON
 from tallyworks.sources.layout import files_for
+from tallyworks.session import stage
 from testbed import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,7 +236,8 @@ def scd2_current_count(spark, sf):
 @query(CUSTOMER)
 def dim_customer(spark, sf):
     first, later = tb.customer_deliveries(spark, sf)
-    return star.dim_customer(later, tb.RUN_2, star.dim_customer(first, tb.RUN_1))
+    held = stage(star.dim_customer(first, tb.RUN_1), "customer")
+    return star.dim_customer(later, tb.RUN_2, held, store=lambda df: stage(df, "tagged"))
 
 
 @query("product_sk:l product_id:s sku:s product_name:s category:s subcategory:s unit_price:d cost_price:d is_current:b")
@@ -254,16 +256,17 @@ def dim_date(spark, sf):
 
 
 def _dims(spark, sf):
+    """Customer, product and employee dimension, stored as a warehouse would hold them."""
     return (
-        star.dim_customer(tb.customers(spark, sf), tb.RUN_1),
-        star.dim_product(tb.products(spark, sf), tb.RUN_1),
-        star.dim_employee(tb.representatives(spark, sf), tb.RUN_1),
+        stage(star.dim_customer(tb.customers(spark, sf), tb.RUN_1), "customer"),
+        stage(star.dim_product(tb.products(spark, sf), tb.RUN_1), "product"),
+        stage(star.dim_employee(tb.representatives(spark, sf), tb.RUN_1), "employee"),
     )
 
 
-def _fact(spark, sf, dims):
-    resolved = star.resolve_keys(tb.staged_orders(spark, sf), *dims)
-    return star.fact_orders(resolved, tb.RUN_1, fn.new_run_id(tb.RUN_1))
+def _fact(orders, dims, run_ts=tb.RUN_1, run_id=fn.new_run_id(tb.RUN_1)):
+    """Facts of the orders; resolved orders are stored, since numbering them reads them twice."""
+    return star.fact_orders(stage(star.resolve_keys(orders, *dims), "resolved"), run_ts, run_id)
 
 
 @query("order_id:s customer_id:s customer_name:s product_id:s product_name:s category:s order_year:l order_month:l")
@@ -274,13 +277,13 @@ def silver_enriched(spark, sf):
 
 @query(FACT)
 def fact_sales_orders(spark, sf):
-    return _fact(spark, sf, _dims(spark, sf))
+    return _fact(tb.staged_orders(spark, sf), _dims(spark, sf))
 
 
 @query("order_id:s customer_id:s product_id:s unresolved:s")
 def fact_unresolved(spark, sf):
     first, _ = tb.customer_deliveries(spark, sf)
-    dims = star.dim_customer(first, tb.RUN_1), *_dims(spark, sf)[1:]
+    dims = stage(star.dim_customer(first, tb.RUN_1), "customer"), *_dims(spark, sf)[1:]
     return star.unresolved_orders(star.resolve_keys(tb.staged_orders(spark, sf), *dims))
 
 
@@ -289,8 +292,9 @@ def fact_upsert(spark, sf):
     """Facts of the first batch, then the second batch replacing them by order."""
     dims = _dims(spark, sf)
     first, second = tb.silver_batches(spark, sf)
-    old = star.fact_orders(star.resolve_keys(first, *dims), tb.RUN_1, "RUN-1")
-    return star.upsert_fact(old, star.fact_rows(star.resolve_keys(second, *dims), tb.RUN_2, "RUN-2"))
+    old = stage(_fact(first, dims, run_id="RUN-1"), "fact")
+    rows = stage(star.fact_rows(star.resolve_keys(second, *dims), tb.RUN_2, "RUN-2"), "rows")
+    return star.upsert_fact(old, rows, lambda df: stage(df, "matched"))
 
 
 # Summary and reports
@@ -299,7 +303,7 @@ def fact_upsert(spark, sf):
 @query(SUMMARY)
 def daily_summary_full(spark, sf):
     dims = _dims(spark, sf)
-    return summary.daily_summary(_fact(spark, sf, dims), dims[1], tb.RUN_1)
+    return summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_1)
 
 
 @query(SUMMARY)
@@ -308,20 +312,19 @@ def daily_summary_replace_date(spark, sf):
     dims = _dims(spark, sf)
     first, _ = tb.silver_batches(spark, sf)
     day = "1998-03-02"
-    early = star.fact_orders(star.resolve_keys(first, *dims), tb.RUN_1)
-    old = summary.daily_summary(early, dims[1], tb.RUN_1)
-    return summary.replace_date(old, summary.daily_summary(_fact(spark, sf, dims), dims[1], tb.RUN_2, day), day)
+    old = summary.daily_summary(_fact(first, dims), dims[1], tb.RUN_1)
+    return summary.replace_date(old, summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_2, day), day)
 
 
 @query("summary_sk:l order_date:a region:s category:s status:s")
 def daily_summary_keys(spark, sf):
     dims = _dims(spark, sf)
-    return summary.number_summary(summary.daily_summary(_fact(spark, sf, dims), dims[1], tb.RUN_1))
+    return summary.number_summary(summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_1))
 
 
 def _overview(spark, sf):
     dims = _dims(spark, sf)
-    return reports.sales_overview(_fact(spark, sf, dims), *dims)
+    return reports.sales_overview(_fact(tb.staged_orders(spark, sf), dims), *dims)
 
 
 @query(OVERVIEW)
@@ -334,6 +337,10 @@ def sales_overview_secured(spark, sf):
     return reports.secured(_overview(spark, sf), tb.entitlements(spark, sf), "NATION_3")
 
 
+def _silver(spark, sf):
+    return conform_to_contract(tb.staged_orders(spark, sf), SILVER_ORDERS)
+
+
 def _enriched(spark, sf):
     names = tb.customers(spark, sf).withColumn("is_current", F.lit(True))
     goods = tb.products(spark, sf).withColumn("is_current", F.lit(True))
@@ -347,7 +354,7 @@ def completed_orders(spark, sf):
 
 @query("year_month:s revenue_usd:d")
 def monthly_revenue(spark, sf):
-    return reports.monthly_revenue(reports.completed_orders(_enriched(spark, sf)))
+    return reports.monthly_revenue(reports.completed_orders(_silver(spark, sf)))
 
 
 @query("customer_name:s revenue_usd:d")
@@ -368,7 +375,7 @@ def region_category_matrix(spark, sf):
     "total_revenue_usd:d order_count:l customer_count:l product_count:l avg_order_value_usd:d first_date:a last_date:a"
 )
 def sales_totals(spark, sf):
-    return reports.sales_totals(reports.completed_orders(_enriched(spark, sf)))
+    return reports.sales_totals(reports.completed_orders(_silver(spark, sf)))
 
 
 # Quality

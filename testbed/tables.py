@@ -47,14 +47,12 @@ def raw_status() -> Column:
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as one delivery of an order; line keys repeat, so orders are redelivered."""
-    places = load(spark, sf_dir, "nation").join(
-        load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    buyers = load(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     joined = (
         load(spark, sf_dir, "lineitem")
         .join(load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     return joined.select(
@@ -125,10 +123,11 @@ def merged_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = load(spark, sf_dir, "nation").join(
-        load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    rows = (
+        load(spark, sf_dir, "customer")
+        .join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    rows = load(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.select(
         F.concat(F.lit("CUST-"), F.col("c_custkey")).alias("customer_id"),
         F.col("c_name").alias("customer_name"),

@@ -1,0 +1,185 @@
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from conftest import RUN, by
+from pyspark.sql import functions as F
+
+from tallyworks.contracts import DAILY_SUMMARY, DIM_CUSTOMER, FACT_ORDERS
+from tallyworks.operators import reports, star, summary
+from tallyworks.operators.keys import assign_surrogate_keys
+
+NEXT = RUN + timedelta(days=1)
+
+
+def test_keys_are_dense_repeatable_and_continue(spark):
+    df = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("bk"))
+    for digits in (1, 4):
+        got = assign_surrogate_keys(df, "sk", ["bk"], digits=digits)
+        assert sorted(r.sk for r in got.collect()) == list(range(1, 5001))
+        again = assign_surrogate_keys(df.repartition(7), "sk", ["bk"], digits=3)
+        assert got.exceptAll(again.select(*got.columns)).count() == 0
+    more = assign_surrogate_keys(spark.range(3).select(F.concat(F.lit("n"), "id").alias("bk")), "sk", ["bk"], got)
+    assert sorted(r.sk for r in more.collect()) == [5001, 5002, 5003]
+
+
+def customers(spark, *rows):
+    names = "customer_id string, customer_name string, industry string, region string, last_modified_date date"
+    df = spark.createDataFrame(list(rows), names)
+    for c in ("account_type", "country", "city", "email", "account_manager_id", "currency"):
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    return df.withColumns({"credit_limit": F.lit(1.5), "is_active": F.lit(None).cast("boolean")})
+
+
+def dims(spark):
+    c = star.dim_customer(
+        customers(spark, ("C7", "Seven", "Toys", "APAC", date(2024, 1, 1)), ("C8", "Eight", "Food", "EMEA", date(2024, 1, 1))), RUN
+    )
+    p = star.dim_product(
+        spark.createDataFrame(
+            [("P3", "Bolt", "Parts", 4.0), ("P4", "Nut", None, 2.5)],
+            "product_id string, product_name string, category string, cost_price double",
+        ),
+        RUN,
+    )
+    e = star.dim_employee(
+        spark.createDataFrame([("R1", "Ann", "North"), ("R1", "Ann", "North"), ("UNASSIGNED", None, None)],
+                              "employee_id string, full_name string, team string"),
+        RUN,
+    )
+    return c, p, e
+
+
+def test_customer_dimension_versions_and_keys(spark):
+    first = star.dim_customer(
+        customers(spark, ("C7", "Seven", "Toys", "APAC", date(2024, 1, 1)), ("C7", "Seven!", "Toys", "APAC", date(2024, 2, 1)),
+                  ("C8", "Eight", "Food", "EMEA", date(2024, 1, 1))), RUN)
+    assert first.schema.names == DIM_CUSTOMER.names
+    assert by(first, "customer_id")["C7"].customer_name == "Seven!"
+    second = star.dim_customer(
+        customers(spark, ("C8", "Eight", "Games", "EMEA", date(2024, 3, 1)), ("C9", "Nine", "Food", "EMEA", date(2024, 3, 1))), NEXT, first)
+    rows = second.collect()
+    assert sorted(r.customer_sk for r in rows) == [1, 2, 3, 4]
+    old = [r for r in rows if r.customer_id == "C8" and not r.is_current][0]
+    assert (old.valid_to, old.customer_sk, old.created_ts) == (NEXT, by(first, "customer_id")["C8"].customer_sk, RUN)
+    assert {r.customer_id for r in rows if r.is_current} == {"C7", "C8", "C9"}
+    third = star.dim_customer(
+        customers(spark, ("C9", "Nine", "Food", "EMEA", date(2024, 4, 1))), NEXT + timedelta(days=1), second)
+    assert third.exceptAll(second).count() == 0 and third.count() == 4
+
+
+def orders(spark):
+    return spark.sql(
+        """SELECT o AS order_id, c AS customer_id, p AS product_id, rep AS sales_rep_id, date '2024-02-28' AS order_date,
+             status, region, cast(q AS decimal(18,4)) AS quantity, cast(10 AS decimal(18,4)) AS unit_price_usd,
+             cast(q * 10 AS decimal(18,4)) AS total_amount_usd, 'USD' AS original_currency,
+             cast(1 AS decimal(18,6)) AS fx_rate_to_usd
+           FROM VALUES ('A1', 'C7', 'P3', 'R1', 'Completed', 'APAC', 3), ('A2', 'C8', 'P4', 'UNASSIGNED', 'Completed', NULL, 1),
+             ('A3', 'C8', 'P3', 'R9', 'Cancelled', 'EMEA', 5), ('A4', 'CX', 'PX', 'R1', 'Pending', 'EMEA', 1),
+             ('A5', 'C7', 'P4', NULL, 'Completed', NULL, 2) AS t(o, c, p, rep, status, region, q)"""
+    )
+
+
+def test_fact_keys_measures_and_unresolved_orders(spark):
+    c, p, e = dims(spark)
+    resolved = star.resolve_keys(orders(spark), c, p, e)
+    fact = star.fact_orders(resolved, RUN, "RUN-1")
+    assert fact.schema.names == FACT_ORDERS.names
+    rows = by(fact)
+    assert sorted(r.sales_order_sk for r in rows.values()) == [1, 2, 3, 4]
+    assert rows["A1"].sales_rep_sk == 1 and rows["A2"].sales_rep_sk is None and rows["A3"].sales_rep_sk is None
+    assert (rows["A1"].date_sk, rows["A1"].cost_amount_usd, rows["A1"].gross_margin_usd) == (20240228, 12, 18)
+    assert [(r.order_id, r.unresolved) for r in star.unresolved_orders(resolved).collect()] == [("A4", "customer_id,product_id")]
+
+
+def test_upsert_keeps_keys_of_known_orders(spark):
+    c, p, e = dims(spark)
+    old = star.fact_orders(star.resolve_keys(orders(spark).where("order_id < 'A3'"), c, p, e), RUN)
+    changed = orders(spark).where("order_id >= 'A2'").withColumn("quantity", F.lit(7).cast("decimal(18,4)"))
+    new = star.upsert_fact(old, star.fact_rows(star.resolve_keys(changed, c, p, e), NEXT))
+    was, now = by(old), by(new)
+    assert now["A1"] == was["A1"]
+    assert (now["A2"].sales_order_sk, now["A2"].created_ts, now["A2"].updated_ts) == (was["A2"].sales_order_sk, RUN, NEXT)
+    assert now["A2"].quantity == 7 and sorted(r.sales_order_sk for r in now.values()) == [1, 2, 3, 4]
+
+
+def test_plain_upsert(spark):
+    a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    b = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    assert sorted(map(tuple, star.upsert_by_key(a, b, ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_summary_numbers(spark):
+    c, p, e = dims(spark)
+    fact = star.fact_orders(star.resolve_keys(orders(spark), c, p, e), RUN)
+    rows = summary.daily_summary(fact, p, RUN).collect()
+    got = {(r.region, r.category): r for r in rows}
+    assert set(got) == {("APAC", "Parts"), ("UNKNOWN", "UNKNOWN")}
+    unknown = got["UNKNOWN", "UNKNOWN"]
+    assert (unknown.order_count, unknown.customer_count, unknown.total_quantity) == (2, 2, 3)
+    assert (unknown.total_revenue_usd, unknown.avg_order_value_usd, unknown.order_quarter) == (30, 15, 1)
+    keyed = summary.number_summary(summary.daily_summary(fact, p, RUN))
+    assert keyed.schema.names == DAILY_SUMMARY.names and sorted(r.summary_sk for r in keyed.collect()) == [1, 2]
+
+
+def test_summary_by_date_equals_full_refresh(spark):
+    c, p, e = dims(spark)
+    days = orders(spark).withColumn("order_date", F.date_add("order_date", (F.crc32("order_id") % 3).cast("int")))
+    fact = star.fact_orders(star.resolve_keys(days, c, p, e), RUN)
+    full = summary.daily_summary(fact, p, RUN)
+    built = full.limit(0)
+    for r in fact.select("order_date").distinct().collect():
+        built = summary.replace_date(built, summary.daily_summary(fact, p, RUN, r.order_date), r.order_date)
+    assert full.exceptAll(built).count() == 0 and full.count() == built.count()
+
+
+def test_replacing_with_nothing_empties_the_date(spark):
+    df = spark.sql("SELECT cast(d AS date) AS order_date FROM VALUES ('2024-01-01'), ('2024-01-02'), (NULL) AS t(d)")
+    left = summary.replace_date(df, df.limit(0), date(2024, 1, 1)).collect()
+    assert sorted(str(r.order_date) for r in left) == ["2024-01-02", "None"]
+
+
+def test_overview_and_security(spark):
+    c, p, e = dims(spark)
+    fact = star.fact_orders(star.resolve_keys(orders(spark), c, p, e), RUN)
+    view = reports.sales_overview(fact, c, p, e)
+    rows = by(view)
+    assert len(view.columns) == 26 and set(rows) == {"A1", "A2", "A5"}
+    assert rows["A1"].sales_rep_name == "Ann" and rows["A2"].sales_rep_name is None
+    assert rows["A1"].gross_margin_pct == Decimal("60.00") and rows["A1"].year_quarter == "2024-Q1"
+    allowed = spark.createDataFrame([("ann", "APAC"), ("ann", "APAC"), ("bob", "EMEA")], "principal string, region string")
+    assert set(by(reports.secured(view, allowed, "ann"))) == {"A1"}
+    assert reports.secured(view, allowed, "eve").count() == 0
+
+
+def test_expired_dimension_rows_leave_inner_joins_but_not_the_left_join(spark):
+    c, p, e = dims(spark)
+    fact = star.fact_orders(star.resolve_keys(orders(spark), c, p, e), RUN)
+    gone = e.withColumn("is_current", F.lit(False))
+    assert by(reports.sales_overview(fact, c, p, gone))["A1"].sales_rep_name is None
+    lost = p.withColumn("is_current", F.col("product_id") != "P4")
+    assert set(by(reports.sales_overview(fact, c, lost, e))) == {"A1"}
+
+
+def test_analysis_reports(spark):
+    silver = spark.sql(
+        """SELECT o AS order_id, cast(d AS date) AS order_date, 2024 AS order_year, 1 AS order_month, c AS customer_id,
+             'N' || c AS customer_name, 'P' AS product_id, 'Bolt' AS product_name, cat AS category, r AS region,
+             'R' AS sales_rep_id, cast(1 AS decimal(18,4)) AS quantity, cast(1 AS decimal(18,4)) AS unit_price_usd,
+             cast(v AS decimal(18,4)) AS total_amount_usd, cur AS _is_current, s AS status
+           FROM VALUES ('1', '2024-01-03', 'a', 'X', 'EMEA', 5, true, 'Completed'), ('2', '2024-01-09', 'b', 'Y', 'EMEA', 7, true, 'Completed'),
+             ('3', '2024-02-01', 'a', 'X', 'APAC', 2, true, 'Completed'), ('4', '2024-02-01', 'a', 'X', 'APAC', 99, false, 'Completed'),
+             ('5', '2024-02-01', 'a', 'X', 'APAC', 99, true, 'Pending') AS t(o, d, c, cat, r, v, cur, s)"""
+    )
+    pack = reports.analysis_pack(silver, ["X", "Y"])
+    assert [tuple(r) for r in pack["monthly_revenue"].collect()] == [("2024-01", 12), ("2024-02", 2)]
+    assert [r.customer_name for r in pack["top_customers"].collect()] == ["Na", "Nb"]
+    assert sorted(map(tuple, pack["region_category_matrix"].collect())) == [("APAC", 2, 0), ("EMEA", 5, 7)]
+    totals = pack["sales_totals"].collect()[0]
+    assert (totals.total_revenue_usd, totals.order_count, totals.customer_count, totals.first_date) == (14, 3, 2, date(2024, 1, 3))
+
+
+def test_calendar(spark):
+    days = star.dim_date(spark.sql("SELECT explode(array(date '2023-12-30', date '2024-01-02', NULL)) AS order_date"))
+    assert [r.date_sk for r in days.orderBy("date_sk").collect()] == [20231230, 20231231, 20240101, 20240102]
+    assert star.dim_date(spark.sql("SELECT cast(NULL AS date) AS order_date")).count() == 0

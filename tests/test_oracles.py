@@ -1,0 +1,35 @@
+"""Every registered query against its SQL on the smallest sample."""
+
+import os
+
+import pytest
+from compare import database, difference
+
+import __spark_entry__ as entry
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+# Deliveries of one line on one day are rare: the smallest sample has none.
+MAY_BE_EMPTY = {"dq_duplicate_keys"}
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="sample tables are not here")
+
+
+@pytest.fixture(scope="module")
+def db():
+    return database(SF)
+
+
+def test_every_query_has_its_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_equals_sql(spark, db, name):
+    bad = difference(spark, db, name, SF)
+    assert bad is None or (name in MAY_BE_EMPTY and bad == "no rows"), bad
+
+
+def test_flagship_query(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["year_month", "revenue_usd"] and df.count() > 0

@@ -1,0 +1,110 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from conftest import RUN, by
+from pyspark.sql import functions as F
+
+from tallyworks.contracts import BRONZE_ORDERS, CONTROL_LOG, SILVER_ORDERS
+from tallyworks.operators import cleanse as cl
+from tallyworks.operators import control, quality
+from tallyworks.operators.fx import convert_to_usd, usable_rates
+
+
+def test_core_checks_count_each_defect(raw, rates):
+    silver = convert_to_usd(cl.cleanse(raw), usable_rates(rates, "2024-03-01"))
+    got = by(quality.core_checks(silver), "check_name")
+    assert {k: r.failed_rows for k, r in got.items()} == {
+        "no_null_order_ids": 0, "positive_quantity": 1, "known_status": 1, "non_negative_revenue": 1, "non_empty": 0,
+    }
+    assert got["positive_quantity"].detail == "1 rows with quantity <= 0" and not got["positive_quantity"].passed
+    assert got["non_empty"].passed and got["non_empty"].detail == "Total rows: 6"
+
+
+def test_empty_frame_only_fails_non_empty(spark):
+    empty = spark.sql("SELECT 'a' AS order_id, 1.0 AS quantity, 'b' AS status, 1.0 AS total_amount_usd").limit(0)
+    got = {r.check_name: r.passed for r in quality.core_checks(empty).collect()}
+    assert [k for k, ok in got.items() if not ok] == ["non_empty"]
+
+
+def test_contract_rules_pass_null_rows_but_not_null_columns(raw):
+    typed = cl.parse_types(raw)
+    got = {r.check_name: r.failed_rows for r in quality.contract_checks(typed, BRONZE_ORDERS).collect()}
+    assert got == {"order_id_not_null": 0, "ingestion_date_not_null": 0, "quantity_rule": 1, "total_amount_rule": 1}
+    assert len(quality.contract_rules(SILVER_ORDERS)) == 10
+
+
+def test_dictionary_rules(spark):
+    df = spark.sql(
+        """SELECT region, cast(q AS decimal(18,4)) AS quantity, cast(p AS decimal(18,4)) AS unit_price_usd,
+                  cast(a AS decimal(18,4)) AS total_amount_usd
+           FROM VALUES ('EMEA', 3, 1.3333, 4.0), ('MARS', 3, 1.3333, 4.01), (NULL, NULL, 1, 1) AS t(region, q, p, a)"""
+    )
+    got = {r.check_name: r.failed_rows for r in quality.dictionary_checks(df).collect()}
+    assert got == {"region_domain": 1, "amount_is_quantity_times_price": 1}
+
+
+def test_uniqueness(spark, raw):
+    assert [tuple(r) for r in quality.duplicate_keys(raw, ["order_id"]).collect()] == [("A1", 2)]
+    keyed = quality.uniqueness_check(raw, BRONZE_ORDERS).collect()[0]
+    assert (keyed.failed_rows, keyed.total_rows, keyed.passed) == (2, 6, False)
+    current = raw.withColumn("_is_current", F.col("_source_file") == "B-07")
+    assert quality.uniqueness_check(current, SILVER_ORDERS, "_is_current").collect()[0].passed
+    assert quality.uniqueness_check(raw.limit(0), BRONZE_ORDERS).collect()[0].total_rows == 0
+
+
+def test_gate(raw, rates):
+    checks = quality.core_checks(convert_to_usd(cl.cleanse(raw), usable_rates(rates, "2024-03-01")))
+    with pytest.raises(quality.DataQualityError, match="positive_quantity"):
+        quality.gate(checks)
+    assert len(quality.gate(checks, skip=True)) == 5
+
+
+def test_active_rows_are_required(spark):
+    df = spark.sql("SELECT true AS _is_current")
+    quality.require_active_rows(df)
+    with pytest.raises(quality.DataQualityError):
+        quality.require_active_rows(df.where("NOT _is_current"))
+
+
+@pytest.fixture
+def log(spark):
+    runs = [
+        ("a", "1", "SUCCESS", 5, datetime(2024, 2, 1), datetime(2024, 3, 1, 6), None),
+        ("a", "2", "SUCCESS", 5, datetime(2024, 1, 1), datetime(2024, 3, 1, 9), None),
+        ("a", "3", "FAILED", 0, datetime(2024, 3, 9), datetime(2024, 3, 2, 1), "late"),
+        ("b", "4", "SUCCESS", 5, datetime(2024, 3, 1), datetime(2024, 3, 2, 2), None),
+        ("b", "5", "FAILED", 0, None, datetime(2024, 2, 28, 1), "down"),
+    ]
+    return spark.createDataFrame(runs, CONTROL_LOG.schema)
+
+
+def test_watermarks(log):
+    assert {r.pipeline_name: r.watermark for r in control.last_watermarks(log).collect()} == {
+        "a": datetime(2024, 2, 1), "b": datetime(2024, 3, 1)
+    }
+    assert control.lower_bound(log, "a") == datetime(2024, 2, 1)
+    assert control.lower_bound(log, "new") == datetime(1900, 1, 1)
+
+
+def test_readiness(log):
+    assert control.is_ready(log, "a", "2024-03-01") and not control.is_ready(log, "a", "2024-03-01", exactly_one=True)
+    assert control.is_ready(log, "b", date(2024, 3, 2), exactly_one=True)
+    with pytest.raises(control.SilverNotReady, match="SILVER_NOT_READY"):
+        control.require_ready(log, "a", "2024-03-02")
+
+
+def test_failures(log):
+    assert [r.run_id for r in control.recent_failures(log).collect()] == ["3", "5"]
+    assert [r.run_id for r in control.recent_failures(log, 1).collect()] == ["3"]
+    assert [r.run_id for r in control.failures_since(log, RUN).collect()] == ["3"]
+
+
+def test_repair(log):
+    fixed = by(control.repair(log, "a", date(2024, 3, 2), datetime(2024, 2, 15)), "run_id")
+    assert (fixed["3"].status, fixed["3"].last_watermark, fixed["3"].error_message) == ("SUCCESS", datetime(2024, 2, 15), None)
+    assert fixed["5"].error_message == "down" and len(fixed) == 5
+
+
+def test_run_record(spark):
+    row = control.run_record(spark, "p", "r", control.SUCCESS, RUN, 7, RUN - timedelta(hours=4)).collect()[0]
+    assert tuple(row) == ("p", "r", "SUCCESS", 7, RUN - timedelta(hours=4), RUN, None)
