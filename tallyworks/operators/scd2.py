@@ -162,9 +162,9 @@ def _merge_small(target, staged, run_ts, keys, cols):
     changed = current & F.coalesce(h != F.col("_new_hash"), F.lit(False))
     carried = _close(target.join(batch, keys, "left"), changed, run_ts, cols).select(*target.columns)
     stays = F.coalesce(h == F.col("_new_hash"), F.lit(True))
-    # Narrow scan of the target that leaves at most the batch's own keys.
+    # Narrow scan of the target that leaves at most the batch's own keys, so it fits where they did.
     held = target.where(current).select(*keys, h).join(batch, keys).where(stays).select(*keys).distinct()
-    return carried.unionByName(staged.join(held, keys, "left_anti"), allowMissingColumns=True)
+    return carried.unionByName(staged.join(F.broadcast(held), keys, "left_anti"), allowMissingColumns=True)
 
 
 def effective_changes(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.contracts import SILVER_ORDERS, conform_to_contract
-from tallyworks.functions import row_hash, standardise_status
+from tallyworks.functions import default_processing_date, row_hash, standardise_status
 from tallyworks.operators import quality, scd2
 from tallyworks.operators.cleanse import cleanse
 from tallyworks.operators.fx import convert_to_usd, usable_rates
@@ -51,7 +51,7 @@ def build_silver(
     spark: SparkSession,
     lake: Lake,
     fx: DataFrame,
-    processing_date: date,
+    processing_date: date | None,
     run_ts: datetime,
     full_refresh: bool = False,
     bronze: DataFrame | None = None,
@@ -59,10 +59,11 @@ def build_silver(
     products: DataFrame | None = None,
     optimize: bool = True,
 ) -> RunResult:
-    """Merge one ingestion date (or, on a full refresh, rebuild from everything) into silver.
+    """Merge one ingestion date (by default yesterday's) into silver, or rebuild it from everything.
 
     Only the months that hold a new or changed order are rewritten.
     """
+    processing_date = processing_date or default_processing_date(run_ts)
 
     def work(run_id: str, _: datetime) -> RunResult:
         raw = read_bronze_orders(spark, lake) if bronze is None else bronze

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # is tens of megabytes; larger sides take the shuffle join, where AQE splits hot keys.
 BROADCAST_ROWS = 200_000
 
+_local_root: tempfile.TemporaryDirectory | None = None
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -43,6 +45,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread_if_few(df: DataFrame, few: int = 32) -> DataFrame:
+    """Deal the rows of a small input out to all cores when its files make too few scan tasks.
+
+    A file with one row group is one task however many cores there are. Inputs of ``few`` splits
+    or more, which is every large one, are left as they are: no shuffle is added.
+    """
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, few)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a temp folder only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,9 +62,10 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tallyworks-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    global _local_root
+    _local_root = tempfile.TemporaryDirectory(prefix="tallyworks-")  # goes when the process ends
+    spark.conf.set("spark.checkpoint.dir", _local_root.name)
+    return _local_root.name
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

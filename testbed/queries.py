@@ -255,15 +255,6 @@ def dim_date(spark, sf):
     return star.dim_date(tb.bronze_orders(spark, sf))
 
 
-def _dims(spark, sf):
-    """Customer, product and employee dimension, stored as a warehouse would hold them."""
-    return (
-        stage(star.dim_customer(tb.customers(spark, sf), tb.RUN_1), "customer"),
-        stage(star.dim_product(tb.products(spark, sf), tb.RUN_1), "product"),
-        stage(star.dim_employee(tb.representatives(spark, sf), tb.RUN_1), "employee"),
-    )
-
-
 def _fact(orders, dims, run_ts=tb.RUN_1, run_id=fn.new_run_id(tb.RUN_1)):
     """Facts of the orders; resolved orders are stored, since numbering them reads them twice."""
     return star.fact_orders(stage(star.resolve_keys(orders, *dims), "resolved"), run_ts, run_id)
@@ -271,26 +262,25 @@ def _fact(orders, dims, run_ts=tb.RUN_1, run_id=fn.new_run_id(tb.RUN_1)):
 
 @query("order_id:s customer_id:s customer_name:s product_id:s product_name:s category:s order_year:l order_month:l")
 def silver_enriched(spark, sf):
-    customers, products, _ = _dims(spark, sf)
-    return conform_to_contract(star.enrich_orders(tb.staged_orders(spark, sf), customers, products), SILVER_ORDERS)
+    return _enriched(spark, sf)
 
 
 @query(FACT)
 def fact_sales_orders(spark, sf):
-    return _fact(tb.staged_orders(spark, sf), _dims(spark, sf))
+    return _fact(tb.staged_orders(spark, sf), tb.dimensions(spark, sf))
 
 
 @query("order_id:s customer_id:s product_id:s unresolved:s")
 def fact_unresolved(spark, sf):
     first, _ = tb.customer_deliveries(spark, sf)
-    dims = stage(star.dim_customer(first, tb.RUN_1), "customer"), *_dims(spark, sf)[1:]
+    dims = stage(star.dim_customer(first, tb.RUN_1), "customer"), *tb.dimensions(spark, sf)[1:]
     return star.unresolved_orders(star.resolve_keys(tb.staged_orders(spark, sf), *dims))
 
 
 @query(FACT)
 def fact_upsert(spark, sf):
     """Facts of the first batch, then the second batch replacing them by order."""
-    dims = _dims(spark, sf)
+    dims = tb.dimensions(spark, sf)
     first, second = tb.silver_batches(spark, sf)
     old = stage(_fact(first, dims, run_id="RUN-1"), "fact")
     rows = stage(star.fact_rows(star.resolve_keys(second, *dims), tb.RUN_2, "RUN-2"), "rows")
@@ -302,14 +292,14 @@ def fact_upsert(spark, sf):
 
 @query(SUMMARY)
 def daily_summary_full(spark, sf):
-    dims = _dims(spark, sf)
+    dims = tb.dimensions(spark, sf)
     return summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_1)
 
 
 @query(SUMMARY)
 def daily_summary_replace_date(spark, sf):
     """A summary of the first batch's facts, one date of which is redone from all facts."""
-    dims = _dims(spark, sf)
+    dims = tb.dimensions(spark, sf)
     first, _ = tb.silver_batches(spark, sf)
     day = "1998-03-02"
     old = summary.daily_summary(_fact(first, dims), dims[1], tb.RUN_1)
@@ -318,12 +308,12 @@ def daily_summary_replace_date(spark, sf):
 
 @query("summary_sk:l order_date:a region:s category:s status:s")
 def daily_summary_keys(spark, sf):
-    dims = _dims(spark, sf)
+    dims = tb.dimensions(spark, sf)
     return summary.number_summary(summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_1))
 
 
 def _overview(spark, sf):
-    dims = _dims(spark, sf)
+    dims = tb.dimensions(spark, sf)
     return reports.sales_overview(_fact(tb.staged_orders(spark, sf), dims), *dims)
 
 
@@ -342,9 +332,8 @@ def _silver(spark, sf):
 
 
 def _enriched(spark, sf):
-    names = tb.customers(spark, sf).withColumn("is_current", F.lit(True))
-    goods = tb.products(spark, sf).withColumn("is_current", F.lit(True))
-    return conform_to_contract(star.enrich_orders(tb.staged_orders(spark, sf), names, goods), SILVER_ORDERS)
+    customers, products, _ = tb.dimensions(spark, sf)
+    return conform_to_contract(star.enrich_orders(tb.staged_orders(spark, sf), customers, products), SILVER_ORDERS)
 
 
 @query("order_id:s order_date:a customer_name:s product_name:s category:s region:s total_amount_usd:d")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.contracts import CREDIT, MONEY
-from tallyworks.operators import scd2
+from tallyworks.operators import scd2, star
 from tallyworks.plans.gold import MasterData
 from tallyworks.plans.silver import stage_orders
-from tallyworks.session import use_utc
+from tallyworks.session import spread_if_few, stage, use_utc
 
 RATE_DATE = "2002-01-01"
 RUN_1 = datetime(2002, 1, 1, 4)
@@ -45,10 +46,25 @@ def raw_status() -> Column:
     )
 
 
+_built: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def built_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A layer the queries start from, written to the shared folder on first use in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _built:
+        _built[key] = stage(build(), name)
+    return _built[key]
+
+
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return built_once(spark, sf_dir, "bronze", lambda: derive_bronze(spark, sf_dir))
+
+
+def derive_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as one delivery of an order; line keys repeat, so orders are redelivered."""
     joined = (
-        load(spark, sf_dir, "lineitem")
+        spread_if_few(load(spark, sf_dir, "lineitem"))
         .join(load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -177,6 +193,17 @@ def representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customer, product and employee dimension after one load."""
+    parts = [
+        ("customers", star.dim_customer, customers),
+        ("products", star.dim_product, products),
+        ("employees", star.dim_employee, representatives),
+    ]
+    c, p, e = [built_once(spark, sf_dir, n, lambda b=b, f=f: b(f(spark, sf_dir), RUN_1)) for n, b, f in parts]
+    return c, p, e
+
+
 def master_data(spark: SparkSession, sf_dir: str) -> MasterData:
     return MasterData(customers(spark, sf_dir), products(spark, sf_dir), representatives(spark, sf_dir))
 

@@ -102,29 +102,6 @@ def test_gold_after_day_two(spark, lake):
     assert [(r.order_id, r.unresolved) for r in waiting] == [("A4", "customer_id")]
 
 
-def test_day_three_resolves_the_waiting_order_and_re_keys_changed_customers(spark, tmp_path):
-    lake = Lake(str(tmp_path))
-    run_day(spark, lake, FIRST, DAY1, ["C1", "C2"])
-    run_day(spark, lake, SECOND, DAY2, ["C1", "C2"])
-    before = by(lake.fact_orders.read(spark))
-    silver.build_silver(spark, lake, rates(spark), DAY3, at(DAY3, 4))  # nothing was delivered
-    data = master(spark, "C1", "C2", "C3")
-    renamed = data.customers.withColumn("industry", F.when(F.col("customer_id") == "C1", "Games").otherwise(F.col("industry")))
-    gold.build_gold(spark, lake, gold.MasterData(renamed, data.products, data.representatives), DAY3, at(DAY3, 6))
-    after = by(lake.fact_orders.read(spark))
-    assert after["A4"].sales_order_sk == 4 and after["A4"].sales_rep_sk is not None
-    assert after["A1"].customer_sk != before["A1"].customer_sk and after["A1"].sales_order_sk == before["A1"].sales_order_sk
-    assert after["A2"] == before["A2"]
-    assert set(by(gold.sales_overview(spark, lake, "sales_overview"))) == {"A1", "A2", "A3", "A4"}
-    assert spark.table("sales_overview").count() == 4
-    assert gold.analysis_pack(spark, lake)["sales_totals"].collect()[0].order_count == 4
-    # Rebuilding from nothing gives the same facts, keys of the dimensions aside.
-    gold.build_gold(spark, lake, gold.MasterData(renamed, data.products, data.representatives), DAY3, at(DAY3, 8), full_refresh=True)
-    cols = ["order_id", "status", "quantity", "total_amount_usd", "cost_amount_usd", "gross_margin_usd", "date_sk"]
-    rebuilt = lake.fact_orders.read(spark).select(*cols)
-    assert {tuple(r) for r in rebuilt.collect()} == {tuple(r[c] for c in cols) for r in after.values()}
-
-
 def test_summary_refresh_by_date_and_in_full(spark, lake, tmp_path):
     gold.refresh_summary(spark, lake, at(DAY2, 7), "RUN-F", None)
     full = lake.daily_summary.read(spark)
@@ -160,17 +137,6 @@ def test_full_refresh_rebuilds_from_all_deliveries(spark, tmp_path):
     assert rows["A2"].customer_name == "Name C2" and rows["A4"].customer_name is None and rows["A4"].category == "Parts"
 
 
-def test_an_order_that_changes_month_keeps_one_current_row(spark, tmp_path):
-    lake = Lake(str(tmp_path))
-    run_day(spark, lake, FIRST, DAY1, ["C1", "C2"])
-    moved = ("A1", "2024-03-01", "C1", "P1", 3, 10, "USD", "C", "EMEA", "R1", at(DAY2, 1))
-    run_day(spark, lake, [moved], DAY2, ["C1", "C2"])
-    rows = lake.silver_orders.read(spark).where("order_id = 'A1'").collect()
-    assert sorted((r.order_month, r._is_current) for r in rows) == [(2, False), (3, True)]
-    facts = lake.fact_orders.read(spark).where("order_id = 'A1'").collect()
-    assert [(f[MONTH], f.quantity) for f in facts] == [("2024-03", 3)]
-
-
 def test_a_failed_check_keeps_the_watermark_and_can_be_repaired(spark, tmp_path):
     lake = Lake(str(tmp_path))
     bad = ("A9", "2024-02-10", "C1", "P1", 0, 10, "USD", "C", "EMEA", "R1", at(DAY1, 1))
@@ -236,3 +202,38 @@ def test_streamed_redeliveries_are_dropped(spark, tmp_path):
         availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     query.awaitTermination()
     assert spark.table("once").count() == 3
+
+
+def test_day_three(spark, lake):
+    """Continues from the shared state, so it comes last: a new customer, a renamed one, an order that moves."""
+    before = by(lake.fact_orders.read(spark))
+    moved = ("A1", "2024-03-01", "C1", "P1", 3, 10, "USD", "C", "EMEA", "R1", at(DAY3, 1))
+    ingest.ingest_orders(spark, lake, source(spark, moved), at(DAY3))
+    silver.build_silver(spark, lake, rates(spark), DAY3, at(DAY3, 4))
+    rows = lake.silver_orders.read(spark).where("order_id = 'A1'").collect()
+    assert sorted((r.order_month, r._is_current) for r in rows) == [(2, False), (3, True)]
+
+    data = master(spark, "C1", "C2", "C3")
+    renamed = data.customers.withColumn(
+        "industry", F.when(F.col("customer_id") == "C1", "Games").otherwise(F.col("industry"))
+    )
+    data = gold.MasterData(renamed, data.products, data.representatives)
+    gold.build_gold(spark, lake, data, DAY3, at(DAY3, 6))
+    stored = lake.fact_orders.read(spark)
+    after = by(stored)
+    assert stored.count() == 4
+    # The order that waited for its customer arrives, the moved one exists once, in its new month.
+    assert after["A4"].sales_order_sk == 4 and after["A4"].sales_rep_sk is not None
+    assert (after["A1"][MONTH], after["A1"].quantity, after["A1"].sales_order_sk) == ("2024-03", 3, before["A1"].sales_order_sk)
+    # A customer's new version takes its untouched orders along.
+    assert after["A3"].customer_sk != before["A3"].customer_sk and after["A3"].quantity == before["A3"].quantity
+    assert after["A2"] == before["A2"]
+    assert set(by(gold.sales_overview(spark, lake, "sales_overview"))) == set(after)
+    assert spark.table("sales_overview").count() == 4
+    assert gold.analysis_pack(spark, lake)["sales_totals"].collect()[0].order_count == 4
+
+    # Rebuilding from nothing gives the same facts, surrogate keys aside.
+    gold.build_gold(spark, lake, data, DAY3, at(DAY3, 8), full_refresh=True)
+    cols = ["order_id", "status", "quantity", "total_amount_usd", "cost_amount_usd", "gross_margin_usd", "date_sk"]
+    rebuilt = {tuple(r) for r in lake.fact_orders.read(spark).select(*cols).collect()}
+    assert rebuilt == {tuple(r[c] for c in cols) for r in after.values()}

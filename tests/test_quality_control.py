@@ -4,7 +4,7 @@ import pytest
 from conftest import RUN, by
 from pyspark.sql import functions as F
 
-from tallyworks.contracts import BRONZE_ORDERS, CONTROL_LOG, SILVER_ORDERS
+from tallyworks.contracts import BRONZE_ORDERS, CONTROL_LOG, FACT_ORDERS, SILVER_ORDERS
 from tallyworks.operators import cleanse as cl
 from tallyworks.operators import control, quality
 from tallyworks.operators.fx import convert_to_usd, usable_rates
@@ -33,6 +33,12 @@ def test_contract_rules_pass_null_rows_but_not_null_columns(raw):
     assert len(quality.contract_rules(SILVER_ORDERS)) == 10
 
 
+def test_declared_lengths_are_rules(spark):
+    df = spark.sql("SELECT repeat('x', n) AS order_id, 'ok' AS status, 'EMEA' AS region, 'EUR' AS original_currency, 'r' AS pipeline_run_id FROM VALUES (30), (31) AS t(n)")
+    got = {r.check_name: r.failed_rows for r in quality.contract_checks(df, FACT_ORDERS).collect()}
+    assert got["order_id_length"] == 1 and sum(got.values()) == 1
+
+
 def test_dictionary_rules(spark):
     df = spark.sql(
         """SELECT region, cast(q AS decimal(18,4)) AS quantity, cast(p AS decimal(18,4)) AS unit_price_usd,
