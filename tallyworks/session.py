@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +71,9 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root.name
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a shared table and read it back, so that several steps can use it.
 
@@ -75,5 +81,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    written = _staged.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_tables_dropped(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends; for jobs whose results are stored by then."""
+    written: list[str] = []
+    token = _staged.set(written)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in written:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the cluster's file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

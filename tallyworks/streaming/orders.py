@@ -12,7 +12,7 @@ from tallyworks.contracts import SILVER_ORDERS, conform_to_contract
 from tallyworks.plans.ingest import STORED_ORDERS
 from tallyworks.plans.lake import Lake
 from tallyworks.plans.silver import merge_orders, stage_orders, write_months
-from tallyworks.session import stage
+from tallyworks.session import stage, staged_tables_dropped
 
 
 def stream_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -40,10 +40,11 @@ def stream_into_silver(
     def merge(batch: DataFrame, _: int) -> None:
         now = clock()
         staged = conform_to_contract(stage_orders(batch, fx, now.date(), now), SILVER_ORDERS)
-        if lake.silver_orders.exists(spark):
-            merge_orders(spark, lake, staged, now)
-        else:
-            write_months(stage(staged, "silver"), lake.silver_orders, None, optimize=True)
+        with staged_tables_dropped(spark):
+            if lake.silver_orders.exists(spark):
+                merge_orders(spark, lake, staged, now)
+            else:
+                write_months(stage(staged, "silver"), lake.silver_orders, None, optimize=True)
 
     writer = stream_bronze(spark, lake).writeStream.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).foreachBatch(merge).start()

@@ -78,6 +78,15 @@ def test_only_rows_after_the_watermark_reach_bronze(spark, lake):
     assert {(r.ingestion_date, r["count"]) for r in bronze.groupBy("ingestion_date").count().collect()} == {(DAY1, 3), (DAY2, 3)}
 
 
+def test_jobs_leave_no_staged_tables(spark, lake):
+    from pathlib import Path
+
+    from tallyworks.session import staging_root
+
+    root = Path(staging_root(spark).removeprefix("file:"))
+    assert not [p.name for p in root.glob("staged/*") if p.name.startswith(("silver", "fact-", "dimension", "summary"))]
+
+
 def test_silver_history(spark, lake):
     rows = lake.silver_orders.read(spark).collect()
     assert sorted((r.order_id, r.status, r._is_current) for r in rows) == [

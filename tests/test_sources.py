@@ -144,6 +144,17 @@ def test_unfinished_write_stays_invisible(spark, tmp_path):
     assert state(t.read(spark)) == [("b", 2, 1)]
 
 
+def test_pruning_keeps_what_recent_states_carry(spark, tmp_path):
+    t = src.SnapshotTable(str(tmp_path / "t"), STATE, ("m",))
+    t.overwrite(spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], STATE))
+    for x in range(3):
+        t.replace_partitions(spark.createDataFrame([("b", x, 2)], STATE), [(2,)])
+    removed = t.prune(spark, keep=2)
+    assert sorted(p.split("/data/")[1] for p in removed) == ["v=1/m=2", "v=2/m=2"]
+    assert state(t.read(spark)) == [("a", 1, 1), ("b", 2, 2)]
+    assert state(t.read(spark, version=3)) == [("a", 1, 1), ("b", 1, 2)]
+
+
 def test_cluster_rewrite_keeps_rows_and_cuts_heavy_values(spark, tmp_path):
     df = spark.range(4000).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("day"), "id")
     out = cluster_rewrite(df, ["day", "id"], 4)
