@@ -1,0 +1,88 @@
+"""One key, date, currency or representative holding most rows must not end up in one task."""
+
+import pytest
+from conftest import RUN
+from pyspark.sql import functions as F
+
+from tallyworks.operators import star
+from tallyworks.operators.keys import assign_surrogate_keys
+from tallyworks.operators.latest import latest_per_key
+from tallyworks.sources import append_bronze
+
+ROWS = 40_000
+
+
+@pytest.fixture(scope="module")
+def heavy(spark):
+    """Half the deliveries are of one order."""
+    return spark.range(0, ROWS, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("order_id"),
+        F.timestamp_seconds("id").alias("_ingestion_ts"),
+        "id",
+    )
+
+
+def shuffled_rows(df):
+    """Rows that go through the exchanges of the executed plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return found
+
+
+def test_heavy_key_leaves_one_row_per_map_task(heavy):
+    out = latest_per_key(heavy)
+    assert shuffled_rows(out) == [ROWS // 2 + 8]
+    assert out.where("order_id = 'hot'").collect()[0].id == ROWS - 2
+
+
+def test_surrogate_key_groups_are_even_for_any_key_shape(spark):
+    keys = spark.range(ROWS).select(F.concat(F.lit("same-long-prefix-"), "id").alias("bk"))
+    digest = F.substring(F.md5("bk"), 1, 1)
+    sizes = [r["count"] for r in keys.groupBy(digest).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.2 * ROWS / 16
+    assert assign_surrogate_keys(keys, "sk", ["bk"], digits=1).agg(F.max("sk")).first()[0] == ROWS
+
+
+def test_orders_without_representative_do_not_share_a_join_key(spark, tmp_path):
+    n = 5000
+    orders = spark.range(n).select(
+        F.concat(F.lit("o"), "id").alias("order_id"), F.lit("c").alias("customer_id"), F.lit("p").alias("product_id"),
+        F.lit("UNASSIGNED").alias("sales_rep_id"), F.lit(RUN.date()).alias("order_date"),
+    )
+    one = spark.sql("SELECT true AS is_current, 'c' AS customer_id, 1L AS customer_sk, 'p' AS product_id, 1L AS product_sk, 1.0 AS cost_price, 'r' AS employee_id, 1L AS employee_sk")
+    orders.write.parquet(str(tmp_path / "orders"))
+    one.write.parquet(str(tmp_path / "one"))
+    orders, one = spark.read.parquet(str(tmp_path / "orders")), spark.read.parquet(str(tmp_path / "one"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        resolved = star.resolve_keys(orders, one, one, one)
+        text = resolved._jdf.queryExecution().executedPlan().toString()
+        assert "xxhash64" in text and text.count("SortMergeJoin") == 3
+        assert resolved.where("sales_rep_sk IS NULL AND customer_sk = 1").count() == n
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_heavy_date_is_cut_into_several_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(0, ROWS, 1, 8).select(F.md5(F.col("id").cast("string")).alias("x"), F.lit(RUN).alias("_ingestion_ts"))
+        append_bronze(rows, str(tmp_path / "b"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(str(tmp_path / "b")).inputFiles()
+    assert len(files) >= 4 and len({f.rsplit("/", 2)[1] for f in files}) == 1
