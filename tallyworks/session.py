@@ -84,8 +84,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     written = _staged.get()
     if written is not None:
         written.append(path)
+    return write_and_read(df, path)
+
+
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
@@ -101,7 +105,17 @@ def staged_tables_dropped(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the cluster's file system, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)

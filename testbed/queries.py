@@ -211,7 +211,7 @@ def scd2_effective_changes(spark, sf):
 
 @query(STAGED)
 def scd2_as_of(spark, sf):
-    return scd2.as_of(tb.merged_silver(spark, sf), datetime(2002, 1, 1, 12))
+    return scd2.as_of(tb.silver_versions(spark, sf), datetime(2002, 1, 1, 12))
 
 
 @query("order_id:s _ingestion_ts:t seen_at:t _source_hash:s _valid_from:t")
@@ -221,13 +221,13 @@ def scd2_as_of_join(spark, sf):
     asked = tb.bronze_orders(spark, sf).select(
         "order_id", "_ingestion_ts", F.when(F.col("quantity") > 25, noon).otherwise(later).alias("seen_at")
     )
-    versions = tb.merged_silver(spark, sf).select("order_id", "_source_hash", "_valid_from", "_valid_to")
+    versions = tb.silver_versions(spark, sf).select("order_id", "_source_hash", "_valid_from", "_valid_to")
     return scd2.as_of_join(asked, versions, ["order_id"], "seen_at")
 
 
 @query("active_rows:l")
 def scd2_current_count(spark, sf):
-    return scd2.current_count(tb.merged_silver(spark, sf))
+    return scd2.current_count(tb.silver_versions(spark, sf))
 
 
 # Star schema
@@ -255,66 +255,61 @@ def dim_date(spark, sf):
     return star.dim_date(tb.bronze_orders(spark, sf))
 
 
-def _fact(orders, dims, run_ts=tb.RUN_1, run_id=fn.new_run_id(tb.RUN_1)):
-    """Facts of the orders; resolved orders are stored, since numbering them reads them twice."""
-    return star.fact_orders(stage(star.resolve_keys(orders, *dims), "resolved"), run_ts, run_id)
-
-
 @query("order_id:s customer_id:s customer_name:s product_id:s product_name:s category:s order_year:l order_month:l")
 def silver_enriched(spark, sf):
-    return _enriched(spark, sf)
+    customers, products, _ = tb.dimensions(spark, sf)
+    return conform_to_contract(star.enrich_orders(tb.staged_orders(spark, sf), customers, products), SILVER_ORDERS)
 
 
 @query(FACT)
 def fact_sales_orders(spark, sf):
-    return _fact(tb.staged_orders(spark, sf), tb.dimensions(spark, sf))
+    """Resolved orders are stored, since numbering them reads them twice."""
+    resolved = stage(star.resolve_keys(tb.silver_orders(spark, sf), *tb.dimensions(spark, sf)), "resolved")
+    return star.fact_orders(resolved, tb.RUN_1, fn.new_run_id(tb.RUN_1))
 
 
 @query("order_id:s customer_id:s product_id:s unresolved:s")
 def fact_unresolved(spark, sf):
     first, _ = tb.customer_deliveries(spark, sf)
     dims = stage(star.dim_customer(first, tb.RUN_1), "customer"), *tb.dimensions(spark, sf)[1:]
-    return star.unresolved_orders(star.resolve_keys(tb.staged_orders(spark, sf), *dims))
+    return star.unresolved_orders(star.resolve_keys(tb.silver_orders(spark, sf), *dims))
 
 
 @query(FACT)
 def fact_upsert(spark, sf):
     """Facts of the first batch, then the second batch replacing them by order."""
-    dims = tb.dimensions(spark, sf)
-    first, second = tb.silver_batches(spark, sf)
-    old = stage(_fact(first, dims, run_id="RUN-1"), "fact")
-    rows = stage(star.fact_rows(star.resolve_keys(second, *dims), tb.RUN_2, "RUN-2"), "rows")
-    return star.upsert_fact(old, rows, lambda df: stage(df, "matched"))
+    second = tb.silver_batches(spark, sf)[1]
+    rows = stage(star.fact_rows(star.resolve_keys(second, *tb.dimensions(spark, sf)), tb.RUN_2, "RUN-2"), "rows")
+    return star.upsert_fact(tb.early_fact(spark, sf), rows, lambda df: stage(df, "matched"))
 
 
 # Summary and reports
 
 
+def _summary(spark, sf):
+    return summary.daily_summary(tb.fact_orders(spark, sf), tb.dimensions(spark, sf)[1], tb.RUN_1)
+
+
 @query(SUMMARY)
 def daily_summary_full(spark, sf):
-    dims = tb.dimensions(spark, sf)
-    return summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_1)
+    return _summary(spark, sf)
 
 
 @query(SUMMARY)
 def daily_summary_replace_date(spark, sf):
     """A summary of the first batch's facts, one date of which is redone from all facts."""
-    dims = tb.dimensions(spark, sf)
-    first, _ = tb.silver_batches(spark, sf)
-    day = "1998-03-02"
-    old = summary.daily_summary(_fact(first, dims), dims[1], tb.RUN_1)
-    return summary.replace_date(old, summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_2, day), day)
+    products, day = tb.dimensions(spark, sf)[1], "1998-03-02"
+    old = summary.daily_summary(tb.early_fact(spark, sf), products, tb.RUN_1)
+    return summary.replace_date(old, summary.daily_summary(tb.fact_orders(spark, sf), products, tb.RUN_2, day), day)
 
 
 @query("summary_sk:l order_date:a region:s category:s status:s")
 def daily_summary_keys(spark, sf):
-    dims = tb.dimensions(spark, sf)
-    return summary.number_summary(summary.daily_summary(_fact(tb.staged_orders(spark, sf), dims), dims[1], tb.RUN_1))
+    return summary.number_summary(stage(_summary(spark, sf), "summary"))
 
 
 def _overview(spark, sf):
-    dims = tb.dimensions(spark, sf)
-    return reports.sales_overview(_fact(tb.staged_orders(spark, sf), dims), *dims)
+    return reports.sales_overview(tb.fact_orders(spark, sf), *tb.dimensions(spark, sf))
 
 
 @query(OVERVIEW)
@@ -327,28 +322,21 @@ def sales_overview_secured(spark, sf):
     return reports.secured(_overview(spark, sf), tb.entitlements(spark, sf), "NATION_3")
 
 
-def _silver(spark, sf):
-    return conform_to_contract(tb.staged_orders(spark, sf), SILVER_ORDERS)
-
-
-def _enriched(spark, sf):
-    customers, products, _ = tb.dimensions(spark, sf)
-    return conform_to_contract(star.enrich_orders(tb.staged_orders(spark, sf), customers, products), SILVER_ORDERS)
-
-
 @query("order_id:s order_date:a customer_name:s product_name:s category:s region:s total_amount_usd:d")
 def completed_orders(spark, sf):
-    return reports.completed_orders(_enriched(spark, sf))
+    return reports.completed_orders(tb.silver_orders(spark, sf))
 
 
 @query("year_month:s revenue_usd:d")
 def monthly_revenue(spark, sf):
-    return reports.monthly_revenue(reports.completed_orders(_silver(spark, sf)))
+    """From the deliveries on: latest record per order, in USD, completed orders by month."""
+    silver = conform_to_contract(tb.staged_orders(spark, sf), SILVER_ORDERS)
+    return reports.monthly_revenue(reports.completed_orders(silver))
 
 
 @query("customer_name:s revenue_usd:d")
 def top_customers(spark, sf):
-    return reports.top_customers(reports.completed_orders(_enriched(spark, sf)))
+    return reports.top_customers(reports.completed_orders(tb.silver_orders(spark, sf)))
 
 
 # The part types of the sample tables.
@@ -357,14 +345,14 @@ CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 @query("region:s " + " ".join(f"{c}:d" for c in CATEGORIES))
 def region_category_matrix(spark, sf):
-    return reports.region_category_matrix(reports.completed_orders(_enriched(spark, sf)), CATEGORIES)
+    return reports.region_category_matrix(reports.completed_orders(tb.silver_orders(spark, sf)), CATEGORIES)
 
 
 @query(
     "total_revenue_usd:d order_count:l customer_count:l product_count:l avg_order_value_usd:d first_date:a last_date:a"
 )
 def sales_totals(spark, sf):
-    return reports.sales_totals(reports.completed_orders(_silver(spark, sf)))
+    return reports.sales_totals(reports.completed_orders(tb.silver_orders(spark, sf)))
 
 
 # Quality
@@ -372,7 +360,7 @@ def sales_totals(spark, sf):
 
 @query(CHECKS)
 def dq_core_checks(spark, sf):
-    return quality.core_checks(tb.staged_orders(spark, sf))
+    return quality.core_checks(tb.silver_orders(spark, sf))
 
 
 @query(CHECKS)
@@ -389,12 +377,12 @@ def dq_duplicate_keys(spark, sf):
 def dq_uniqueness(spark, sf):
     """Bronze and current silver rows against their primary keys."""
     bronze = quality.uniqueness_check(tb.bronze_orders(spark, sf), BRONZE_ORDERS)
-    return bronze.unionByName(quality.uniqueness_check(tb.merged_silver(spark, sf), SILVER_ORDERS, "_is_current"))
+    return bronze.unionByName(quality.uniqueness_check(tb.silver_versions(spark, sf), SILVER_ORDERS, "_is_current"))
 
 
 @query(CHECKS)
 def dq_dictionary(spark, sf):
-    return quality.dictionary_checks(tb.staged_orders(spark, sf))
+    return quality.dictionary_checks(tb.silver_orders(spark, sf))
 
 
 STRICT_ORDERS = TableContract(

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.contracts import CREDIT, MONEY
+from tallyworks.contracts import CREDIT, MONEY, SILVER_ORDERS, conform_to_contract
+from tallyworks.functions import new_run_id
 from tallyworks.operators import scd2, star
 from tallyworks.plans.gold import MasterData
 from tallyworks.plans.silver import stage_orders
-from tallyworks.session import spread_if_few, stage, use_utc
+from tallyworks.session import folder_exists, spread_if_few, stage, staging_root, use_utc, write_and_read
 
 RATE_DATE = "2002-01-01"
 RUN_1 = datetime(2002, 1, 1, 4)
@@ -46,15 +48,18 @@ def raw_status() -> Column:
     )
 
 
-_built: dict[tuple[str, str, str], DataFrame] = {}
+_built: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
 def built_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A layer the queries start from, written to the shared folder on first use in an application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _built:
-        _built[key] = stage(build(), name)
-    return _built[key]
+    path, df = _built.get(key, (None, None))
+    if df is None or not folder_exists(spark, path):
+        path = f"{staging_root(spark)}/layers/{name}-{uuid.uuid4().hex}"
+        df = write_and_read(build(), path)
+        _built[key] = path, df
+    return df
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,6 +209,45 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return c, p, e
 
 
+def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table after one load of all deliveries, with the names from the dimensions."""
+
+    def build() -> DataFrame:
+        customer, product, _ = dimensions(spark, sf_dir)
+        return conform_to_contract(star.enrich_orders(staged_orders(spark, sf_dir), customer, product), SILVER_ORDERS)
+
+    return built_once(spark, sf_dir, "silver", build)
+
+
+def silver_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table after both batches, history included."""
+    return built_once(spark, sf_dir, "versions", lambda: merged_silver(spark, sf_dir))
+
+
+def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        resolved = star.resolve_keys(silver_orders(spark, sf_dir), *dimensions(spark, sf_dir))
+        return star.fact_orders(stage(resolved, "resolved"), RUN_1, new_run_id(RUN_1))
+
+    return built_once(spark, sf_dir, "fact", build)
+
+
+def early_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as it stood after the first batch."""
+
+    def build() -> DataFrame:
+        resolved = star.resolve_keys(silver_batches(spark, sf_dir)[0], *dimensions(spark, sf_dir))
+        return star.fact_orders(stage(resolved, "resolved"), RUN_1, "RUN-1")
+
+    return built_once(spark, sf_dir, "early_fact", build)
+
+
+def build_layers(spark: SparkSession, sf_dir: str) -> None:
+    """Store everything the queries start from."""
+    for layer in (silver_orders, silver_versions, fact_orders, early_fact):
+        layer(spark, sf_dir)
+
+
 def master_data(spark: SparkSession, sf_dir: str) -> MasterData:
     return MasterData(customers(spark, sf_dir), products(spark, sf_dir), representatives(spark, sf_dir))
 
