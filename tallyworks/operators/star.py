@@ -170,33 +170,36 @@ def fact_orders(resolved: DataFrame, run_ts: datetime, run_id: str | None = None
     return conform_to_contract(assign_surrogate_keys(rows, "sales_order_sk", ["order_id"]), FACT_ORDERS)
 
 
-def upsert_fact(existing: DataFrame, rows: DataFrame, store: Callable[[DataFrame], DataFrame] = lambda df: df,
-                key_source: DataFrame | None = None) -> DataFrame:
+def upsert_fact(
+    existing: DataFrame,
+    rows: DataFrame,
+    store: Callable[[DataFrame], DataFrame] = lambda df: df,
+    key_source: DataFrame | None = None,
+    small_batch: bool = False,
+) -> DataFrame:
     """Replace facts by order_id: known orders keep their key and creation time, new ones are numbered.
 
     ``key_source`` is the table whose highest key new rows continue from, when ``existing`` is only
-    a part of it.
+    a part of it. ``small_batch`` says that the rows were counted to fit a broadcast by their ids;
+    ``existing`` is then not shuffled.
     """
+    size_hint = F.broadcast if small_batch else (lambda df: df)
+    ids = size_hint(rows.select("order_id"))
     held = existing.select("order_id", "sales_order_sk", F.col("created_ts").alias("_created_ts"))
+    held = size_hint(held.join(ids, "order_id", "left_semi"))
     matched = store(rows.join(held, "order_id", "left"))
     matched = matched.withColumn("created_ts", F.coalesce("_created_ts", "created_ts")).drop("_created_ts")
     known = matched.where("sales_order_sk IS NOT NULL")
     fresh = matched.where("sales_order_sk IS NULL")
-    numbered = assign_surrogate_keys(fresh, "sales_order_sk", ["order_id"],
-                                     existing if key_source is None else key_source)
-    untouched = upsert_rest(existing, rows, ["order_id"])
-    return (
-        conform_to_contract(untouched, FACT_ORDERS)
-        .unionByName(conform_to_contract(known, FACT_ORDERS))
-        .unionByName(conform_to_contract(numbered, FACT_ORDERS))
-    )
-
-
-def upsert_rest(existing: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The existing rows that no incoming row replaces."""
-    return existing.join(rows.select(*keys), list(keys), "left_anti")
+    last = existing if key_source is None else key_source
+    numbered = assign_surrogate_keys(fresh, "sales_order_sk", ["order_id"], last)
+    parts = [existing.join(ids, "order_id", "left_anti"), known, numbered]
+    first, *rest = [conform_to_contract(p, FACT_ORDERS) for p in parts]
+    for part in rest:
+        first = first.unionByName(part)
+    return first
 
 
 def upsert_by_key(existing: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Plain key replacement: incoming rows win, other existing rows stay."""
-    return upsert_rest(existing, rows, keys).unionByName(rows)
+    return existing.join(rows.select(*keys), list(keys), "left_anti").unionByName(rows)

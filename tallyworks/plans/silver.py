@@ -20,6 +20,7 @@ from tallyworks.plans.lake import Lake
 from tallyworks.plans.runlog import RunResult, run_logged
 from tallyworks.session import BROADCAST_ROWS, stage
 from tallyworks.sources.layout import cluster_rewrite, files_for, stored_bytes
+from tallyworks.sources.snapshots import SnapshotTable
 from tallyworks.sources.tables import incremental_scan
 
 TRANSFORM_SILVER = "transform_silver_sales"
@@ -75,7 +76,7 @@ def build_silver(
         table = lake.silver_orders
         if full_refresh or not table.exists(spark):
             rows = stage(staged, "silver")
-            write_months(rows, table, None, optimize)
+            write_months(rows, table, None, optimize, stored=True)
             changed = rows.count()
         else:
             changed = merge_orders(spark, lake, staged, run_ts, optimize)
@@ -107,12 +108,14 @@ def merge_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: dat
     return n
 
 
-def write_months(rows: DataFrame, table, affected: list[tuple] | None, optimize: bool) -> None:
+def write_months(
+    rows: DataFrame, table: SnapshotTable, affected: list[tuple] | None, optimize: bool, stored: bool = False
+) -> None:
     """Write whole months, range-clustered in target-sized files when ``optimize`` is set."""
     if not optimize:
         table.overwrite(rows) if affected is None else table.replace_partitions(rows, affected)
         return
-    # Range bounds are sampled, which would run the plan twice: store it first, sized by its files.
-    stored = stage(rows, "silver-months")
+    # Range bounds are sampled, which would run the plan twice: store it first, and size it by its files.
+    held = rows if stored else stage(rows, "silver-months")
     by = [*table.partition_by, *CLUSTER_BY]
-    table.adopt(cluster_rewrite(stored, by, files_for(stored_bytes(stored))), affected)
+    table.adopt(cluster_rewrite(held, by, files_for(stored_bytes(held))), affected)

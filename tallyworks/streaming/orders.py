@@ -44,7 +44,7 @@ def stream_into_silver(
             if lake.silver_orders.exists(spark):
                 merge_orders(spark, lake, staged, now)
             else:
-                write_months(stage(staged, "silver"), lake.silver_orders, None, optimize=True)
+                write_months(stage(staged, "silver"), lake.silver_orders, None, optimize=True, stored=True)
 
     writer = stream_bronze(spark, lake).writeStream.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).foreachBatch(merge).start()

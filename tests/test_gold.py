@@ -92,11 +92,12 @@ def test_fact_keys_measures_and_unresolved_orders(spark):
     assert [(r.order_id, r.unresolved) for r in star.unresolved_orders(resolved).collect()] == [("A4", "customer_id,product_id")]
 
 
-def test_upsert_keeps_keys_of_known_orders(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_upsert_keeps_keys_of_known_orders(spark, small):
     c, p, e = dims(spark)
     old = star.fact_orders(star.resolve_keys(orders(spark).where("order_id < 'A3'"), c, p, e), RUN)
     changed = orders(spark).where("order_id >= 'A2'").withColumn("quantity", F.lit(7).cast("decimal(18,4)"))
-    new = star.upsert_fact(old, star.fact_rows(star.resolve_keys(changed, c, p, e), NEXT))
+    new = star.upsert_fact(old, star.fact_rows(star.resolve_keys(changed, c, p, e), NEXT), small_batch=small)
     was, now = by(old), by(new)
     assert now["A1"] == was["A1"]
     assert (now["A2"].sales_order_sk, now["A2"].created_ts, now["A2"].updated_ts) == (was["A2"].sales_order_sk, RUN, NEXT)
