@@ -70,8 +70,9 @@ def dim_product(products, run_ts, existing=None, **kw) -> DataFrame:
 def dim_employee(reps: DataFrame, run_ts: datetime, existing: DataFrame | None = None, **kw) -> DataFrame:
     """Distinct sales representatives (employee_id, full_name, team) to dim.employee."""
     named = reps.where(F.col("employee_id").isNotNull() & (F.col("employee_id") != UNASSIGNED))
-    # Partial aggregation leaves one row per representative in each map task.
-    one = named.groupBy("employee_id").agg(F.max("full_name").alias("full_name"), F.max("team").alias("team"))
+    # One whole record per representative; partial aggregation leaves at most one in each map task.
+    record = F.max(F.struct("full_name", "team"))
+    one = named.groupBy("employee_id").agg(record.alias("r")).select("employee_id", "r.*")
     return build_dimension(one, DIM_EMPLOYEE, run_ts, existing, **kw)
 
 

@@ -3,6 +3,7 @@ from tallyworks.sources.files import (
     append_bronze,
     crm_accounts,
     read_crm_accounts,
+    read_crm_responses,
     read_customers_csv,
     read_orders_csv,
     read_product_catalogue,
@@ -21,6 +22,7 @@ __all__ = [
     "incremental_scan",
     "max_watermark",
     "read_crm_accounts",
+    "read_crm_responses",
     "read_customers_csv",
     "read_database_table",
     "read_orders_csv",

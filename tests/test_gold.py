@@ -68,6 +68,13 @@ def test_customer_dimension_versions_and_keys(spark):
     assert third.exceptAll(second).count() == 0 and third.count() == 4
 
 
+def test_employee_records_are_not_mixed(spark):
+    reps = spark.createDataFrame([("R1", "Ann", "South"), ("R1", "Bob", "North"), (None, "x", "y")],
+                                 "employee_id string, full_name string, team string")
+    rows = star.dim_employee(reps, RUN).collect()
+    assert [(r.employee_id, r.full_name, r.team) for r in rows] == [("R1", "Bob", "North")]
+
+
 def orders(spark):
     return spark.sql(
         """SELECT o AS order_id, c AS customer_id, p AS product_id, rep AS sales_rep_id, date '2024-02-28' AS order_date,

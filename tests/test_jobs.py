@@ -10,7 +10,7 @@ from tallyworks.operators.control import SilverNotReady
 from tallyworks.operators.quality import DataQualityError
 from tallyworks.plans import gold, ingest, runlog, silver
 from tallyworks.plans.lake import MONTH, Lake
-from tallyworks.sources import read_table
+from tallyworks.sources import read_crm_responses, read_table
 from tallyworks.streaming import redelivered_dropped, stream_into_silver
 
 DAY1, DAY2, DAY3 = date(2024, 3, 1), date(2024, 3, 2), date(2024, 3, 3)
@@ -175,14 +175,13 @@ def test_gold_waits_for_silver(spark, tmp_path):
         gold.build_gold(spark, Lake(str(tmp_path)), master(spark, "C1"), DAY1, at(DAY1, 6))
 
 
-def test_reference_and_accounts_and_archive(spark, lake):
+def test_reference_and_accounts_and_archive(spark, lake, tmp_path):
     table = ingest.load_reference(spark, lake, "units", spark.createDataFrame([("EA",), ("KG",)], "uom string"))
     ingest.load_reference(spark, lake, "units", spark.createDataFrame([("M",)], "uom string"))
     assert [r.uom for r in table.read(spark).collect()] == ["M"]
     doc = '{"records":[{"Id":"x","LastModifiedDate":"2024-02-29T10:00:00.000+0000"},{"Id":"y","LastModifiedDate":"2024-01-01T10:00:00.000+0000"}]}'
-    from tallyworks.sources.files import CRM_JSON
-
-    envelopes = spark.createDataFrame([(doc,)], "doc string").select(F.from_json("doc", CRM_JSON).alias("d")).select("d.*")
+    (tmp_path / "page1.json").write_text(doc)
+    envelopes = read_crm_responses(spark, str(tmp_path))
     assert ingest.ingest_accounts(spark, lake, envelopes, at(DAY1)).rows == 1
     assert [r.Id for r in read_table(spark, lake.bronze_accounts).collect()] == ["x"]
     for _ in range(2):
@@ -239,6 +238,8 @@ def test_day_three(spark, lake):
     assert after["A2"] == before["A2"]
     assert set(by(gold.sales_overview(spark, lake, "sales_overview"))) == set(after)
     assert spark.table("sales_overview").count() == 4
+    allowed = spark.createDataFrame([("ann", "EMEA")], "principal string, region string")
+    assert set(by(gold.secured_overview(spark, lake, allowed, "ann"))) == {"A1"}
     assert gold.analysis_pack(spark, lake)["sales_totals"].collect()[0].order_count == 4
 
     # Rebuilding from nothing gives the same facts, surrogate keys aside.
