@@ -240,7 +240,10 @@ def test_day_three(spark, lake):
     assert spark.table("sales_overview").count() == 4
     allowed = spark.createDataFrame([("ann", "EMEA")], "principal string, region string")
     assert set(by(gold.secured_overview(spark, lake, allowed, "ann"))) == {"A1"}
-    assert gold.analysis_pack(spark, lake)["sales_totals"].collect()[0].order_count == 4
+    pack = gold.analysis_pack(spark, lake)
+    assert pack["sales_totals"].collect()[0].order_count == 4
+    assert [r.customer_name for r in pack["top_customers"].collect()] == ["Name C1", "Name C2", "Name C3"]
+    assert pack["region_category_matrix"].columns == ["region", "Parts"]
 
     # Rebuilding from nothing gives the same facts, surrogate keys aside.
     gold.build_gold(spark, lake, data, DAY3, at(DAY3, 8), full_refresh=True)
