@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.text import SPACE, ChunkTable, grouped, worker_state
 
 _CHUNK = regex.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
-MOST_STATES = 120_000
+MOST_STATES = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,107 +36,153 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
 
 
+_NEVER = 1 << 60
+
+
 class Transducer:
     """States and transitions over bytes. `ranks` are the merges: a token's rank is its id."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.starts: set[bytes] = {t[:n] for t in ranks for n in range(1, len(t))}  # what a longer token may begin with
+        # bytes that are a token or begin a longer one -> (token or -1, whether a longer one begins so)
+        self.known: dict[bytes, tuple[int, bool]] = {t: (i, False) for t, i in ranks.items()}
+        for t in ranks:
+            for n in range(1, len(t)):
+                self.known[t[:n]] = (ranks.get(t[:n], -1), True)
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._alone: dict[int, bool] = {}
+        self._edges: dict[int, tuple | None] = {}
         self.reset()
 
     def reset(self) -> None:
         self.keys: dict[tuple, int] = {}
-        self.held: list[tuple] = []  # root token, bytes since, last token at each place since
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.ends: list[tuple[int, ...] | None] = []
-        self._state(-1, b"", ())
-
-    def _state(self, root: int, tail: bytes, lasts: tuple) -> int:
+        # of each state: root token, bytes since, places where a token may begin, and the way there: place -> last
+        # token, place where that begins
+        self.held: list[tuple[int, bytes, list[int], dict[int, tuple[int, int]]]] = []
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
+        self.ends: dict[int, tuple[int, ...]] = {}
+        self._state(-1, b"", [0], {})
+
+    def _state(self, root: int, tail: bytes, opens: list[int], lasts: dict[int, tuple[int, int]]) -> int:
         key = (root, tail)
-        if key not in self.keys:
-            self.keys[key] = len(self.held)
-            self.held.append((root, tail, lasts))
-            self.moves.append({})
-            self.ends.append(None)
-        return self.keys[key]
-
-    def merged(self, data: bytes) -> list[int]:
+        found = self.keys.get(key)
+        if found is None:
+            found = self.keys[key] = len(self.held)
+            self.held.append((root, tail, opens, lasts))
+        return found
+
+    def merged(self, data: bytes) -> list[bytes]:
         """BPE by its definition: join the neighbours of the least rank, the leftmost first, until none can be."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            found = [(self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
-            rank, i = min(found)
-            if rank == 1 << 60:
+            rank, i = min((self.ranks.get(a + b, _NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == _NEVER:
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def _edge(self, token: int) -> tuple | None:
+        """What stands at the token's left and right edge while it is built, outermost last.
+
+        None if BPE does not build the token, or not by ever greater ranks: then pairs are tried by `merged`.
+        """
+        if token not in self._edges:
+            data = self.bytes_of[token]
+            parts = [data[i : i + 1] for i in range(len(data))]
+            left, right, last = [parts[0]], [parts[-1]], -1
+            while len(parts) > 1:
+                rank, i = min((self.ranks.get(a + b, _NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+                if rank == _NEVER or rank < last:
+                    break
+                last = rank
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                if i == 0:
+                    left.append(parts[0])
+                if i == len(parts) - 1:
+                    right.append(parts[-1])
+            self._edges[token] = (left, right) if len(parts) == 1 else None
+        return self._edges[token]
 
     def _follows(self, first: int, second: int) -> bool:
-        if second not in self._alone:
-            self._alone[second] = self.merged(self.bytes_of[second]) == [second]
-        if not self._alone[second]:
-            return False
-        if first < 0:
-            return True
-        pair = (first, second)
-        if pair not in self._pairs:
+        """Whether BPE of the joined bytes gives the two tokens."""
+        known = self._pairs.get((first, second))
+        if known is None:
             if len(self._pairs) > 1 << 18:
                 self._pairs.clear()
-            self._pairs[pair] = self.merged(self.bytes_of[first] + self.bytes_of[second]) == [first, second]
-        return self._pairs[pair]
+            known = self._pairs[first, second] = self._tried(first, second)
+        return known
 
-    def _path(self, lasts: tuple, place: int) -> list[int]:
-        """Places on the way from `place` back to the root, the root left out."""
-        out = []
-        while place > 0:
-            out.append(place)
-            place -= len(self.bytes_of[lasts[place - 1]])
-        return out
+    def _tried(self, first: int, second: int) -> bool:
+        if first < 0:
+            return self._edge(second) is not None or self.merged(self.bytes_of[second]) == [self.bytes_of[second]]
+        one, two = self._edge(first), self._edge(second)
+        if one is None or two is None:
+            a, b = self.bytes_of[first], self.bytes_of[second]
+            return self.merged(a + b) == [a, b]
+        # both sides grow in order of rank; they stay apart if no pair at the border is due before its own sides are
+        lefts, rights, i, j = one[1], two[0], 0, 0
+        rank = self.ranks.get
+        while True:
+            across = rank(lefts[i] + rights[j], _NEVER)
+            grow_left = rank(lefts[i + 1]) if i + 1 < len(lefts) else _NEVER
+            grow_right = rank(rights[j + 1]) if j + 1 < len(rights) else _NEVER
+            if across < grow_left and across <= grow_right and across < _NEVER:
+                return False
+            if grow_left == grow_right == _NEVER:
+                return True
+            if grow_left <= grow_right:
+                i += 1
+            else:
+                j += 1
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The next state and the tokens emitted on the way."""
-        known = self.moves[state].get(byte)
-        if known is not None:
-            return known
-        root, tail, lasts = self.held[state]
-        tail += bytes([byte])
-        n = len(tail)
-        last = None
-        for j in range(n):
-            token = self.ranks.get(tail[j:])
-            before = root if j == 0 else lasts[j - 1]
-            if token is not None and before is not None and self._follows(before, token):
-                last = token
-                break
-        lasts = (*lasts, last)
-        open_places = [j for j in range(n) if (j == 0 or lasts[j - 1] is not None) and tail[j:] in self.starts]
-        # places that all open paths share; the latest of them becomes the root
-        shared = self._path(lasts, n)
-        for j in open_places:
-            on = set(self._path(lasts, j))
-            shared = [p for p in shared if p in on]
+        root, tail, opens, lasts = self.held[state]
+        tail += bytes((byte,))
+        n, known, last = len(tail), self.known, None
+        heads = []  # places where a longer token may begin, and the end: all later bytes follow one of their ways
+        for j in opens:
+            found = known.get(tail[j:])
+            if found is None:
+                continue
+            if found[1]:
+                heads.append(j)
+            if last is None and found[0] >= 0 and self._follows(lasts[j][0] if j else root, found[0]):
+                last = (found[0], j)
+        heads.append(n)
+        way = {n: last}
+        ahead = list(heads)
+        while len(ahead) > 1:  # go back from the farthest until the ways meet
+            far = ahead.pop()
+            step = way[far] = way.get(far) or lasts[far]
+            if step[1] not in ahead:
+                ahead.append(step[1])
+                ahead.sort()
+        base = ahead[0]
         emitted: tuple[int, ...] = ()
-        if shared:
-            base = shared[0]
-            emitted = tuple(lasts[p - 1] for p in reversed(shared))
-            kept = []
-            for p in range(base + 1, n + 1):
-                way = self._path(lasts, p) if lasts[p - 1] is not None else []
-                kept.append(lasts[p - 1] if base in way else None)
-            root, tail, lasts = emitted[-1], tail[base:], tuple(kept)
-        out = (self._state(root, tail, lasts), emitted)
-        self.moves[state][byte] = out
-        return out
+        if base:
+            place, out = base, []
+            while place:
+                token, place = last if place == n else lasts[place]
+                out.append(token)
+            emitted = tuple(reversed(out))
+            root, tail = emitted[-1], tail[base:]
+            heads = [j - base for j in heads]
+            way = {p - base: (t, b - base) for p, (t, b) in way.items() if p > base}
+        move = self.moves[state << 8 | byte] = (self._state(root, tail, heads, way), emitted)
+        return move
 
     def finish(self, state: int) -> tuple[int, ...]:
         """The tokens left at the end of the input."""
-        if self.ends[state] is None:
-            _, tail, lasts = self.held[state]
-            self.ends[state] = tuple(lasts[p - 1] for p in reversed(self._path(lasts, len(tail))))
-        return self.ends[state]
+        done = self.ends.get(state)
+        if done is None:
+            _, tail, _, lasts = self.held[state]
+            place, out = len(tail), []
+            while place:
+                token, place = lasts[place]
+                out.append(token)
+            done = self.ends[state] = tuple(reversed(out))
+        return done
 
     def encode(self, data: bytes) -> list[int]:
         """The ids of one match of the pattern."""
@@ -148,7 +194,7 @@ class Transducer:
         out: list[int] = []
         state, moves = 0, self.moves
         for byte in data:
-            move = moves[state].get(byte) or self.step(state, byte)
+            move = moves.get(state << 8 | byte) or self.step(state, byte)
             state = move[0]
             if move[1]:
                 out += move[1]

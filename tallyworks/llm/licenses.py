@@ -62,10 +62,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     # a line of n characters has at most (n + 1) / 2 words; every template shares whole bigrams, so words of its own
     needed = "|".join(sorted({w for _, grams in known for g in grams for w in g.split()}, key=lambda w: (-len(w), w)))
     long_enough = lines.where((F.length("line") >= 2 * fewest + 1) & F.lower("line").rlike(rf"(?<![a-z0-9])({needed})[^a-z0-9]+({needed})(?![a-z0-9])"))
-    grams = long_enough.select("doc_id", _words(F.col("line")).alias("words")).where((F.size("words") >= 2) & (F.size("words") > fewest)).select(
-        "doc_id",
-        F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda i: F.concat_ws(" ", F.get("words", i), F.get("words", i + 1)))).alias("grams"),
-    )
+    # explode(array(x)) keeps x from being written into every place that uses it, and so from being worked out there anew
+    words = long_enough.select("doc_id", F.explode(F.array(_words(F.col("line")))).alias("words")).where((F.size("words") >= 2) & (F.size("words") > fewest))
+    pairs = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1), lambda a, b: F.concat_ws(" ", a, b))
+    grams = words.select("doc_id", F.explode(F.array(F.array_distinct(pairs))).alias("grams"))
     sized = grams.where(F.size("grams").between(fewest, largest))
 
     def dice(name: str, own: list[str]) -> Column:

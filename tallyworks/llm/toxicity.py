@@ -8,8 +8,8 @@ subsequence's weight and do not lose it. It is normalised by both units' norms.
 Training takes the sentences of at most `TRAIN_DOCS` labelled documents (the smallest by hash). Each unit of a sentence
 carries the sentence's label; equal units are one row with the counts of both labels as weights, the `TRAIN_UNITS` most
 informative and most frequent of which are kept. `LANDMARKS` of them map every unit by the Nyström method, and a linear
-machine is fitted there by minimising the squared hinge loss. A logistic curve over (strongest margin, number of units
-with a positive margin), fitted on the same documents, turns a text's margins into a score.
+machine is fitted there by minimising the squared hinge loss. A logistic curve over the strongest margin and the
+number and sum of positive margins, fitted on the same documents, turns a text's margins into a score.
 
 Because the machine is linear in the kernel values, it folds into one weight per subsequence (a table of 32**3 values);
 scoring a unit sums the weights of its subsequences and divides by the unit's norm. This is the same number.
@@ -31,38 +31,46 @@ from pyspark.sql import functions as F
 from tallyworks.llm.text import ChunkTable, grouped, text_column, worker_state
 
 LAMBDA, SPAN, SYMBOLS = 0.6, 6, 32
-TRAIN_DOCS, TRAIN_UNITS, LANDMARKS = 20_000, 12_000, 160
+TRAIN_DOCS, TRAIN_UNITS, LANDMARKS = 8_000, 8_000, 320
 THRESHOLD = 0.7
+#: Margins below this say nothing more about a text.
+FLOOR = 0.0
 #: Units are taken in stretches of this many symbols, which overlap by SPAN.
 STRETCH = 48
 _GAPPED = re.compile(r"(?<!\w)[a-z](?:[\s._*-]{1,3}[a-z](?!\w)){2,40}")
+_PARTED = re.compile(r"[\s._*-]+")
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 
 
-def symbols(unit: str) -> np.ndarray:
-    """1-26 letters, 27 the start of a word, 28-31 other letters and digits, 0 anything else."""
-    codes = np.frombuffer(unit.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
-    other = np.array([c.isalnum() for c in unit], bool) if not unit.isascii() else ((codes >= 48) & (codes <= 57))
-    out = np.where(other, 28 + codes % 4, 0)
-    small = (codes >= 97) & (codes <= 122)
-    out[small] = codes[small] - 96
-    out[codes == 94] = 27
-    return out
+#: Symbols of code points below 128: letters 1-26, 27 the mark of a word's start, digits 28-31, 0 anything else.
+_ASCII = np.zeros(128, np.int32)
+_ASCII[97:123] = np.arange(1, 27)
+_ASCII[94] = 27
+_ASCII[48:58] = 28 + np.arange(48, 58) % 4
 
 
-def stretches(unit: str) -> list[str]:
-    """The whole unit in overlapping stretches."""
-    marked = "^" + unit
-    if len(marked) <= STRETCH:
-        return [marked]
-    return [marked[i : i + STRETCH] for i in range(0, len(marked) - SPAN, STRETCH - SPAN)]
+def symbols(text: str) -> np.ndarray:
+    """A symbol for each character; characters beyond ASCII share four."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    return np.where(codes < 128, _ASCII[codes & 127], 28 + (codes & 3)).astype(np.int32)
 
 
-def units(text: str) -> list[str]:
+def stretches(chunk: str) -> list[str]:
+    """The units of a lower-case chunk: the word with its start marked, as a whole or in overlapping stretches."""
+    word = "^" + chunk.strip(".,;:!?\"'()[]|#$%&*")
+    if len(word) <= STRETCH:
+        return [word]
+    return [word[i : i + STRETCH] for i in range(0, len(word) - SPAN, STRETCH - SPAN)]
+
+
+def chunks(text: str) -> list[str]:
+    """The words of a text in lower case, and its runs of single letters as words."""
     lowered = text.lower()
-    found = [w.strip(".,;:!?\"'()[]|#$%&*") for w in lowered.split()]
-    runs = (re.sub(r"[\s._*-]+", "", m.group()) for m in _GAPPED.finditer(lowered))
-    return [s for w in (*found, *runs) if len(w) > 1 for s in ([f"^{w}"] if len(w) < STRETCH else stretches(w))]
+    return [*lowered.split(), *(_PARTED.sub("", m.group()) for m in _GAPPED.finditer(lowered))]
+
+
+def units(text: str) -> list[str]:
+    return [u for c in chunks(text) for u in stretches(c)]
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,16 +91,16 @@ def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _padded(found: list[str]) -> np.ndarray:
-    rows = np.zeros((len(found), max(3, max(map(len, found)))), np.int64)
-    for i, unit in enumerate(found):
-        rows[i, : len(unit)] = symbols(unit)
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    rows = np.zeros((len(found), max(3, int(sizes.max(initial=0)))), np.int32)
+    rows[np.arange(rows.shape[1]) < sizes[:, None]] = symbols("".join(found))
     return rows
 
 
 def _features(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes of each row with their summed weights, normalised; padding is code 0 with weight 0."""
     codes, weights = subsequences(rows)
-    order = np.argsort(codes, axis=1, kind="stable")
+    order = np.argsort(codes.astype(np.int16), axis=1, kind="stable")
     codes = np.take_along_axis(codes, order, 1)
     summed = np.cumsum(np.where(codes > 0, weights[order], 0), axis=1)
     ends = np.concatenate([codes[:, 1:] != codes[:, :-1], np.ones((len(codes), 1), bool)], 1)
@@ -107,33 +115,52 @@ def _features(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     weight: np.ndarray  # of each subsequence
     bias: float
-    curve: np.ndarray  # intercept, strongest margin, log(1 + positive units)
+    curve: np.ndarray  # intercept, strongest margin, log(1 + positive units), log(1 + 10 * their sum)
 
     def margins(self, found: list[str]) -> np.ndarray:
-        out = np.empty(len(found))
-        by_length = sorted(range(len(found)), key=lambda i: len(found[i]))
+        """Of each unit, but not less than FLOOR.
+
+        A norm is at least that of the same subsequences if no two were equal. Units that this bound keeps below FLOOR
+        are not normalised exactly.
+        """
+        out = np.full(len(found), FLOOR)
+        by_length = np.argsort(np.fromiter(map(len, found), np.int64, len(found)), kind="stable")
         for at in range(0, len(by_length), 2000):
             part = by_length[at : at + 2000]
-            codes, values = _features(_padded([found[i] for i in part]))
-            out[part] = (self.weight[codes] * values).sum(1) + self.bias
+            rows = _padded([found[i] for i in part])
+            codes, weights = subsequences(rows)
+            weights = np.where(codes > 0, weights.astype(np.float32), np.float32(0))
+            sums, least = (self.weight[codes] * weights).sum(1), np.sqrt((weights**2).sum(1))
+            near = np.flatnonzero(sums > (FLOOR - self.bias - 1e-4) * least) if self.bias <= FLOOR else np.arange(len(part))
+            if len(near):
+                codes, values = _features(rows[near])
+                out[part[near]] = np.maximum((self.weight[codes] * values).sum(1) + self.bias, FLOOR)
         return out
 
-    def score(self, strongest: np.ndarray, positive: np.ndarray) -> np.ndarray:
-        x = self.curve[0] + self.curve[1] * strongest + self.curve[2] * np.log1p(positive)
+    def of_chunks(self, found: list[str]) -> list[np.ndarray]:
+        """The margins of each chunk's units."""
+        own = [stretches(c) for c in found]
+        margins = self.margins([u for us in own for u in us]).astype(np.float32)
+        return np.split(margins, np.cumsum([len(us) for us in own])[:-1]) if own else []
+
+    def score(self, strongest: np.ndarray, positive: np.ndarray, total: np.ndarray) -> np.ndarray:
+        x = _curve_inputs(strongest, positive, total) @ self.curve
         return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-#: Margins below this say nothing more about a text.
-FLOOR = -1.0
+def _curve_inputs(strongest: np.ndarray, positive: np.ndarray, total: np.ndarray) -> np.ndarray:
+    return np.stack([np.ones(len(strongest)), strongest, np.log1p(positive), np.log1p(10 * total)], 1)
 
 
-def _summary(texts: list, table: ChunkTable) -> tuple[np.ndarray, np.ndarray]:
-    """Strongest margin and number of positive units of each text."""
-    strongest, positive = np.full(len(texts), FLOOR), np.zeros(len(texts))
+def _summary(texts: list, table: ChunkTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strongest margin, number of positive units and the sum of their margins of each text."""
+    strongest, positive, total = np.full(len(texts), FLOOR), np.zeros(len(texts)), np.zeros(len(texts))
     for group in grouped(texts):
-        found = [units(piece) for _, piece in group]
-        sizes = [len(f) for f in found]
-        margins = table.gather(table.codes([u for f in found for u in f]))
+        found = [chunks(piece) for _, piece in group]
+        codes = table.codes([c for f in found for c in f])
+        held, margins = table.sizes(codes), table.gather(codes)
+        ends = np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], np.cumsum([len(f) for f in found])])]
+        sizes = np.diff(ends).tolist()
         at = 0
         for (i, _), size in zip(group, sizes, strict=True):
             own = margins[at : at + size]
@@ -141,30 +168,42 @@ def _summary(texts: list, table: ChunkTable) -> tuple[np.ndarray, np.ndarray]:
             if size:
                 strongest[i] = max(strongest[i], own.max())
                 positive[i] += (own > 0).sum()
-    return strongest, positive
+                total[i] += own[own > 0].sum()
+    return strongest, positive, total
 
 
-def _fit_machine(z: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-3) -> np.ndarray:
-    """Linear machine with squared hinge loss; Newton steps over the rows inside the margin. The last column is 1."""
-    w = np.zeros(z.shape[1])
-    ridge = reg * np.eye(z.shape[1])
+def _fit_machine(z: np.ndarray, weight: np.ndarray, reg: float = 1e-6) -> np.ndarray:
+    """Linear machine with squared hinge loss by damped Newton steps; `weight` holds each row's weight as label 0 and 1.
+
+    The last column of z is 1.
+    """
     weight = weight / weight.sum()
-    for _ in range(25):
-        inside = y * (z @ w) < 1
-        zi, ci = z[inside], weight[inside]
-        new = np.linalg.solve(ridge + zi.T @ (zi * ci[:, None]), zi.T @ (ci * y[inside]))
-        if np.abs(new - w).max() < 1e-7:
+    ridge = reg * np.eye(z.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        m = z @ w
+        return reg * w @ w + weight[:, 0] @ np.maximum(0, 1 + m) ** 2 + weight[:, 1] @ np.maximum(0, 1 - m) ** 2
+
+    w = np.zeros(z.shape[1])
+    now = loss(w)
+    for _ in range(40):
+        m = z @ w
+        clean, toxic = weight[:, 0] * (m > -1), weight[:, 1] * (m < 1)
+        step = np.linalg.solve(ridge + z.T @ (z * (clean + toxic)[:, None]), z.T @ (toxic - clean)) - w
+        share, was = 1.0, now
+        while share > 1e-4 and (now := loss(w + share * step)) > was:
+            share /= 2
+        if now > was * (1 - 1e-6):
             break
-        w = new
+        w = w + share * step
     return w
 
 
-def _fit_curve(strongest: np.ndarray, positive: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    x = np.stack([np.ones(len(toxic)), strongest, np.log1p(positive)], 1)
-    w = np.zeros(3)
+def _fit_curve(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(3), x.T @ (toxic - p) - 1e-3 * w)
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(x.shape[1]), x.T @ (toxic - p) - 1e-3 * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -187,12 +226,16 @@ def train(rows: list[tuple[str | None, int]], keep: int = TRAIN_UNITS, landmarks
     toxic = np.array([y for _, y in rows], float)
     if not len(rows) or toxic.min() == toxic.max():
         return None
-    counts: dict[str, list[int]] = {}
+    counts: dict = {}
     for text, y in rows:
         for sentence in _SENTENCE.split(text or ""):
-            for unit in set(units(sentence)):
-                counts.setdefault(unit, [0, 0])[y] += 1
-    names = sorted(counts)
+            for chunk in set(chunks(sentence)):
+                counts.setdefault(chunk, [0, 0])[y] += 1
+    by_unit: dict[str, np.ndarray] = {}
+    for chunk, n in counts.items():
+        for unit in stretches(chunk):
+            by_unit[unit] = by_unit.get(unit, 0) + np.array(n)
+    counts, names = by_unit, sorted(by_unit)
     n = np.array([counts[u] for u in names], float).reshape(-1, 2)
     if not len(names):
         return None
@@ -200,8 +243,8 @@ def train(rows: list[tuple[str | None, int]], keep: int = TRAIN_UNITS, landmarks
     informative = np.abs(lean) * np.sqrt(n.sum(1))
     chosen = np.union1d(np.argsort(-informative, kind="stable")[: keep // 2], np.argsort(-n.sum(1), kind="stable")[: keep // 2])
     names, n, lean, informative = [names[i] for i in chosen], n[chosen], lean[chosen], informative[chosen]
-    up = np.argsort(np.where(lean > 0, -informative, 1), kind="stable")[: landmarks * 3 // 4]
-    often = np.argsort(-n.sum(1), kind="stable")[:landmarks]
+    up = np.argsort(np.where(lean > 0, -informative, 1), kind="stable")[: landmarks // 2]
+    often = np.argsort(-n[:, 0], kind="stable")[:landmarks]
     marks = list(dict.fromkeys([*up.tolist(), *often.tolist()]))[:landmarks]
 
     mark_codes, mark_values = _features(_padded([names[i] for i in marks]))
@@ -217,13 +260,11 @@ def train(rows: list[tuple[str | None, int]], keep: int = TRAIN_UNITS, landmarks
     good = eigenvalues > 1e-6 * eigenvalues.max()
     root = vectors[:, good] / np.sqrt(eigenvalues[good])
     z = np.concatenate([kernel @ root, np.ones((len(names), 1))], 1)
-    ys, ws = np.repeat([[-1.0, 1.0]], len(names), 0), n
-    used = ws.ravel() > 0
-    w = _fit_machine(np.repeat(z, 2, 0)[used], ys.ravel()[used], np.sqrt(ws.ravel()[used]))
-    model = Model((table @ (root @ w[:-1])).astype(np.float32), float(w[-1]), np.zeros(3))
+    w = _fit_machine(z, n)
+    model = Model((table @ (root @ w[:-1])).astype(np.float32), float(w[-1]), np.zeros(4))
     model.weight[0] = 0
-    strongest, positive = _summary([t for t, _ in rows], ChunkTable(lambda u: list(model.margins(u)[:, None]), kind=np.float32))
-    model.curve = _fit_curve(strongest, positive, toxic)
+    summary = _summary([t for t, _ in rows], ChunkTable(model.of_chunks, kind=np.float32))
+    model.curve = _fit_curve(_curve_inputs(*summary), toxic)
     return model
 
 
@@ -240,8 +281,8 @@ def scorer(docs: DataFrame, model: Model | None):
         m = held.value
         if m is None:
             return {"score": [0.0] * len(texts), "strongest": [FLOOR] * len(texts), "positive": [0] * len(texts)}
-        table = worker_state(key, lambda: ChunkTable(lambda u: list(m.margins(u)[:, None]), most=400_000, kind=np.float32))
-        strongest, positive = _summary(texts, table)
-        return {"score": m.score(strongest, positive), "strongest": strongest, "positive": positive.astype(np.int32)}
+        table = worker_state(key, lambda: ChunkTable(m.of_chunks, most=400_000, kind=np.float32))
+        strongest, positive, total = _summary(texts, table)
+        return {"score": m.score(strongest, positive, total), "strongest": strongest, "positive": positive.astype(np.int32)}
 
     return text_column(of_texts, "score double, strongest double, positive int", "toxicity")
