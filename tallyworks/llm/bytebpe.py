@@ -5,7 +5,7 @@ neighbours are what BPE gives for their joined bytes. So reading a byte adds one
 that end there; which it is follows from the last tokens at their starts. A state of the transducer is the last token
 that was emitted and the bytes since. A token is emitted once all places where a longer token may still begin lie
 behind it on one path; the lookahead is therefore bounded by the longest token. States and transitions are made when
-first met and kept in tables; the tables start anew when they grow beyond a bound, which changes no result.
+first met and kept; beyond a bound of states, words that need new ones run through the transducer undetermined.
 
 As in the public encoders, a match of the pattern that is itself a token is that token. The pattern never joins a
 character with white space that follows it, so a text falls into chunks (white space, then other text); distinct chunks
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from tallyworks.llm.text import SPACE, ChunkTable, grouped, worker_state
 
 _CHUNK = regex.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
-MOST_STATES = 200_000
+#: Beyond so many states, unseen transitions are not kept: such words run through the transducer undetermined.
+MOST_STATES = 30_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -189,17 +190,42 @@ class Transducer:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        if len(self.held) > MOST_STATES:
-            self.reset()
         out: list[int] = []
         state, moves = 0, self.moves
         for byte in data:
-            move = moves.get(state << 8 | byte) or self.step(state, byte)
+            move = moves.get(state << 8 | byte)
+            if move is None:
+                if len(self.held) >= MOST_STATES:
+                    return self.simulated(data)
+                move = self.step(state, byte)
             state = move[0]
             if move[1]:
                 out += move[1]
         return [*out, *self.finish(state)]
 
+    def simulated(self, data: bytes) -> list[int]:
+        """The same ids without states: all places where a token may begin are followed side by side."""
+        known, follows = self.known, self._follows
+        lasts: list[tuple[int, int]] = [(-1, 0)]
+        opens = [0]
+        for n in range(1, len(data) + 1):
+            heads, last = [], None
+            for j in opens:
+                found = known.get(data[j:n])
+                if found is not None:
+                    if found[1]:
+                        heads.append(j)
+                    if last is None and found[0] >= 0 and follows(lasts[j][0], found[0]):
+                        last = (found[0], j)
+            lasts.append(last)
+            heads.append(n)
+            opens = heads
+        out, place = [], len(data)
+        while place:
+            token, place = lasts[place]
+            out.append(token)
+        return out[::-1]
+
 
 class Encoder:
     """Ids of whole texts."""
@@ -208,7 +234,7 @@ class Encoder:
         self.transducer = Transducer(ranks)
         # white space as the public encoders have it: the Unicode property
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
-        self.table = ChunkTable(self._chunks, most=250_000, kind=np.int32)
+        self.table = ChunkTable(self._chunks, most=450_000, kind=np.int32)
 
     def _chunks(self, chunks: list[str]) -> list[list[int]]:
         encode, find = self.transducer.encode, self.pattern.findall
