@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -57,35 +58,36 @@ class Codes(dict):
         self[key] = n = len(self)
         return n
 
+    def keep(self, most: int) -> None:
+        """Forgets the latest keys beyond `most`."""
+        while len(self) > most:
+            self.popitem()
+
 
 class ChunkTable:
     """Values of distinct chunks, worked out once each and held as one array with starts.
 
-    `work(chunks)` returns an array of integers or floats for each chunk. When more than `most` chunks are held, the
-    table starts anew: this bounds memory and changes no result.
+    `work(chunks)` returns an array of integers or floats for each chunk. At most `most` chunks stay from call to call,
+    the first ones met; later ones are worked out again when they return. This bounds memory and changes no result.
     """
 
     def __init__(self, work: Callable[[list], list[np.ndarray]], most: int = 300_000, kind=np.int64):
-        self.work, self.most, self.kind = work, most, kind
-        self._clear()
-
-    def _clear(self):
+        self.work, self.most = work, most
         self.codes_of = Codes()
-        self.values = np.zeros(0, self.kind)
+        self.values = np.zeros(0, kind)
         self.starts = np.zeros(1, np.int64)
 
     def codes(self, chunks: list) -> np.ndarray:
         """The chunks' numbers. They hold until the next call."""
-        if len(self.codes_of) > self.most:
-            self._clear()
-        known = len(self.codes_of)
+        self.codes_of.keep(self.most)
+        known = min(len(self.starts) - 1, self.most)
         codes = np.fromiter(map(self.codes_of.__getitem__, chunks), np.int64, len(chunks))
         if len(self.codes_of) > known:
-            new = list(self.codes_of)[known:]
-            rows = self.work(new)
+            rows = self.work(list(islice(self.codes_of, known, None)))
             sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-            self.values = np.concatenate([self.values, *(np.asarray(r, self.kind) for r in rows)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            new = np.fromiter(chain.from_iterable(rows), self.values.dtype, int(sizes.sum()))
+            self.starts = np.concatenate([self.starts[: known + 1], self.starts[known] + np.cumsum(sizes)])
+            self.values = np.concatenate([self.values[: self.starts[known]], new])
         return codes
 
     def sizes(self, codes: np.ndarray) -> np.ndarray:
