@@ -7,6 +7,7 @@ depends on neither the number of documents nor their lengths (beyond the text it
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -158,5 +159,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Lets Spark delete the shuffle files of tables that nothing refers to any more; it does so after a collection."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
