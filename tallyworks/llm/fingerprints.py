@@ -121,7 +121,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("place"),
     )
     found = rows.select(F.percentile_approx("place", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("c")).first()["c"]
-    cuts = sorted({float(c) for c in found or []})
+    cuts = sorted({float(c) for c in found or [0]})
     # comparing as doubles may join neighbouring ids beyond 2**53 in a range, which keeps the order
     ranged = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="as_double", outputCol="as_range")
     rows = ranged.transform(rows.withColumn("as_double", F.col("place").cast("double"))).select(
