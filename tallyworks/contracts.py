@@ -267,13 +267,25 @@ def _convert(df: DataFrame, f: T.StructField) -> Column:
     return col.try_cast(target)
 
 
+def _decimal_places(text: Column) -> Column:
+    """How many decimal places a number written as text has, closing zeros left out; exact for any number of digits."""
+    number = r"^\s*[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?"
+    fraction = F.regexp_extract(text, number, 2)
+    digits = F.concat(F.regexp_extract(text, number, 1), fraction)
+    significant = F.rtrim(digits, F.lit("0"))
+    shifted = F.coalesce(F.regexp_extract(text, number, 3).try_cast("int"), F.lit(0))
+    places = F.length(fraction) - (F.length(digits) - F.length(significant)) - shifted
+    return F.when(F.ltrim(significant, F.lit("0")) == "", F.lit(0)).otherwise(places)
+
+
 def _violates(df: DataFrame, f: T.StructField) -> Column:
     source, target, col = df.schema[f.name].dataType, f.dataType, F.col(f.name)
     converted = _convert(df, f)
     bad = converted.isNull()
-    if isinstance(target, T.NumericType) and isinstance(source, (T.StringType, T.NumericType)):
-        # Compared in a wider decimal, so that a dropped fraction or digit shows as a difference.
-        bad = bad | (converted.cast("decimal(38,12)") != col.try_cast("decimal(38,12)"))
+    if isinstance(target, T.NumericType) and isinstance(source, T.NumericType):
+        bad = bad | F.coalesce(converted.try_cast(source) != col, F.lit(True))
+    elif isinstance(target, (T.IntegralType, T.DecimalType)) and isinstance(source, T.StringType):
+        bad = bad | (_decimal_places(col) > getattr(target, "scale", 0))
     elif isinstance(target, T.DateType) and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
         bad = bad | (converted.cast(source) != col)
     limit = f.metadata.get("max_length")

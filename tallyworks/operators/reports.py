@@ -99,14 +99,20 @@ def top_customers(orders: DataFrame, n: int = 10) -> DataFrame:
     return ranked.orderBy(F.desc("revenue_usd"), "customer_name").limit(n)
 
 
-def region_category_matrix(orders: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Revenue per region (rows) and category (columns), 0 where there is none.
+def region_category_matrix(orders: DataFrame) -> DataFrame:
+    """Revenue per region and category that have orders, one row each; any number of categories, none left out."""
+    known = orders.where("region IS NOT NULL AND category IS NOT NULL")
+    return known.groupBy("region", "category").agg(F.sum("total_amount_usd").alias("revenue_usd"))
+
 
-    ``categories`` are the column names, best read off the product dimension; they must cover the
-    orders' categories.
+def category_columns(matrix: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """The matrix as a table: regions as rows, the given categories as columns, 0 where there is no revenue.
+
+    A view for display. What other categories earned is the column ``other_categories``.
     """
-    known = orders.where("region IS NOT NULL AND category IS NOT NULL")
-    return known.groupBy("region").pivot("category", list(categories)).agg(F.sum("total_amount_usd")).fillna(0)
+    named = F.when(F.col("category").isin(list(categories)), F.col("category")).otherwise("other_categories")
+    columns = [*categories, "other_categories"]
+    return matrix.withColumn("category", named).groupBy("region").pivot("category", columns).agg(F.sum("revenue_usd")).fillna(0)
 
 
 def sales_totals(orders: DataFrame) -> DataFrame:
@@ -122,12 +128,12 @@ def sales_totals(orders: DataFrame) -> DataFrame:
     )
 
 
-def analysis_pack(silver: DataFrame, categories: Sequence[str]) -> dict[str, DataFrame]:
+def analysis_pack(silver: DataFrame) -> dict[str, DataFrame]:
     """All analysis reports over the completed orders."""
     orders = completed_orders(silver)
     return {
         "monthly_revenue": monthly_revenue(orders),
         "top_customers": top_customers(orders),
-        "region_category_matrix": region_category_matrix(orders, categories),
+        "region_category_matrix": region_category_matrix(orders),
         "sales_totals": sales_totals(orders),
     }

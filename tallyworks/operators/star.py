@@ -77,9 +77,17 @@ def dim_employee(reps: DataFrame, run_ts: datetime, existing: DataFrame | None =
 
 
 def _one_record(df: DataFrame, key: str, modified: str) -> DataFrame:
-    if modified not in df.columns:
-        return df
-    return latest_per_key(df, key, modified, [c for c in df.columns if c not in (key, modified)])
+    """One record of each key, the last modified (or the greatest, where no time is given); rows without a key are
+    left out, see ``without_key``."""
+    order = ([modified] if modified in df.columns else []) + [c for c in df.columns if c not in (key, modified)]
+    if not order:
+        return df.where(F.col(key).isNotNull()).distinct()
+    return latest_per_key(df.where(F.col(key).isNotNull()), key, order[0], order[1:])
+
+
+def without_key(df: DataFrame, key: str) -> DataFrame:
+    """The master rows that no dimension can take, to be counted or set aside."""
+    return df.where(F.col(key).isNull())
 
 
 def dim_date(dates: DataFrame, date_col: str = "order_date") -> DataFrame:

@@ -4,8 +4,9 @@ from decimal import Decimal
 import pytest
 from conftest import RUN, by
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyworks.contracts import DAILY_SUMMARY, DIM_CUSTOMER, FACT_ORDERS
+from tallyworks.contracts import DAILY_SUMMARY, DIM_CUSTOMER, FACT_ORDERS, TableContract, conform_strict
 from tallyworks.operators import reports, star, summary
 from tallyworks.operators.keys import assign_surrogate_keys
 
@@ -179,10 +180,14 @@ def test_analysis_reports(spark):
              ('3', '2024-02-01', 'a', 'X', 'APAC', 2, true, 'Completed'), ('4', '2024-02-01', 'a', 'X', 'APAC', 99, false, 'Completed'),
              ('5', '2024-02-01', 'a', 'X', 'APAC', 99, true, 'Pending') AS t(o, d, c, cat, r, v, cur, s)"""
     )
-    pack = reports.analysis_pack(silver, ["X", "Y"])
+    pack = reports.analysis_pack(silver)
     assert [tuple(r) for r in pack["monthly_revenue"].collect()] == [("2024-01", 12), ("2024-02", 2)]
     assert [r.customer_name for r in pack["top_customers"].collect()] == ["Na", "Nb"]
-    assert sorted(map(tuple, pack["region_category_matrix"].collect())) == [("APAC", 2, 0), ("EMEA", 5, 7)]
+    matrix = pack["region_category_matrix"]
+    assert sorted(map(tuple, matrix.collect())) == [("APAC", "X", 2), ("EMEA", "X", 5), ("EMEA", "Y", 7)]
+    table = reports.category_columns(matrix, ["X"])  # a category that is not listed still counts
+    assert table.columns == ["region", "X", "other_categories"]
+    assert sorted(map(tuple, table.collect())) == [("APAC", 2, 0), ("EMEA", 5, 7)]
     totals = pack["sales_totals"].collect()[0]
     assert (totals.total_revenue_usd, totals.order_count, totals.customer_count, totals.first_date) == (14, 3, 2, date(2024, 1, 3))
 
@@ -191,3 +196,23 @@ def test_calendar(spark):
     days = star.dim_date(spark.sql("SELECT explode(array(date '2023-12-30', date '2024-01-02', NULL)) AS order_date"))
     assert [r.date_sk for r in days.orderBy("date_sk").collect()] == [20231230, 20231231, 20240101, 20240102]
     assert star.dim_date(spark.sql("SELECT cast(NULL AS date) AS order_date")).count() == 0
+
+
+def test_dimension_keys_null_and_repeated(spark):
+    rows = [("C1", "b"), ("C1", "a"), (None, "x"), ("C2", "c")]
+    master = spark.createDataFrame(rows, "customer_id string, customer_name string").withColumn("is_active", F.lit(True))
+    assert star.without_key(master, "customer_id").count() == 1
+    held = None
+    for day in (1, 2, 3):
+        dim = star.dim_customer(master, datetime(2024, 3, day), held)
+        held = spark.createDataFrame(dim.collect(), dim.schema)
+        assert sorted(r.customer_id for r in held.collect()) == ["C1", "C2"]
+
+
+def test_lossless_typing_of_long_numbers(spark):
+    good = ["1.2500", "1.25000000000000000", "1e2", "150e-1", "0", "-0.0000", "12.34e1", "00012"]
+    bad = ["1.0000000000001", "1.00001", "1e-5", "abc", "1.2.3", "99999999999999999999", "1.23456e0"]
+    contract = TableContract("numbers", T.StructType([T.StructField("given", T.StringType()), T.StructField("quantity", T.DecimalType(18, 4))]))
+    df = spark.createDataFrame([(v, v) for v in good + bad], "given string, quantity string")
+    errors = {r.given: r["_conform_errors"] for r in conform_strict(df, contract).collect()}
+    assert not any(errors[v] for v in good) and all(errors[v] == ["quantity"] for v in bad)

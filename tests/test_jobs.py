@@ -243,7 +243,7 @@ def test_day_three(spark, lake):
     pack = gold.analysis_pack(spark, lake)
     assert pack["sales_totals"].collect()[0].order_count == 4
     assert [r.customer_name for r in pack["top_customers"].collect()] == ["Name C1", "Name C2", "Name C3"]
-    assert pack["region_category_matrix"].columns == ["region", "Parts"]
+    assert {r.category for r in pack["region_category_matrix"].collect()} == {"Parts"}
 
     # Rebuilding from nothing gives the same facts, surrogate keys aside.
     gold.build_gold(spark, lake, data, DAY3, at(DAY3, 8), full_refresh=True)
