@@ -175,7 +175,10 @@ def fact_rows(resolved: DataFrame, run_ts: datetime, run_id: str | None = None)
 
 def fact_orders(resolved: DataFrame, run_ts: datetime, run_id: str | None = None) -> DataFrame:
     """The whole fact table from resolved orders."""
-    rows = fact_rows(resolved, run_ts, run_id)
+    return number_facts(fact_rows(resolved, run_ts, run_id))
+
+
+def number_facts(rows: DataFrame) -> DataFrame:
     return conform_to_contract(assign_surrogate_keys(rows, "sales_order_sk", ["order_id"]), FACT_ORDERS)
 
 

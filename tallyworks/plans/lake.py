@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from tallyworks.contracts import (
-    CONTROL_LOG,
     DAILY_SUMMARY,
+    DATE,
     DIM_CUSTOMER,
     DIM_DATE,
     DIM_EMPLOYEE,
     DIM_PRODUCT,
     FACT_ORDERS,
+    LONG,
     SILVER_ORDERS,
     STR,
     columns,
@@ -22,8 +23,12 @@ from tallyworks.sources.snapshots import SnapshotTable
 MONTH = "_month"
 
 
+def _with(schema, *more):
+    return columns(*[(f.name, f.dataType, f.nullable) for f in schema], *more)
+
+
 def _by_month(schema):
-    return columns(*[(f.name, f.dataType, f.nullable) for f in schema], (MONTH, STR))
+    return _with(schema, (MONTH, STR))
 
 
 @dataclass(frozen=True)
@@ -53,8 +58,14 @@ class Lake:
         )
 
     @property
-    def control(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.root}/ctrl/pipeline_control", CONTROL_LOG.schema)
+    def control(self) -> str:
+        """The run log: a folder of its own for each write, so that jobs which end together do not meet."""
+        return f"{self.root}/ctrl/pipeline_runs"
+
+    @property
+    def gold_progress(self) -> SnapshotTable:
+        """The silver state that the fact reflects; 0 while it has to be rebuilt."""
+        return SnapshotTable(f"{self.root}/ctrl/gold_progress", columns(("silver_version", LONG)))
 
     @property
     def customers(self) -> SnapshotTable:
@@ -78,13 +89,20 @@ class Lake:
                              ("order_date", "customer_sk", "product_sk"))
 
     @property
-    def unresolved(self) -> str:
-        return f"{self.root}/fact/sales_orders_unresolved"
+    def unresolved(self) -> SnapshotTable:
+        """Current orders whose customer or product is not known yet."""
+        schema = _with(SILVER_ORDERS.schema, ("unresolved", STR), ("run_id", STR))
+        return SnapshotTable(f"{self.root}/fact/sales_orders_waiting", schema)
 
     @property
     def daily_summary(self) -> SnapshotTable:
         return SnapshotTable(f"{self.root}/agg/sales_daily_summary", _by_month(DAILY_SUMMARY.schema), (MONTH,),
                              ("order_date", "region", "category"))
 
+    @property
+    def summary_due(self) -> SnapshotTable:
+        """Dates whose facts changed since the summary was refreshed."""
+        return SnapshotTable(f"{self.root}/agg/sales_daily_summary_due", columns(("order_date", DATE)))
+
     def reference(self, name: str) -> str:
         return f"{self.root}/bronze/reference_{name}"

@@ -6,6 +6,7 @@ import pytest
 from conftest import by
 from pyspark.sql import functions as F
 
+from tallyworks.operators import star, summary
 from tallyworks.operators.control import SilverNotReady
 from tallyworks.operators.quality import DataQualityError
 from tallyworks.plans import gold, ingest, runlog, silver
@@ -107,10 +108,72 @@ def test_gold_after_day_two(spark, lake):
     facts = by(lake.fact_orders.read(spark))
     assert set(facts) == {"A1", "A2", "A3"} and facts["A2"].status == "Completed"
     assert sorted(f.sales_order_sk for f in facts.values()) == [1, 2, 3]
-    waiting = read_table(spark, lake.unresolved).collect()
+    waiting = lake.unresolved.read(spark).collect()
     assert [(r.order_id, r.unresolved) for r in waiting] == [("A4", "customer_id")]
 
 
+def same_as_rebuilt(spark, lake):
+    """Facts and summary hold what a rebuild from the stored silver and dimensions gives, keys and run marks aside."""
+    dims = [t.read(spark) for t in (lake.customers, lake.products, lake.employees)]
+    resolved = star.resolve_keys(lake.silver_orders.read(spark).where("_is_current"), *dims)
+    own = ["sales_order_sk", "created_ts", "updated_ts", "pipeline_run_id"]
+    want = star.fact_orders(resolved, at(DAY3, 12)).drop(*own)
+    held = lake.fact_orders.read(spark).drop(MONTH)
+    assert sorted(map(str, held.drop(*own).collect())) == sorted(map(str, want.select(*held.drop(*own).columns).collect()))
+    own = ["refreshed_ts", "pipeline_run_id"]
+    want = summary.daily_summary(held, dims[1], at(DAY3, 12)).drop(*own)
+    stored = lake.daily_summary.read(spark).select(*want.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, want.collect()))
+
+
+def test_summary_holds_every_touched_date(spark, lake):
+    assert lake.daily_summary.read(spark).count() == 3
+    assert lake.summary_due.read(spark).count() == 0
+    same_as_rebuilt(spark, lake)
+
+
+def test_gold_makes_up_for_a_run_that_died_after_the_dimensions(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    run_day(spark, lake, [*FIRST, (*SECOND[2][:10], at(DAY1, 1))], DAY1, ["C1", "C2"])
+    data = master(spark, "C1", "C2", "C3", industry="Games")
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "refresh_fact", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            gold.build_gold(spark, lake, data, DAY1, at(DAY1, 7))
+    with monkeypatch.context() as patch:  # and once more between fact and summary
+        patch.setattr(gold, "refresh_due_summary", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            gold.build_gold(spark, lake, data, DAY1, at(DAY1, 8))
+    assert gold.build_gold(spark, lake, data, DAY1, at(DAY1, 9)).rows == 0
+    assert set(by(gold.sales_overview(spark, lake))) == {"A1", "A2", "A3", "A4"}
+    assert lake.unresolved.read(spark).count() == 0
+    same_as_rebuilt(spark, lake)
+
+
+def test_gold_sees_a_silver_day_repeated_late(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    run_day(spark, lake, FIRST, DAY1, ["C1", "C2", "C3"])
+    run_day(spark, lake, [(*FIRST[0][:4], 7, *FIRST[0][5:10], at(DAY3, 1))], DAY3, ["C1", "C2", "C3"])
+    late = source(spark, *SECOND).withColumns({"_ingestion_ts": F.lit(at(DAY2)), "ingestion_date": F.lit(DAY2),
+                                                "_source_file": F.lit("late"), "_is_deleted": F.lit(False)})
+    silver.build_silver(spark, lake, rates(spark), DAY2, at(DAY2, 4), bronze=late)
+    gold.build_gold(spark, lake, master(spark, "C1", "C2", "C3"), DAY3, at(DAY3, 8))
+    facts = by(lake.fact_orders.read(spark))
+    assert set(facts) == {"A1", "A2", "A3", "A4"} and facts["A2"].status == "Completed" and facts["A1"].quantity == 7
+    same_as_rebuilt(spark, lake)
+
+
+def test_pipelines_that_end_together_are_all_logged(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    lake = Lake(str(tmp_path))
+    with ThreadPoolExecutor(6) as pool:
+        work = lambda run_id, _: runlog.RunResult(run_id, 1, at(DAY2))
+        done = [pool.submit(runlog.run_logged, spark, lake, f"job {i}", at(DAY1, i), work) for i in range(6)]
+        assert [d.result().rows for d in done] == [1] * 6
+    assert sorted(r.pipeline_name for r in runlog.log(spark, lake).collect()) == [f"job {i}" for i in range(6)]
+
+
 def test_summary_refresh_by_date_and_in_full(spark, lake, tmp_path):
     gold.refresh_summary(spark, lake, at(DAY2, 7), "RUN-F", None)
     full = lake.daily_summary.read(spark)
@@ -227,6 +290,7 @@ def test_day_three(spark, lake):
     )
     data = gold.MasterData(renamed, data.products, data.representatives)
     gold.build_gold(spark, lake, data, DAY3, at(DAY3, 6))
+    same_as_rebuilt(spark, lake)
     stored = lake.fact_orders.read(spark)
     after = by(stored)
     assert stored.count() == 4
