@@ -1,12 +1,13 @@
 """Line dedup by overlapping three-line windows (operator 10).
 
 Every three consecutive lines of a document are a window, known by two 64-bit hashes. The first occurrence of a window in the
-corpus, by (doc_id, place), stays; the lines of all later ones are covered, and covered lines are removed. Occurrences
-that overlap cover their union. The other lines keep their order and are joined again by a line feed.
+corpus, by (doc_id, hash of the whole text, place), stays; the lines of all later ones are covered, and covered lines are
+removed. Occurrences that overlap cover their union. The other lines keep their order and are joined again by a line feed.
 
 Lines end at line feeds and are compared as they are. Documents with fewer than three lines have no window and stay as
-they are, as do null and empty texts. Rows without an id come before all ids. Rows that repeat an id are the same
-occurrence, so none of them is later than the other. A document may lose all its lines; its row stays, with an empty text.
+they are, as do null and empty texts. Rows without an id come before all ids. Different texts under one id, or without
+one, are documents of their own. Rows alike in id and text are the same occurrence, so none of them is later than the
+other. A document may lose all its lines; its row stays, with an empty text.
 """
 
 from __future__ import annotations
@@ -24,8 +25,16 @@ WINDOW = 3
 _FIRST = -(1 << 63)
 
 
+def _at() -> Column:
+    """What tells documents apart, in their order: doc_id (the least value for null) and the hash of the whole text."""
+    return F.struct(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own"),
+    )
+
+
 def windows(docs: DataFrame) -> DataFrame:
-    """at (doc_id, the least value for null), place (from 0), one, two (hashes) of every window."""
+    """at (id, own), place (from 0), one, two (hashes) of every window."""
     lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)
     hashes = F.when(
         F.size("lines") >= WINDOW,
@@ -37,7 +46,7 @@ def windows(docs: DataFrame) -> DataFrame:
             ),
         ),
     )
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("at"), lines.alias("lines"))
+    rows = docs.select(_at().alias("at"), lines.alias("lines"))
     return rows.select("at", F.posexplode(hashes).alias("place", "hash")).select("at", "place", "hash.one", "hash.two")
 
 
@@ -78,7 +87,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     key, places = fresh_name(docs, "row_key"), fresh_name(docs, "later_places")
     count = fresh_name(docs, "removed_lines")
     later = later_windows(docs).groupBy(F.col("at").alias(key)).agg(F.collect_set("place").alias(places))
-    joined = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))).join(later, key, "left")
+    joined = docs.withColumn(key, _at()).join(later, key, "left")
     covered: Column = F.when(F.col(places).isNull(), F.lit(0)).otherwise(
         F.size(F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + (WINDOW - 1))))))
     )

@@ -295,3 +295,30 @@ def test_line_dedup(docs, none):
         want[i] = (t if not covered else "\n".join(x for k, x in enumerate(lines) if k not in covered), len(covered))
     assert kept == want and kept[17][1] == 6 and kept[2][0] is None
     assert linededup.without_repeats(none).count() == 0
+
+
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    """Rows without an id, and different texts under one id, are documents of their own."""
+    rows = [
+        (None, "a1\na2\na3\nown 1"),
+        (None, "p\nq\nr\ns\nt\nu\na1\na2\na3\nown 2"),
+        (None, "a1\na2\na3\nown 3"),  # the same window at the same place
+        (5, "b1\nb2\nb3"),
+        (5, "only here"),
+        (5, "c\nd\ne\nf\nb1\nb2\nb3\nown 5"),
+        (6, "a2\na3\nown 3\nb1\nb2\nb3\nown 6"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = df.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()
+    seen, want = set(), []
+    for i, t in order:
+        lines = t.split("\n")
+        covered = set()
+        for k in range(len(lines) - 2):
+            w = tuple(lines[k : k + 3])
+            covered |= {k, k + 1, k + 2} if w in seen else set()
+            seen.add(w)
+        want.append((i, "\n".join(x for k, x in enumerate(lines) if k not in covered), len(covered)))
+    got = [tuple(r) for r in linededup.without_repeats(df).select("doc_id", "text", "removed_lines").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sum(t.count("a1") for _, t, _ in got) == sum(t.count("b1") for _, t, _ in got) == 1
