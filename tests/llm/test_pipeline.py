@@ -48,6 +48,24 @@ def test_stages(spark, corpus):
             assert ids == was
 
 
+def test_near_duplicates_go_by_row(spark):
+    """One row of each group stays, whatever its id; a unique text under a copy's id stays too."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words, "and", "more"])
+    rows = [
+        (1, " ".join(words)), (2, near), (2, "a text of its own under the id of a near copy"),
+        (None, " ".join(words)), (None, "no id but a copy of another row"), (None, "no id but a copy of another row"),
+        (7, "the same row twice under one id"), (7, "the same row twice under one id"), (7, "THE same  row twice under one id"),
+        (8, ""), (8, ""), (None, None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [((r["doc_id"], r["text"]), r["text"] and r["text"].lower().split()) for r in jaccard.first_of_each(df).collect()]
+    assert len(got) == 7 and jaccard.first_of_each(df).columns == ["doc_id", "text"]
+    plain = sorted([(i, t) for (i, t), _ in got if i != 7], key=repr)
+    want = [(1, rows[0][1]), rows[2], rows[4], (8, ""), (8, ""), (None, None)]
+    assert plain == sorted(want, key=repr) and [i for (i, _), _ in got].count(7) == 1
+
+
 def test_run(spark, corpus):
     rows = corpus_pipeline.run(spark, corpus)
     assert set(rows.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
