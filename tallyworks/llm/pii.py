@@ -215,24 +215,35 @@ class Field:
         e[np.arange(steps), labels] -= 1
         return e, m
 
-    def decode(self, runs: list[list[list[str]]]) -> list[np.ndarray]:
-        """The best labels of each run of feature lists; runs of a length are decoded together."""
+    def decode(self, runs: list) -> list[np.ndarray]:
+        """The best labels of each run of feature lists; runs of a length are decoded together.
+
+        Features are asked for in stretches of `STRETCH` words; the scores go on from one to the next, and labels are
+        followed back through the pointers of the whole run.
+        """
         out: list[np.ndarray] = [np.zeros(0, int)] * len(runs)
         by: dict[int, list[int]] = {}
         for i, run in enumerate(runs):
             by.setdefault(len(run), []).append(i)
         move, n = self._moves(), len(LABELS)
         for steps, rows in by.items():
-            for at in range(0, len(rows), 4096):
-                part = rows[at : at + 4096]
-                score = np.array([[self.emit[[self.index[f] for f in feats if f in self.index]].sum(0) for feats in runs[i]] for i in part])
-                best = move[n] + score[:, 0]
+            together = max(1, min(4096, WORDS // steps))
+            for at in range(0, len(rows), together):
+                part = rows[at : at + together]
                 came = np.zeros((steps, len(part), n), np.int8)
-                for t in range(1, steps):
-                    through = best[:, :, None] + move[None, :n]
-                    came[t] = through.argmax(1)
-                    best = through.max(1) + score[:, t]
-                labels = np.zeros((len(part), steps), int)
+                best = None
+                for start in range(0, steps, STRETCH):
+                    held = [runs[i][start : start + STRETCH] for i in part]
+                    score = np.array([[self.emit[[self.index[f] for f in feats if f in self.index]].sum(0) for feats in run] for run in held])
+                    for t in range(score.shape[1]):
+                        if best is None:
+                            best = move[n] + score[:, 0]
+                            continue
+                        through = best[:, :, None] + move[None, :n]
+                        came[start + t] = through.argmax(1)
+                        best = through.max(1) + score[:, t]
+                    best = best - best.max(1, keepdims=True)  # only differences count; sums stay small
+                labels = np.zeros((len(part), steps), np.int8)
                 labels[:, -1] = best.argmax(1)
                 for t in range(steps - 1, 0, -1):
                     labels[:, t - 1] = came[t][np.arange(len(part)), labels[:, t]]
@@ -246,23 +257,42 @@ def field() -> Field:
     return Field()
 
 
-#: Runs of marked words are decoded in stretches of at most this many.
-RUN = 256
+#: Words of a run whose features are held at a time, and words of all runs that are decoded together.
+STRETCH, WORDS = 256, 1 << 20
+
+
+class Run:
+    """A run of marked words of a text; slices give the words' features."""
+
+    def __init__(self, text: str, spans: list[tuple[int, int]]):
+        self.text, self.spans = text, spans
+        self.before = text[max(0, spans[0][0] - 40) : spans[0][0]].split()[-1:]
+        self.after = text[spans[-1][1] : spans[-1][1] + 40].split()[:1]
+
+    def __len__(self) -> int:
+        return len(self.spans)
+
+    def __getitem__(self, at: slice) -> list[list[str]]:
+        start, stop, _ = at.indices(len(self.spans))
+        low, high = max(0, start - 1), min(len(self.spans), stop + 1)
+        words = [self.text[a:b] for a, b in self.spans[low:high]]
+        if start == 0:
+            words = [*self.before, *words]
+        if stop == len(self.spans):
+            words += self.after
+        first = len(self.before) if start == 0 else 1
+        return [_features(words, first + i) for i in range(stop - start)]
 
 
-def _runs(text: str) -> list[tuple[list[tuple[int, int]], list[list[str]]]]:
-    """Word positions and features of each run of marked words of the text."""
+def _runs(text: str) -> list[Run]:
+    """Each run of marked words of the text, whole."""
     found = [m.span() for m in _MARKED.finditer(text)]
     out, at = [], 0
     while at < len(found):
         end = at + 1
-        while end < len(found) and end - at < RUN and text[found[end - 1][1] : found[end][0]].isspace():
+        while end < len(found) and text[found[end - 1][1] : found[end][0]].isspace():
             end += 1
-        spans = found[at:end]
-        before = text[max(0, spans[0][0] - 40) : spans[0][0]].split()[-1:]
-        after = text[spans[-1][1] : spans[-1][1] + 40].split()[:1]
-        words = [*before, *(text[a:b] for a, b in spans), *after]
-        out.append((spans, [_features(words, len(before) + i) for i in range(len(spans))]))
+        out.append(Run(text, found[at:end]))
         at = end
     return out
 
@@ -278,10 +308,10 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
 def spans_of(texts: list[str | None]) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text."""
     base = [base_spans(t or "") for t in texts]
-    runs = [(i, *run) for i, t in enumerate(texts) for run in _runs(t or "")]
+    runs = [(i, run) for i, t in enumerate(texts) for run in _runs(t or "")]
     out = [(b, list(b)) for b in base]
-    for (i, spans, _), labels in zip(runs, field().decode([r[2] for r in runs]), strict=True):
-        text, at = texts[i], 0
+    for (i, run), labels in zip(runs, field().decode([run for _, run in runs]), strict=True):
+        text, spans, at = texts[i], run.spans, 0
         while at < len(spans):
             name = LABELS[labels[at]]
             end = at + 1

@@ -129,6 +129,27 @@ def test_viterbi_is_the_best_path():
     assert tuple(field.decode([run])[0]) == best
 
 
+@pytest.mark.parametrize("lead", ["", "7 "])
+def test_pii_runs_are_decoded_whole(lead):
+    """A span is found as one wherever it lies in a long run, as by one pass over the whole run."""
+    text = lead + "(020) 555-7713\n" * 400
+    field, words = pii.field(), text.split()
+    move, n = field._moves(), len(pii.LABELS)
+    emit = [field.emit[[field.index[f] for f in pii._features(words, i) if f in field.index]].sum(0) for i in range(len(words))]
+    best, came = move[n] + emit[0], []
+    for e in emit[1:]:
+        through = best[:, None] + move[:n]
+        came.append(through.argmax(0))
+        best = through.max(0) + e
+    path = [int(best.argmax())]
+    for c in reversed(came):
+        path.append(int(c[path[-1]]))
+    (run,) = pii._runs(text)
+    assert field.decode([run])[0].tolist() == path[::-1]
+    (_, every), = pii.spans_of([text])
+    assert len(every) == sum(pii.LABELS[k].startswith("B") for k in path)
+
+
 def test_fingerprints(docs, none):
     got = fingerprints.fingerprints(docs).collect()
     ordered = sorted(texts())
