@@ -91,6 +91,27 @@ def test_licenses(docs, none):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_licenses_over_lines(spark):
+    """Notices wrapped over lines, with signs and empty lines between; lines beside them do not count."""
+    mit = next(t for name, t in licenses.TEMPLATES if name == "MIT" and len(t) > 50).split()
+    apache = max((t for name, t in licenses.TEMPLATES if name == "Apache-2.0"), key=len).split()
+    bsd = next(t for name, t in licenses.TEMPLATES if name == "BSD-3-Clause").split()
+    rows = [
+        (1, "some code\n# " + "\n#\n# ".join(" ".join(mit[k : k + 7]) for k in range(0, len(mit), 7)) + "\nmore code"),
+        (2, " ".join(apache[:11]) + "\n" + " ".join(apache[11:])),
+        (3, "\n".join(bsd)),
+        (4, "Released under the MIT License.\nReleased under the MIT License\nof it"),
+        (None, "x\nLicensed under\nCC BY 4.0."),
+        (5, "permission software\nlicense restriction"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["license"]): (r["dice"], r["lines"]) for r in licenses.scan(df).collect()}
+    assert got == {
+        (1, "MIT"): (1.0, -(-len(mit) // 7)), (2, "Apache-2.0"): (1.0, 2), (3, "BSD-3-Clause"): (1.0, len(bsd)),
+        (4, "MIT"): (1.0, 2), (None, "CC-BY-4.0"): (1.0, 2),
+    }
+
+
 def test_pii_base_and_added():
     text = ROWS[13][1]
     base, every = pii.spans_of([text])[0]
