@@ -339,7 +339,6 @@ def top_customers(spark, sf):
     return reports.top_customers(reports.completed_orders(tb.silver_orders(spark, sf)))
 
 
-# The part types of the sample tables.
 @query("region:s category:s revenue_usd:d")
 def region_category_matrix(spark, sf):
     return reports.region_category_matrix(reports.completed_orders(tb.silver_orders(spark, sf)))
