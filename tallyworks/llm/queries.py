@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import bytebpe, fingerprints, jaccard, language, licenses, linededup, packing, pii, topk, toxicity
-from tallyworks.llm.text import documents
+from tallyworks.llm import (
+    bytebpe,
+    collocations,
+    fingerprints,
+    jaccard,
+    language,
+    licenses,
+    linededup,
+    packing,
+    pii,
+    prefixtrie,
+    topk,
+    toxicity,
+    warc,
+)
+from tallyworks.llm.text import documents, fresh_folder
 
 
 def _remainder(divisor: int):
@@ -71,9 +85,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "removed_lines", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    found = warc.catalogue(warc.captures(warc.read_records(spark, path)))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversed = prefixtrie.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefixtrie.prefix_nodes(prefixtrie.regrown(conversed)).drop("node", "parent")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_licenses, op3_personal_data, op4_fingerprints, op5_language, op6_exact_top_k, op7_packing, op8_byte_bpe, op9_jaccard_join, op10_line_dedup)
+    for f in (
+        op1_toxicity, op2_licenses, op3_personal_data, op4_fingerprints, op5_language, op6_exact_top_k, op7_packing, op8_byte_bpe,
+        op9_jaccard_join, op10_line_dedup, op11_warc, op12_prefix_trie, op13_collocations,
+    )
 }
 
 _OP6 = """
@@ -120,4 +153,7 @@ ORACLES: dict[str, str] = {
     "op6_exact_top_k": _OP6,
     "op9_jaccard_join": _OP9,
     "op10_line_dedup": linededup.ORACLE_SQL,
+    "op11_warc": warc.ORACLE_SQL,
+    "op12_prefix_trie": prefixtrie.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
 }

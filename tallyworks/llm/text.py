@@ -151,10 +151,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def fresh_folder(spark: SparkSession, kind: str) -> str:
+    """A name for a new folder inside the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The table written to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, "llm")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
