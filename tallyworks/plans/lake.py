@@ -15,8 +15,11 @@ from tallyworks.contracts import (
     LONG,
     SILVER_ORDERS,
     STR,
+    TS,
+    TableContract,
     columns,
 )
+from tallyworks.operators.late import DELIVERED
 from tallyworks.sources.snapshots import SnapshotTable
 
 # Gold tables are stored by month; the month column exists in storage only.
@@ -31,6 +34,17 @@ def _by_month(schema):
     return _with(schema, (MONTH, STR))
 
 
+# Silver keeps when a version was delivered, which the contract does not list, so that late versions find their place.
+STORED_SILVER = TableContract(
+    name=SILVER_ORDERS.name,
+    schema=_with(SILVER_ORDERS.schema, (DELIVERED, TS)),
+    primary_key=SILVER_ORDERS.primary_key,
+    partition_by=SILVER_ORDERS.partition_by,
+    not_null=SILVER_ORDERS.not_null,
+    row_checks=SILVER_ORDERS.row_checks,
+)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Base folder of one environment."""
@@ -52,8 +66,8 @@ class Lake:
     def silver_orders(self) -> SnapshotTable:
         return SnapshotTable(
             f"{self.root}/silver/sales_orders_cleansed",
-            SILVER_ORDERS.schema,
-            SILVER_ORDERS.partition_by,
+            STORED_SILVER.schema,
+            STORED_SILVER.partition_by,
             ("order_date", "customer_id", "product_id"),
         )
 

@@ -8,16 +8,16 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.contracts import SILVER_ORDERS, conform_to_contract
+from tallyworks.contracts import conform_to_contract
 from tallyworks.functions import default_processing_date, row_hash, standardise_status
-from tallyworks.operators import quality, scd2
+from tallyworks.operators import control, late, quality, scd2
 from tallyworks.operators.cleanse import cleanse
 from tallyworks.operators.fx import convert_to_usd, usable_rates
 from tallyworks.operators.latest import latest_per_key
 from tallyworks.operators.star import enrich_orders
 from tallyworks.plans.ingest import read_bronze_orders
-from tallyworks.plans.lake import Lake
-from tallyworks.plans.runlog import RunResult, run_logged
+from tallyworks.plans.lake import STORED_SILVER, Lake
+from tallyworks.plans.runlog import RunResult, log, run_logged
 from tallyworks.session import BROADCAST_ROWS, stage
 from tallyworks.sources.layout import cluster_rewrite, files_for, stored_bytes
 from tallyworks.sources.snapshots import SnapshotTable
@@ -44,7 +44,7 @@ def stage_orders(
     alone is no change of the order.
     """
     latest = latest_per_key(cleanse(bronze, status_rule), "order_id", "_ingestion_ts", tie_breakers)
-    hashed = latest.withColumn("_source_hash", row_hash(scd2.ORDER_HASH_COLUMNS))
+    hashed = latest.withColumns({"_source_hash": row_hash(scd2.ORDER_HASH_COLUMNS), late.DELIVERED: F.col("_ingestion_ts")})
     return scd2.stage(convert_to_usd(hashed, usable_rates(fx, rate_date)), run_ts, hash_cols=None)
 
 
@@ -62,7 +62,8 @@ def build_silver(
 ) -> RunResult:
     """Merge one ingestion date (by default yesterday's) into silver, or rebuild it from everything.
 
-    Only the months that hold a new or changed order are rewritten.
+    Only the months that hold a new or changed order are rewritten. Days may be run in any order and again: once a later
+    day has been run, an earlier day's versions go between those held.
     """
     processing_date = processing_date or default_processing_date(run_ts)
 
@@ -72,20 +73,32 @@ def build_silver(
         staged = stage_orders(scanned, fx, processing_date, run_ts)
         if customers is not None and products is not None:
             staged = enrich_orders(staged, customers, products)
-        staged = conform_to_contract(staged, SILVER_ORDERS)
+        staged = conform_to_contract(staged, STORED_SILVER)
         table = lake.silver_orders
         if full_refresh or not table.exists(spark):
             rows = stage(staged, "silver")
             write_months(rows, table, None, optimize, stored=True)
             changed = rows.count()
         else:
-            changed = merge_orders(spark, lake, staged, run_ts, optimize)
+            last = last_day_seen(spark, lake)
+            if last is not None and last > processing_date:
+                d = F.col("ingestion_date")
+                later = raw.where((d > F.lit(processing_date)) & (d <= F.lit(last)))
+                changed = place_orders(spark, lake, late.with_next_delivery(staged, later), run_ts, optimize)
+            else:
+                changed = merge_orders(spark, lake, staged, run_ts, optimize)
         quality.require_active_rows(table.read(spark))
         return RunResult(run_id, changed, run_ts)
 
     return run_logged(spark, lake, TRANSFORM_SILVER, run_ts, work, processing_date)
 
 
+def last_day_seen(spark: SparkSession, lake: Lake) -> date | None:
+    """The latest day whose deliveries silver reflects: by the run log, or by a held version (a full refresh sees all)."""
+    held = lake.silver_orders.read(spark).agg(F.max(F.to_date(late.DELIVERED)).alias("d")).first().d
+    return max((d for d in (held, control.last_success(log(spark, lake), TRANSFORM_SILVER)) if d is not None), default=None)
+
+
 def merge_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: datetime, optimize: bool = True) -> int:
     """Merge staged versions into the silver table; returns how many orders were new or changed."""
     table = lake.silver_orders
@@ -108,6 +121,28 @@ def merge_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: dat
     return n
 
 
+def place_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: datetime, optimize: bool = True) -> int:
+    """Merge staged versions that may be older than those held; returns how many orders changed.
+
+    Only the months that hold one of the batch's orders are read, and of these only the changed ones are rewritten.
+    """
+    table = lake.silver_orders
+    months = list(table.partition_by)
+    batch = stage(staged, "silver-batch")
+    ids = batch.select("order_id")
+    held_in = table.read(spark).select("order_id", *months).join(ids, "order_id", "left_semi").select(*months).distinct()
+    held = table.read(spark, [tuple(r) for r in held_in.collect()])
+    placed = stage(late.place(held, batch, run_ts), "silver-placed")
+    changed = placed.where(F.col("_updated_ts") == scd2.utc_literal(run_ts))
+    affected = [tuple(r) for r in changed.select(*months).distinct().collect()]
+    if not affected:
+        return 0
+    here = F.struct(*months).isin([F.struct(*[F.lit(v) for v in m]) for m in affected])
+    others = table.read(spark, affected).join(ids, "order_id", "left_anti")
+    write_months(others.unionByName(placed.where(here)), table, affected, optimize)
+    return changed.select("order_id").distinct().count()
+
+
 def write_months(
     rows: DataFrame, table: SnapshotTable, affected: list[tuple] | None, optimize: bool, stored: bool = False
 ) -> None:

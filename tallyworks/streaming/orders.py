@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyworks.contracts import SILVER_ORDERS, conform_to_contract
+from tallyworks.contracts import conform_to_contract
 from tallyworks.plans.ingest import STORED_ORDERS
-from tallyworks.plans.lake import Lake
-from tallyworks.plans.silver import merge_orders, stage_orders, write_months
+from tallyworks.plans.lake import STORED_SILVER, Lake
+from tallyworks.plans.silver import place_orders, stage_orders, write_months
 from tallyworks.session import stage, staged_tables_dropped
 
 
@@ -39,10 +39,10 @@ def stream_into_silver(
 
     def merge(batch: DataFrame, _: int) -> None:
         now = clock()
-        staged = conform_to_contract(stage_orders(batch, fx, now.date(), now), SILVER_ORDERS)
+        staged = conform_to_contract(stage_orders(batch, fx, now.date(), now), STORED_SILVER)
         with staged_tables_dropped(spark):
             if lake.silver_orders.exists(spark):
-                merge_orders(spark, lake, staged, now)
+                place_orders(spark, lake, staged, now)  # files may come in any order
             else:
                 write_months(stage(staged, "silver"), lake.silver_orders, None, optimize=True, stored=True)
 

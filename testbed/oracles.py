@@ -97,7 +97,8 @@ def _staged(run: str, where: str) -> str:
     return f"""
   select order_id, order_date, cast(year(order_date) as int) as order_year, cast(month(order_date) as int) as order_month,
     customer_id, product_id, quantity, {USD}, status, region, sales_rep_id, {run} as _valid_from,
-    cast(null as timestamp) as _valid_to, true as _is_current, {run} as _updated_ts, {HASH} as _source_hash
+    cast(null as timestamp) as _valid_to, true as _is_current, {run} as _updated_ts, {HASH} as _source_hash,
+    _ingestion_ts as _delivered_ts
   from (select *, row_number() over (partition by order_id order by {NEWEST}) as place from cleansed where {where}) d
     left join rates on currency = from_currency
   where place = 1"""
@@ -122,6 +123,39 @@ PARTS["closed"] = f"""
   from judged"""
 PARTS["silver"] = "select * from closed union all select * from inserts"
 
+RUN_EARLY, RUN_BETWEEN, RUN_AFTER = "timestamp '1997-01-01 04:00:00'", "timestamp '2003-01-02 04:00:00'", "timestamp '2003-01-01 04:00:00'"
+PARTS["early_batch"] = _staged(RUN_EARLY, "_ingestion_ts < timestamp '1997-01-01'")
+PARTS["between_batch"] = _staged(RUN_BETWEEN, "_ingestion_ts >= timestamp '1997-01-01' and _ingestion_ts < timestamp '1999-01-01'")
+PARTS["after_batch"] = _staged(RUN_AFTER, "_ingestion_ts >= timestamp '1999-01-01'")
+# What becomes of the late version: like the one before, like the one after, or a version of its own.
+PARTS["late_orders"] = f"""
+  select *, a_id is not null and not (e_id is not null and e_hash = a_hash) as after_version,
+    case when b_id is null or (e_id is not null and e_hash = b_hash) then 'none'
+         when a_id is not null and not (e_id is not null and e_hash = a_hash) and a_hash = b_hash then 'move' else 'put' end as fate,
+    case when a_id is null then {RUN_BETWEEN}
+         else least(greatest(b_at, case when e_id is not null then {RUN_EARLY} else b_at end),
+                    case when e_id is not null and e_hash = a_hash then b_at + interval 9999 day else {RUN_AFTER} end) end as b_start
+  from (select e.order_id as e_id, e._source_hash as e_hash, b.order_id as b_id, b._source_hash as b_hash, b._delivered_ts as b_at,
+          a.order_id as a_id, a._source_hash as a_hash, a._delivered_ts as a_at
+        from early_batch e full join between_batch b on e.order_id = b.order_id
+          full join after_batch a on a.order_id = coalesce(e.order_id, b.order_id)) k"""
+PARTS["late_merged"] = f"""
+  select e.* replace (case when fate <> 'none' then b_start when after_version then {RUN_AFTER} end as _valid_to,
+    fate = 'none' and not after_version as _is_current,
+    case when fate <> 'none' then {RUN_BETWEEN} when after_version then {RUN_AFTER} else _updated_ts end as _updated_ts)
+  from early_batch e join late_orders on order_id = e_id
+  union all
+  select e.* replace (a_at as _valid_from, {RUN_BETWEEN} as _updated_ts, a_at as _delivered_ts)
+  from early_batch e join late_orders on order_id = e_id where fate = 'put' and a_id is not null and not after_version
+  union all
+  select b.* replace (b_start as _valid_from, case when after_version then {RUN_AFTER} else a_at end as _valid_to, a_id is null as _is_current)
+  from between_batch b join late_orders on order_id = b_id where fate = 'put'
+  union all
+  select a.* replace (case when fate = 'move' then b_start else _valid_from end as _valid_from,
+    case when fate = 'move' then {RUN_BETWEEN} else _updated_ts end as _updated_ts,
+    case when fate = 'move' then b_at else _delivered_ts end as _delivered_ts)
+  from after_batch a join late_orders on order_id = a_id where after_version"""
+
 PARTS["customers"] = f"""
   select 'CUST-' || c_custkey as customer_id, c_name as customer_name,
     case when c_acctbal > 5000 then 'Enterprise' else 'Standard' end as account_type, c_mktsegment as industry,
@@ -290,6 +324,7 @@ BODIES: dict[str, str] = {
     "max_watermark_value": "select cast(max(l_shipdate) as varchar) as max_watermark from lineitem",
     "scd2_stage": "select * from first_batch",
     "scd2_merge": "select * from silver",
+    "scd2_merge_late": "select * from late_merged",
     "scd2_change_feed": f"""
         select *, 'insert' as _change_type, {RUN_2} as _commit_ts from inserts
         union all

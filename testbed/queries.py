@@ -26,7 +26,7 @@ from tallyworks.contracts import (
     BOOL,
 )
 from tallyworks.operators import cleanse as cl
-from tallyworks.operators import control, fx, quality, reports, scd2, star, summary
+from tallyworks.operators import control, fx, late, quality, reports, scd2, star, summary
 from tallyworks.operators.latest import latest_per_key
 from tallyworks.plans.silver import CLUSTER_BY, TIE_BREAKERS
 from tallyworks.sources import (
@@ -197,6 +197,14 @@ def scd2_merge(spark, sf):
     return tb.merged_silver(spark, sf)
 
 
+@query(STAGED + " _delivered_ts:t")
+def scd2_merge_late(spark, sf):
+    """The batch in between comes last and takes its place between the versions of the other two."""
+    early, between, after = tb.late_batches(spark, sf)
+    held = stage(late.merge_by_delivery(early, after, tb.LATE_RUNS[2]), "held")
+    return late.merge_by_delivery(held, between, tb.LATE_RUNS[1])
+
+
 @query(STAGED + " _change_type:s _commit_ts:t")
 def scd2_change_feed(spark, sf):
     first, second = tb.silver_batches(spark, sf)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.contracts import CREDIT, MONEY, SILVER_ORDERS, conform_to_contract
 from tallyworks.functions import new_run_id
-from tallyworks.operators import scd2, star
+from tallyworks.operators import late, scd2, star
 from tallyworks.plans.gold import MasterData
 from tallyworks.plans.silver import stage_orders
 from tallyworks.session import folder_exists, spread_if_few, stage, staging_root, use_utc, write_and_read
@@ -20,6 +20,9 @@ RATE_DATE = "2002-01-01"
 RUN_1 = datetime(2002, 1, 1, 4)
 RUN_2 = datetime(2002, 1, 2, 4)
 BATCH_CUT = "1998-06-01"
+# Three batches, the middle one of which is run last.
+LATE_CUTS = ("1997-01-01", "1999-01-01")
+LATE_RUNS = (datetime(1997, 1, 1, 4), datetime(2003, 1, 2, 4), datetime(2003, 1, 1, 4))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,6 +146,15 @@ def merged_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.merge(first, second, RUN_2)
 
 
+def late_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged batches of before, between and after the cuts; those in between know when they were delivered next."""
+    bronze, rates = bronze_orders(spark, sf_dir), fx_rates(spark)
+    t, (lo, hi) = F.col("_ingestion_ts"), [F.lit(c).cast("timestamp") for c in LATE_CUTS]
+    cuts = (bronze.where(t < lo), bronze.where((t >= lo) & (t < hi)), bronze.where(t >= hi))
+    early, between, after = [stage_orders(b, rates, RATE_DATE, run) for b, run in zip(cuts, LATE_RUNS, strict=True)]
+    return early, late.with_next_delivery(between, cuts[2].withColumn("batch", F.lit(3)), batch="batch"), after
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         load(spark, sf_dir, "customer")
