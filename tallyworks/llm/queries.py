@@ -88,7 +88,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "warc")
     warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    found = warc.catalogue(warc.captures(warc.read_records(spark, path)))
+    found = warc.catalogue(warc.read_records(spark, path))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -34,7 +34,7 @@ VERSION = "WARC/1.0\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 LEAST = 1000
 DATE = "2024-01-01T00:00:00Z"
-_SALTS = 8
+_SALTS = 8  # a power of two
 _BLOCK = 10_000
 _BATCH = 1 << 22
 RECORDS = (
@@ -84,8 +84,9 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", text: s
     )
     alone, is_top = F.col("times").isNull(), F.col("page_id").eqNullSafe(F.col("first_page")) & (F.col("url") == F.col("first_url"))
 
-    # Payloads go to the salt of the task that read them: repeated rows, too, are dealt out.
-    salted = rows.where(~small).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
+    # Payloads go to the salt of the task that read them: repeated rows, too, are dealt out. No key is nullable, so both
+    # uses of the join have the same inputs and Spark shuffles the payloads once.
+    salted = rows.where(~small).withColumn("salt", F.spark_partition_id().bitwiseAND(F.lit(_SALTS - 1)))
     large = salted.join(shared, ["digest", "bytes", "salt"], "left").where(alone | is_top)
     once = large.where(alone | (F.col("times") == 1))
     repeated = large.where("times > 1").dropDuplicates(["digest", "bytes"])
@@ -258,23 +259,29 @@ def captures(records: DataFrame) -> DataFrame:
     return responses.join(attached, "capture_id", "full").select("capture_id", "response", *lists)
 
 
-def catalogue(found: DataFrame) -> DataFrame:
+def catalogue(records: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to (the page id of a revisit's response) and target_uri of
-    captures that `write_archives` wrote. Lengths and digests of responses are taken from the payloads read. Stores the rows
-    (runs a job)."""
-    kind = F.col("response.record_type")
+    the captures in the records that `write_archives` wrote. Lengths and digests of responses are taken from the payloads
+    read; the payloads themselves are not shuffled. Stores the records without them (runs a job)."""
+    kind, said = F.col("record_type"), F.regexp_extract("http_headers", r"(?im)^content-length:[ \t]*([0-9]+)", 1)
+    main = kind.isin("response", "revisit")
+    brief = stored(
+        records.withColumns(
+            {
+                "payload_bytes": F.when(kind == "revisit", F.nullif(said, F.lit("")).cast("long")).otherwise(F.octet_length("payload").cast("long")),
+                "payload_digest": F.when(kind == "revisit", F.regexp_replace("payload_digest", "^sha1:", "")).when(main, F.sha1("payload")),
+                "payload": F.when(~main, F.col("payload")),
+            }
+        ).drop("file", "date", "content_type", "http_headers")
+    )
     fields = F.concat_ws("\n", F.transform("metadata", lambda m: m["payload"].cast("string")))
-    said = F.regexp_extract("response.http_headers", r"(?im)^content-length:[ \t]*([0-9]+)", 1)
-    payload = F.col("response.payload")
-    rows = found.where(F.col("response").isNotNull()).select(
+    rows = captures(brief).where(F.col("response").isNotNull()).select(
         "capture_id", F.nullif(F.regexp_extract(fields, r"(?m)^page-id: (-?[0-9]+)", 1), F.lit("")).cast("long").alias("page_id"),
-        F.when(kind == "revisit", F.nullif(said, F.lit("")).cast("long")).otherwise(F.octet_length(payload).cast("long")).alias("payload_bytes"),
-        F.when(kind == "revisit", F.regexp_replace("response.payload_digest", "^sha1:", "")).otherwise(F.sha1(payload)).alias("payload_digest"),
-        kind.alias("record_type"), F.col("response.refers_to").alias("refers_id"), F.col("response.target_uri").alias("target_uri"),
+        *[F.col(f"response.{c}").alias(c) for c in ("payload_bytes", "payload_digest", "record_type", "target_uri")],
+        F.col("response.refers_to").alias("refers_id"),
     )
-    rows = stored(rows)
     salt = F.pmod(F.xxhash64("capture_id"), F.lit(_SALTS)).cast("int")
-    asked = rows.where("refers_id IS NOT NULL").select("refers_id").distinct()
+    asked = brief.where("refers_to IS NOT NULL").select(F.col("refers_to").alias("refers_id")).distinct()
     known = rows.select(F.col("capture_id").alias("refers_id"), F.col("page_id").alias("refers_to")).join(asked, "refers_id", "left_semi")
     known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     joined = rows.withColumn("salt", salt).join(known, ["refers_id", "salt"], "left")

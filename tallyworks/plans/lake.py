@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from tallyworks.contracts import (
+    BRONZE_ORDERS,
     DAILY_SUMMARY,
     DATE,
     DIM_CUSTOMER,
@@ -20,6 +21,8 @@ from tallyworks.contracts import (
     columns,
 )
 from tallyworks.operators.late import DELIVERED
+from tallyworks.sources.files import CRM_ACCOUNTS
+from tallyworks.sources.landing import Landing, quarantine_at
 from tallyworks.sources.snapshots import SnapshotTable
 
 # Gold tables are stored by month; the month column exists in storage only.
@@ -34,6 +37,18 @@ def _by_month(schema):
     return _with(schema, (MONTH, STR))
 
 
+# Deliveries may carry the representative, which the contract does not list but silver needs.
+STORED_ORDERS = TableContract(
+    name=BRONZE_ORDERS.name,
+    schema=columns(
+        *[(f.name, f.dataType, f.nullable) for f in BRONZE_ORDERS.schema if f.name != "ingestion_date"],
+        ("sales_rep_id", STR),
+        ("ingestion_date", BRONZE_ORDERS.schema["ingestion_date"].dataType, False),
+    ),
+    partition_by=BRONZE_ORDERS.partition_by,
+)
+STORED_ACCOUNTS = _with(CRM_ACCOUNTS, ("_ingestion_ts", TS), ("_source_file", STR), ("ingestion_date", DATE))
+
 # Silver keeps when a version was delivered, which the contract does not list, so that late versions find their place.
 STORED_SILVER = TableContract(
     name=SILVER_ORDERS.name,
@@ -52,12 +67,20 @@ class Lake:
     root: str
 
     @property
-    def bronze_orders(self) -> str:
-        return f"{self.root}/bronze/sales_orders_raw"
+    def bronze_orders(self) -> Landing:
+        return Landing(f"{self.root}/bronze/sales_orders_raw", STORED_ORDERS.schema)
 
     @property
-    def bronze_accounts(self) -> str:
-        return f"{self.root}/bronze/crm_accounts_raw"
+    def bronze_accounts(self) -> Landing:
+        return Landing(f"{self.root}/bronze/crm_accounts_raw", STORED_ACCOUNTS)
+
+    def files(self, name: str, schema) -> Landing:
+        """Rows of delivered files of one kind."""
+        return Landing(f"{self.root}/bronze/files_{name}", _with(schema, ("_ingestion_ts", TS), ("_source_file", STR), ("ingestion_date", DATE)))
+
+    def quarantine(self, name: str) -> Landing:
+        """What of an input could not be used."""
+        return quarantine_at(f"{self.root}/quarantine/{name}")
 
     def archive(self, table: str) -> str:
         return f"{self.root}/archive/{table}"

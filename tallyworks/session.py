@@ -119,3 +119,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the cluster's file system, if it is there."""
     folder, files = _folder(spark, path)
     files.delete(folder, True)
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name on the same file system."""
+    folder, files = _folder(spark, path)
+    if not files.rename(folder, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder; none if it is not there."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]

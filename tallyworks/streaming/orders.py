@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.contracts import conform_to_contract
-from tallyworks.plans.ingest import STORED_ORDERS
-from tallyworks.plans.lake import STORED_SILVER, Lake
+from tallyworks.plans.lake import STORED_ORDERS, STORED_SILVER, Lake
 from tallyworks.plans.silver import place_orders, stage_orders, write_months
 from tallyworks.session import stage, staged_tables_dropped
 
 
 def stream_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.readStream.schema(STORED_ORDERS.schema).parquet(lake.bronze_orders)
+    return spark.readStream.schema(STORED_ORDERS.schema).parquet(lake.bronze_orders.root)
 
 
 def redelivered_dropped(stream: DataFrame, delay: str = "1 day") -> DataFrame:

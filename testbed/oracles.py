@@ -454,10 +454,29 @@ BODIES: dict[str, str] = {
         union all
         select 'PROD-' || p_partkey || '-R', p_name, p_type, p_brand, p_retailprice / 2, p_size, date '2024-01-10'
         from part""",
+    "csv_quarantine": """
+        select order_id, cast(case when n % 37 <> 0 then cast(quantity as int) end as bigint) as quantity,
+          case when n % 37 <> 0 then unit_price end as unit_price, case when n % 37 <> 0 then status end as status,
+          case when n % 37 = 0 then 'unreadable record' end as reason from numbered""",
+    "catalog_quarantine": """
+        select 'PROD-' || p_partkey || suffix as product_id, case when p_partkey % 17 <> 0 then p_retailprice / part_of end as unit_price,
+          case when p_partkey % 17 = 0 then 'unreadable record' end as reason
+        from part, (values ('', 1), ('-R', 2)) as t(suffix, part_of) where p_partkey % 17 <> 0 or suffix = ''""",
+    "crm_page_sets": """
+        select 'accounts ' || response as query, count(*) as pages, sum(n) as records, max(total) as announced,
+          count(*) filter (where page = last) as last_pages, sum(n) = max(total) and count(*) filter (where page = last) = 1 as complete
+        from (select *, sum(n) over (partition by response) as total, max(page) over (partition by response) as last
+              from (select c_custkey // 10 as response, (c_custkey % 10) // 4 as page, count(*) as n from customer group by all) a) p
+        where page < last or response % 13 <> 0 group by response""",
+    "crm_merge_windows": """select * from accounts
+        where "LastModifiedDate" > timestamp '2024-01-21 12:00:00' and "LastModifiedDate" <= timestamp '2024-01-24 12:00:00'""",
+    "bronze_landing": """select order_id, ingestion_date, quantity, 'BATCH-' || strftime(_ingestion_ts, '%Y%m') as _source_file from bronze""",
     "crm_explode": "select * from accounts",
     "crm_recent": """select * from accounts where "LastModifiedDate" > timestamp '2024-01-17 12:00:00'""",
 }
 
+BODIES["dq_observed"] = BODIES["dq_contract_checks"]
+
 
 def _needed(text: str, found: list[str]) -> list[str]:
     words = set(re.findall(r"\w+", text))

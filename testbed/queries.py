@@ -6,10 +6,12 @@ s text, b boolean, l integer, d number, t timestamp, a date.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks import functions as fn
@@ -28,6 +30,7 @@ from tallyworks.contracts import (
 from tallyworks.operators import cleanse as cl
 from tallyworks.operators import control, fx, late, quality, reports, scd2, star, summary
 from tallyworks.operators.latest import latest_per_key
+from tallyworks.plans.lake import STORED_ORDERS
 from tallyworks.plans.silver import CLUSTER_BY, TIE_BREAKERS
 from tallyworks.sources import (
     cluster_rewrite,
@@ -40,9 +43,10 @@ from tallyworks.sources import (
     unpack_records,
     window_extract,
 )
-from tallyworks.sources.files import CATALOGUE_JSON, CRM_JSON
+from tallyworks.session import stage, staging_root
+from tallyworks.sources.files import CATALOGUE_JSON, CRM_JSON, ORDERS_CSV
+from tallyworks.sources.landing import Landing, not_held, page_sets, parse_json_checked, read_csv_checked, split_corrupt
 from tallyworks.sources.layout import files_for
-from tallyworks.session import stage
 from testbed import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -460,6 +464,64 @@ def catalog_explode(spark, sf):
     return unpack_records(docs, "products")
 
 
+@query("order_id:s quantity:l unit_price:d status:s reason:s")
+def csv_quarantine(spark, sf):
+    """Lines that read, and those that do not by the id they start with."""
+    parsed = stage(read_csv_checked(spark, tb.orders_csv(spark, sf), ORDERS_CSV), "csv")
+    clean, bad = split_corrupt(parsed)
+    lines = bad.select(F.split_part("raw", F.lit(","), F.lit(1)).alias("order_id"), "reason")
+    return clean.withColumn("reason", F.lit(None).cast("string")).unionByName(lines, allowMissingColumns=True)
+
+
+@query("product_id:s unit_price:d reason:s")
+def catalog_quarantine(spark, sf):
+    """Products of documents that read; of the others the first product's id."""
+    parsed = parse_json_checked(tb.cut_catalogue(spark, sf), "doc", CATALOGUE_JSON)
+    clean, bad = split_corrupt(stage(parsed, "catalogue"))
+    products = unpack_records(clean, "products").select("product_id", "unit_price", F.lit(None).cast("string").alias("reason"))
+    first = F.regexp_extract("raw", '"product_id":"([^"]*)"', 1)
+    return products.unionByName(bad.select(first.alias("product_id"), "reason"), allowMissingColumns=True)
+
+
+@query("query:s pages:l records:l announced:l last_pages:l complete:b")
+def crm_page_sets(spark, sf):
+    docs = tb.crm_pages(spark, sf).select(F.from_json("doc", CRM_JSON).alias("d")).select("d.*")
+    return page_sets(docs)
+
+
+@query("Id:s LastModifiedDate:t Name:s")
+def crm_merge_windows(spark, sf):
+    """Two windows of seven days, three days apart: what the second adds."""
+    accounts = _accounts(spark, sf)
+    first, second = (recently_modified(accounts, datetime(2024, 1, d, 12)).where(f"LastModifiedDate <= '2024-01-{d} 12:00:00'") for d in (21, 24))
+    return not_held(second, first, ["Id", "LastModifiedDate"])
+
+
+@query("order_id:s ingestion_date:a quantity:d _source_file:s")
+def bronze_landing(spark, sf):
+    """Deliveries of two runs, the first of them repeated after a failed one."""
+    rows = tb.bronze_orders(spark, sf).select(*STORED_ORDERS.names)
+    table = Landing(f"{staging_root(spark)}/staged/landing-{uuid.uuid4().hex}", STORED_ORDERS.schema, ("_source_file",))
+    early = F.col("ingestion_date") < "1998-06-01"
+    checks = quality.contract_rules(BRONZE_ORDERS)
+    for run, part in (("RUN-1", rows.where(early)), ("RUN-2", rows.where(~early)), ("RUN-1", rows.where(early))):
+        table.append(part, run, checks)
+    try:
+        table.append(rows.withColumn("quantity", -F.col("quantity")), "RUN-3", checks)
+    except quality.DataQualityError:
+        return table.read(spark)
+    raise AssertionError("negative quantities passed the gate")
+
+
+@query("check_name:s passed:b failed_rows:l total_rows:l detail:s")
+def dq_observed(spark, sf):
+    """The contract's checks out of counts that were observed while the rows were written."""
+    rows, checks, counts = cl.parse_types(tb.text_orders(spark, sf)), quality.contract_rules(BRONZE_ORDERS), Observation()
+    stage(rows.observe(counts, *quality.counts_of(checks)), "observed")
+    found = quality.outcomes(counts.get, checks)[1:]
+    return spark.createDataFrame([dataclasses.astuple(o) for o in found], "check_name string, passed boolean, failed_rows long, total_rows long, detail string")
+
+
 def _accounts(spark, sf):
     docs = tb.crm_responses(spark, sf).select(F.from_json("doc", CRM_JSON).alias("d")).select("d.*")
     return crm_accounts(docs)

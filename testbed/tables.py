@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyworks.contracts import CREDIT, MONEY, SILVER_ORDERS, conform_to_contract
@@ -14,6 +14,7 @@ from tallyworks.functions import new_run_id
 from tallyworks.operators import late, scd2, star
 from tallyworks.plans.gold import MasterData
 from tallyworks.plans.silver import stage_orders
+from tallyworks.sources.files import ORDERS_CSV
 from tallyworks.session import folder_exists, spread_if_few, stage, staging_root, use_utc, write_and_read
 
 RATE_DATE = "2002-01-01"
@@ -51,6 +52,7 @@ def raw_status() -> Column:
     )
 
 
+_paths: dict[tuple[str, str, str], str] = {}
 _built: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
@@ -311,6 +313,49 @@ def catalogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.to_json(F.struct(F.lit("1.2").alias("schema_version"), items.alias("products"))).alias("doc"))
 
 
+def orders_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of CSV files with all deliveries, some of whose quantities do not read."""
+
+    def write() -> str:
+        n = F.split_part("order_id", F.lit("-"), F.lit(2)).cast("long")
+        quantity = F.col("quantity").cast("int").cast("string")
+        rows = bronze_orders(spark, sf_dir).withColumn("quantity", F.when(n % 37 == 0, F.concat(quantity, F.lit("x"))).otherwise(quantity))
+        path = f"{staging_root(spark)}/layers/csv-{uuid.uuid4().hex}"
+        have = [F.col(c) if c in rows.columns else F.lit(None) for c in ORDERS_CSV.names]
+        texts = [c.cast("string").alias(n) for c, n in zip(have, ORDERS_CSV.names, strict=True)]
+        as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.select(*texts).write.options(header=True, **as_is).csv(path)
+        return path
+
+    key = (spark.sparkContext.applicationId, sf_dir, "csv")
+    if key not in _paths or not folder_exists(spark, _paths[key]):
+        _paths[key] = write()
+    return _paths[key]
+
+
+def cut_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue documents; those of every seventeenth part break off."""
+    docs = catalogue_documents(spark, sf_dir)
+    broken = F.regexp_extract("doc", "PROD-([0-9]+)", 1).cast("long") % 17 == 0
+    return docs.select(F.when(broken, F.substring("doc", F.lit(1), F.length("doc") - 5)).otherwise(F.col("doc")).alias("doc"))
+
+
+def crm_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of up to ten accounts in pages of up to four; each thirteenth response lacks its last page."""
+    c = F.col("c_custkey")
+    accounts = load(spark, sf_dir, "customer").select(
+        F.floor(c / 10).alias("response"), F.floor((c % 10) / 4).alias("page"),
+        F.struct(F.concat(F.lit("A"), c).alias("Id"), F.col("c_name").alias("Name")).alias("record"),
+    )
+    pages = accounts.groupBy("response", "page").agg(F.collect_list("record").alias("records"))
+    size = F.sum(F.size("records")).over(Window.partitionBy("response"))
+    last = F.max("page").over(Window.partitionBy("response")) == F.col("page")
+    marked = pages.withColumns({"total_size": size.cast("int"), "done": last})
+    sent = marked.where(~F.col("done") | (F.col("response") % 13 != 0))
+    query = F.concat(F.lit("accounts "), F.col("response").cast("string"))
+    return sent.select(F.to_json(F.struct(F.lit("v9").alias("api_version"), query.alias("query"), "total_size", "done", "records")).alias("doc"))
+
+
 def crm_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CRM responses as JSON text, one per customer; change times spread over January 2024."""
     day = F.lpad((F.col("c_custkey") % 31 + 1).cast("string"), 2, "0")

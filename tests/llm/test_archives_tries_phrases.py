@@ -70,7 +70,7 @@ def plain_catalogue():
 
 
 def test_archives_give_back_every_capture(spark, archive):
-    found = warc.catalogue(warc.captures(warc.read_records(spark, archive))).drop("target_uri")
+    found = warc.catalogue(warc.read_records(spark, archive)).drop("target_uri")
     assert Counter(tuple(r) for r in found.collect()) == plain_catalogue()
 
 
@@ -146,7 +146,7 @@ def test_foreign_archives(spark, tmp_path):
 def test_archive_of_nothing(spark, pages):
     path = fresh_folder(spark, "warc")
     warc.write_archives(pages.where("page_id < 0"), path)
-    assert warc.catalogue(warc.captures(warc.read_records(spark, path))).count() == 0
+    assert warc.catalogue(warc.read_records(spark, path)).count() == 0
 
 
 # Prefix tries

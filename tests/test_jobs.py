@@ -229,8 +229,7 @@ def test_lossy_values_stop_the_extract_before_anything_is_written(spark, tmp_pat
     with pytest.raises(Exception, match="lossy conversion of quantity"):
         ingest.ingest_orders(spark, lake, lossy, at(DAY1))
     assert runlog.log(spark, lake).collect()[0].status == "FAILED"
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        ingest.read_bronze_orders(spark, lake).count()
+    assert ingest.read_bronze_orders(spark, lake).count() == 0
 
 
 def test_gold_waits_for_silver(spark, tmp_path):
@@ -242,11 +241,11 @@ def test_reference_and_accounts_and_archive(spark, lake, tmp_path):
     table = ingest.load_reference(spark, lake, "units", spark.createDataFrame([("EA",), ("KG",)], "uom string"))
     ingest.load_reference(spark, lake, "units", spark.createDataFrame([("M",)], "uom string"))
     assert [r.uom for r in table.read(spark).collect()] == ["M"]
-    doc = '{"records":[{"Id":"x","LastModifiedDate":"2024-02-29T10:00:00.000+0000"},{"Id":"y","LastModifiedDate":"2024-01-01T10:00:00.000+0000"}]}'
+    doc = '{"query":"q","done":true,"total_size":2,"records":[{"Id":"x","LastModifiedDate":"2024-02-29T10:00:00.000+0000"},{"Id":"y","LastModifiedDate":"2024-01-01T10:00:00.000+0000"}]}'
     (tmp_path / "page1.json").write_text(doc)
     envelopes = read_crm_responses(spark, str(tmp_path))
     assert ingest.ingest_accounts(spark, lake, envelopes, at(DAY1)).rows == 1
-    assert [r.Id for r in read_table(spark, lake.bronze_accounts).collect()] == ["x"]
+    assert [r.Id for r in lake.bronze_accounts.read(spark).collect()] == ["x"]
     for _ in range(2):
         ingest.archive_bronze(spark, lake, DAY2 + timedelta(days=90))
     assert read_table(spark, lake.archive("sales_orders_raw")).count() == 3
