@@ -2,9 +2,10 @@
 
 Every word opens one window of up to four words, padded behind the last word of its piece. Only these longest windows are
 counted; a Spark ROLLUP over their columns sums the counts of all shorter prefixes, which are the counts of all phrases.
-A phrase that is too rare to matter needs no exact count: a window is also padded from its first pair of words on that
-occurs fewer than `least` times. Such pairs are known by a table of counters of fixed size: pairs that share a
-counter can only look too frequent, so this spares work and changes no result, at any size of the corpus.
+A phrase that is too rare to matter needs no exact count: a window is also padded from where its first words occur
+fewer than `least` times. Such phrases are known by tables of counters of fixed size, one for pairs and, after it, one for
+longer phrases made of frequent pairs: phrases that share a counter can only look too frequent, so this spares work and
+changes no result, at any size of the corpus.
 
 ASCII letters are lower-cased, pieces end at `[.,;:!?\\x0A-\\x0D]`, words are what spaces and tabs part. A null text is
 empty, a null language is `und` (and one with a text of that name). Repeated rows count each. Only the columns text and
@@ -29,7 +30,7 @@ from tallyworks.llm.text import Codes, stored
 WORDS = 4
 LEAST = 30
 TOP = 2000
-#: Counters of word pairs: 2^27, of which the executors get one bit each (16 MB).
+#: Counters of a table: 2^27, of which the executors get one bit each (16 MB).
 COUNTERS = 27
 _BLOCK = 32_768  # bits of one row of Spark's bitmaps
 _BYTES = 1 << 22
@@ -37,7 +38,7 @@ _END = b"\xff"  # never part of UTF-8
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _END * 10)
 _GAP = re.compile(rb"[ \t\xff]")
 _COLUMNS = [f"w{i + 1}" for i in range(WORDS)]
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -80,37 +81,79 @@ def _coded(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return np.fromiter(map(codes.__getitem__, words), np.int64, len(words)), list(codes)
 
 
-def _counter(lang: str, vocabulary: list[bytes], first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
-    """The counter of each pair of words."""
-    known = pd.util.hash_array(np.array([*vocabulary, lang.encode()], object), categorize=False)
-    mixed = (known[first] * _MIX[0]) ^ ((known[second] + known[-1]) * _MIX[1])
-    mixed ^= mixed >> np.uint64(31)
-    return ((mixed * _MIX[0]) >> np.uint64(64 - bits)).astype(np.int64)
+def _counter(hashes: np.ndarray, columns: list[np.ndarray], bits: int) -> np.ndarray:
+    """The counter of each phrase, whose words are given by column; the last of the hashes stands for the language."""
+    mixed = np.full(len(columns[0]), hashes[-1] + np.uint64(len(columns)))
+    for c in columns:
+        mixed = (mixed ^ hashes[c]) * _MIX
+        mixed ^= mixed >> np.uint64(31)
+    return ((mixed * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _hashes(lang: str, vocabulary: list[bytes]) -> np.ndarray:
+    return pd.util.hash_array(np.array([*vocabulary, lang.encode()], object), categorize=False)
+
+
+def _marked(marks: np.ndarray, counters: np.ndarray) -> np.ndarray:
+    return ((marks[counters >> 3] >> (counters & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _pairs(codes: np.ndarray) -> np.ndarray:
+    """Whether each word and the next are words of one piece."""
+    return (codes[:-1] > 0) & (codes[1:] > 0)
+
+
+def _frequent_pairs(codes: np.ndarray, hashes: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
+    return _pairs(codes) & _marked(marks, _counter(hashes, [codes[:-1], codes[1:]], bits))
+
+
+def _counted(counters: np.ndarray) -> pa.RecordBatch:
+    at, n = np.unique(counters, return_counts=True)
+    return pa.record_batch([pa.array(at.astype(np.int32)), pa.array(n)], names=["counter", "n"])
 
 
 def _pairs_counted(bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words in _stretches(batches):
             codes, vocabulary = _coded(words)
-            first, second = codes[: 1 - WORDS], codes[1 : 2 - WORDS]
-            whole = (first > 0) & (second > 0)
-            at, n = np.unique(_counter(lang, vocabulary, first[whole], second[whole], bits), return_counts=True)
-            yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(n)], names=["counter", "n"])
+            n = max(len(codes) - (WORDS - 1), 0)
+            at = np.flatnonzero(_pairs(codes)[:n])
+            yield _counted(_counter(_hashes(lang, vocabulary), [codes[at], codes[at + 1]], bits))
 
     return count
 
 
-def frequent_pairs(texts: DataFrame, least: int = LEAST, bits: int = COUNTERS) -> bytes:
-    """One bit for each counter: whether the pairs of words that share it occur `least` times. Runs a job; what comes to
-    the driver has 2^bits bits, whatever the corpus."""
-    counted = texts.mapInArrow(_pairs_counted(bits), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+def _longer_counted(pairs, bits: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(pairs.value, np.uint8)
+        for lang, words in _stretches(batches):
+            codes, vocabulary = _coded(words)
+            n = len(codes) - (WORDS - 1)
+            if n <= 0:
+                continue
+            hashes = _hashes(lang, vocabulary)
+            goes_on = _frequent_pairs(codes, hashes, marks, bits)
+            found, run = [], goes_on[:n]
+            for size in range(3, WORDS + 1):
+                run = run & goes_on[size - 2 : size - 2 + n]
+                at = np.flatnonzero(run)
+                found.append(_counter(hashes, [codes[at + k] for k in range(size)], bits))
+            yield _counted(np.concatenate(found))
+
+    return count
+
+
+def _marks(counts: DataFrame, least: int, bits: int) -> bytes:
+    """One bit for each counter: whether the phrases that share it occur `least` times. Runs a job; what comes to the driver
+    has 2^bits bits, whatever the corpus."""
     place = F.col("counter").cast("long") + 1
     rows = (
-        counted.where(F.col("n") >= least)
+        counts.groupBy("counter").agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least)
         .groupBy(F.bitmap_bucket_number(place).alias("block"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("marks"))
         .collect()
-    )
+    )
     marks = bytearray(max(1 << bits, _BLOCK) // 8)
     for row in rows:
         start = (row.block - 1) * _BLOCK // 8
@@ -118,20 +161,23 @@ def frequent_pairs(texts: DataFrame, least: int = LEAST, bits: int = COUNTERS) -
     return bytes(marks)
 
 
-def _windows_counted(kept, bits: int):
+def _windows_counted(pairs, longer, bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(kept.value, np.uint8)
+        pair_marks, marks = np.frombuffer(pairs.value, np.uint8), np.frombuffer(longer.value, np.uint8)
         for lang, words in _stretches(batches):
             codes, vocabulary = _coded(words)
             n = len(codes) - (WORDS - 1)
             if n <= 0:
                 continue
-            last = codes[: len(codes) - 1]
-            at = _counter(lang, vocabulary, last, codes[1:], bits)
-            goes_on = (last > 0) & (codes[1:] > 0) & ((marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-            columns = [codes[:n]]
-            for k in range(1, WORDS):
-                columns.append(np.where((columns[-1] > 0) & goes_on[k - 1 : k - 1 + n], codes[k : k + n], 0))
+            hashes = _hashes(lang, vocabulary)
+            goes_on = _frequent_pairs(codes, hashes, pair_marks, bits)
+            columns, run = [codes[:n]], goes_on[:n]
+            columns.append(np.where(run, codes[1 : n + 1], 0))
+            for size in range(3, WORDS + 1):
+                run = run & goes_on[size - 2 : size - 2 + n]
+                at = np.flatnonzero(run)
+                run[at] = _marked(marks, _counter(hashes, [codes[at + k] for k in range(size)], bits))
+                columns.append(np.where(run, codes[size - 1 : size - 1 + n], 0))
             columns = [c[columns[0] > 0] for c in columns]
             order = np.lexsort(columns[::-1])
             columns = [c[order] for c in columns]
@@ -148,12 +194,14 @@ def _windows_counted(kept, bits: int):
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = COUNTERS) -> DataFrame:
     """lang, words (their number), w1 to w4 ('' where the phrase is shorter), f of all phrases that occur `least` times, and
-    for each language a row of no words with the number of all its words. Runs the job of `frequent_pairs`."""
+    for each language a row of no words with the number of all its words. Runs the two jobs that fill the counters."""
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    kept = spark.sparkContext.broadcast(frequent_pairs(texts, least, bits))
+    counters = "counter int, n long"
+    pairs = spark.sparkContext.broadcast(_marks(texts.mapInArrow(_pairs_counted(bits), counters), least, bits))
+    longer = spark.sparkContext.broadcast(_marks(texts.mapInArrow(_longer_counted(pairs, bits), counters), least, bits))
     schema = ", ".join(["lang string", *[f"{c} string" for c in _COLUMNS], "n long"])
-    windows = texts.mapInArrow(_windows_counted(kept, bits), schema).groupBy("lang", *_COLUMNS).agg(F.sum("n").alias("n"))
+    windows = texts.mapInArrow(_windows_counted(pairs, longer, bits), schema).groupBy("lang", *_COLUMNS).agg(F.sum("n").alias("n"))
     # A column that the rollup leaves out is null, one that was padded is ''.
     sums = windows.rollup("lang", *_COLUMNS).agg(F.sum("n").alias("f"))
     length = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in _COLUMNS), F.lit(0))
