@@ -8,7 +8,7 @@ may hold version lines or whole records. `captures` joins request, response and
 concurrent-to identifiers, whichever of two records names the other, to one nested row per capture.
 
 Of captures with equal payloads of at least `least` bytes, that with the largest page id (then the largest url) is the
-response, the others revisit it. Where rows repeat it, one of them is. Equal payloads are recognised by length and SHA-1.
+response, the others revisit it. Where rows repeat it, one of them is. Equal payloads are recognised by their SHA-1.
 Null payloads are empty, a null url is an empty one, a null page id sorts first and is null again when read; line ends in a
 url are percent-encoded. An empty table gives no record. Other columns of the table are not read. Payloads of a group of
 copies are shuffled under salts and thrown away early: no task meets a whole group. A record must fit in memory, an
@@ -74,12 +74,12 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", text: s
         .groupBy("page_id", "url", "digest", "bytes", "payload")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    groups = narrow.where(~small).groupBy("digest", "bytes").agg(
+    groups = narrow.where(~small).groupBy("digest").agg(
         F.max(F.struct("page_id", "url", "n")).alias("top"), F.sum("n").alias("members")
     )
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     shared = groups.where("members > 1").select(
-        "digest", "bytes", F.col("top.page_id").alias("first_page"), F.col("top.url").alias("first_url"), F.col("top.n").alias("times"),
+        "digest", F.col("top.page_id").alias("first_page"), F.col("top.url").alias("first_url"), F.col("top.n").alias("times"),
         salts.alias("salt"),
     )
     alone, is_top = F.col("times").isNull(), F.col("page_id").eqNullSafe(F.col("first_page")) & (F.col("url") == F.col("first_url"))
@@ -87,15 +87,15 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", text: s
     # Payloads go to the salt of the task that read them: repeated rows, too, are dealt out. No key is nullable, so both
     # uses of the join have the same inputs and Spark shuffles the payloads once.
     salted = rows.where(~small).withColumn("salt", F.spark_partition_id().bitwiseAND(F.lit(_SALTS - 1)))
-    large = salted.join(shared, ["digest", "bytes", "salt"], "left").where(alone | is_top)
+    large = salted.join(shared, ["digest", "salt"], "left").where(alone | is_top)
     once = large.where(alone | (F.col("times") == 1))
-    repeated = large.where("times > 1").dropDuplicates(["digest", "bytes"])
+    repeated = large.where("times > 1").dropDuplicates(["digest"])
     columns = ["page_id", "url", "digest", "bytes", "payload"]
     responses = once.select(*columns).unionByName(repeated.select(*columns)).withColumn("copy", F.lit(0).cast("long"))
     short = _copies(narrow.where(small), F.lit(0), F.col("n")).select(*columns, "copy")
 
     others = narrow.where(~small).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int"))
-    others = others.join(shared, ["digest", "bytes", "salt"])
+    others = others.join(shared, ["digest", "salt"])
     revisits = _copies(others, F.when(is_top, 1).otherwise(0), F.col("n")).select(
         *columns, "copy", "first_page", "first_url"
     )
