@@ -4,8 +4,9 @@ The tokens that BPE gives a prefix end in one last token, and a sequence of toke
 neighbours are what BPE gives for their joined bytes. So reading a byte adds one last token, found among the tokens
 that end there; which it is follows from the last tokens at their starts. A state of the transducer is the last token
 that was emitted and the bytes since. A token is emitted once all places where a longer token may still begin lie
-behind it on one path; the lookahead is therefore bounded by the longest token. States and transitions are made when
-first met and kept; beyond a bound of states, words that need new ones run through the transducer undetermined.
+behind it on one path; the lookahead is therefore bounded by the longest token. A transition and its state are made when
+they are met again; a word that meets one for the first time is run undetermined. At a bound of states all but the one
+that is read from are dropped and made again as they are met, so what is held follows the data.
 
 As in the public encoders, a match of the pattern that is itself a token is that token. The pattern never joins a
 character with white space that follows it, so a text falls into chunks (white space, then other text); distinct chunks
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from tallyworks.llm.text import SPACE, ChunkTable, grouped, worker_state
 
 _CHUNK = regex.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
-#: Beyond so many states, unseen transitions are not kept: such words run through the transducer undetermined.
-MOST_STATES = 30_000
+#: So many states are held at once.
+MOST_STATES = 60_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -62,6 +63,7 @@ class Transducer:
         self.held: list[tuple[int, bytes, list[int], dict[int, tuple[int, int]]]] = []
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self.ends: dict[int, tuple[int, ...]] = {}
+        self.met: set[tuple[int, int]] = set()  # transitions asked for once
         self._state(-1, b"", [0], {})
 
     def _state(self, root: int, tail: bytes, opens: list[int], lasts: dict[int, tuple[int, int]]) -> int:
@@ -195,8 +197,15 @@ class Transducer:
         for byte in data:
             move = moves.get(state << 8 | byte)
             if move is None:
-                if len(self.held) >= MOST_STATES:
+                if (state, byte) not in self.met:
+                    if len(self.met) >= 4 * MOST_STATES:
+                        self.met.clear()
+                    self.met.add((state, byte))
                     return self.simulated(data)
+                if len(self.held) >= MOST_STATES:
+                    here = self.held[state]
+                    self.reset()
+                    state, moves = self._state(*here), self.moves
                 move = self.step(state, byte)
             state = move[0]
             if move[1]:
@@ -343,7 +352,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, part, ids (little-endian 32-bit) of every document; only texts beyond 2**20 characters have many parts."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(f"encoder {ranks} {pattern}", lambda: Encoder(read_ranks(ranks), pattern))
+        encoder = worker_state("bytebpe", f"encoder {ranks} {pattern}", lambda: Encoder(read_ranks(ranks), pattern))
         for batch in batches:
             rows: tuple[list, list, list] = ([], [], [])
             held, last, part = 0, -1, 0
@@ -371,11 +380,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, is_text of every document: encoded, then decoded from the ids."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document: encoded, then decoded from the ids."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = worker_state(f"decoder {ranks}", lambda: Decoder(read_ranks(ranks)))
-        digits = worker_state(f"digits {len(decoder.bytes_of)}", lambda: [b"%d" % i for i in range(len(decoder.bytes_of))])
+        decoder = worker_state("bytebpe", f"decoder {ranks}", lambda: Decoder(read_ranks(ranks)))
+        digits = worker_state("bytebpe", f"digits {len(decoder.bytes_of)}", lambda: [b"%d" % i for i in range(len(decoder.bytes_of))])
         held: list | None = None
 
         def row(h: list) -> tuple:

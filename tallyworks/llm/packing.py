@@ -46,7 +46,7 @@ def token_pieces(
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = worker_state(f"tokens {tokenizer}", lambda: _token_table(tokenizer))
+        table = worker_state("packing", f"tokens {tokenizer}", lambda: _token_table(tokenizer))
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             out: tuple[list, ...] = ([], [], [], [], [])

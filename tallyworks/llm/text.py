@@ -59,36 +59,42 @@ class Codes(dict):
         self[key] = n = len(self)
         return n
 
-    def keep(self, most: int) -> None:
-        """Forgets the latest keys beyond `most`."""
-        while len(self) > most:
-            self.popitem()
-
 
 class ChunkTable:
     """Values of distinct chunks, worked out once each and held as one array with starts.
 
-    `work(chunks)` returns an array of integers or floats for each chunk. At most `most` chunks stay from call to call,
-    the first ones met; later ones are worked out again when they return. This bounds memory and changes no result.
+    `work(chunks)` returns an array of integers or floats for each chunk. Once `most` chunks or about `most_bytes` are held,
+    the next call starts anew: the chunks that are frequent then are soon back. This bounds memory by bytes, whatever
+    comes, and changes no result.
     """
 
-    def __init__(self, work: Callable[[list], list[np.ndarray]], most: int = 300_000, kind=np.int64):
-        self.work, self.most = work, most
+    #: What a chunk takes beside its bytes and values: dictionary entry, objects, starts.
+    ENTRY = 160
+
+    def __init__(self, work: Callable[[list], list[np.ndarray]], most: int = 300_000, kind=np.int64, most_bytes: int = 96 << 20):
+        self.work, self.most, self.most_bytes, self.kind = work, most, most_bytes, kind
+        self.clear()
+
+    def clear(self) -> None:
         self.codes_of = Codes()
-        self.values = np.zeros(0, kind)
+        self.values = np.zeros(0, self.kind)
         self.starts = np.zeros(1, np.int64)
+        self.held = 0
 
     def codes(self, chunks: list) -> np.ndarray:
         """The chunks' numbers. They hold until the next call."""
-        self.codes_of.keep(self.most)
-        known = min(len(self.starts) - 1, self.most)
+        if len(self.codes_of) >= self.most or self.held >= self.most_bytes:
+            self.clear()
+        known = len(self.starts) - 1
         codes = np.fromiter(map(self.codes_of.__getitem__, chunks), np.int64, len(chunks))
         if len(self.codes_of) > known:
-            rows = self.work(list(islice(self.codes_of, known, None)))
+            fresh = list(islice(self.codes_of, known, None))
+            rows = self.work(fresh)
             sizes = np.fromiter(map(len, rows), np.int64, len(rows))
             new = np.fromiter(chain.from_iterable(rows), self.values.dtype, int(sizes.sum()))
-            self.starts = np.concatenate([self.starts[: known + 1], self.starts[known] + np.cumsum(sizes)])
-            self.values = np.concatenate([self.values[: self.starts[known]], new])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.values = np.concatenate([self.values, new])
+            self.held += sum(map(len, fresh)) + new.nbytes + self.ENTRY * len(fresh)
         return codes
 
     def sizes(self, codes: np.ndarray) -> np.ndarray:
@@ -102,13 +108,16 @@ class ChunkTable:
         return self.values[np.repeat(self.starts[codes] - (ends - sizes), sizes) + np.arange(total)]
 
 
-def worker_state(key: str, build: Callable):
-    """What `build` makes, kept by this worker process; the last four keys stay."""
-    if key not in _STATE:
-        while len(_STATE) >= 4:
-            _STATE.pop(next(iter(_STATE)))
-        _STATE[key] = build()
-    return _STATE[key]
+def worker_state(kind: str, key: str, build: Callable):
+    """What `build` makes, kept by this worker process for one `key` of a kind. A worker that goes on to another kind of work
+    drops what it held for the last."""
+    if next(iter(_STATE), (kind,))[0] != kind:
+        _STATE.clear()
+    if (kind, key) not in _STATE:
+        for other in [k for k in _STATE if k[1].split(" ")[0] == key.split(" ")[0]]:
+            del _STATE[other]
+        _STATE[kind, key] = build()
+    return _STATE[kind, key]
 
 
 def text_column(of_texts: Callable[[list], dict], schema: str, name: str) -> Callable[[Column], Column]:

@@ -275,13 +275,13 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model | N
 def scorer(docs: DataFrame, model: Model | None):
     """A column function: text -> struct<score double, strongest double, positive int>."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # one table of SYMBOLS**3 values
-    key = uuid.uuid4().hex
+    key = f"model {uuid.uuid4().hex}"
 
     def of_texts(texts: list) -> dict:
         m = held.value
         if m is None:
             return {"score": [0.0] * len(texts), "strongest": [FLOOR] * len(texts), "positive": [0] * len(texts)}
-        table = worker_state(key, lambda: ChunkTable(m.of_chunks, most=400_000, kind=np.float32))
+        table = worker_state("toxicity", key, lambda: ChunkTable(m.of_chunks, most=400_000, kind=np.float32))
         strongest, positive, total = _summary(texts, table)
         return {"score": m.score(strongest, positive, total), "strongest": strongest, "positive": positive.astype(np.int32)}
 
