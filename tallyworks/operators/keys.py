@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyworks.functions import row_hash
+
 
 def assign_surrogate_keys(
     df: DataFrame,
@@ -14,18 +16,19 @@ def assign_surrogate_keys(
     key_cols: Sequence[str],
     existing: DataFrame | None = None,
     digits: int = 4,
+    last_key: int | None = None,
 ) -> DataFrame:
-    """Number the rows of ``df`` 1, 2, 3, ... after the highest ``sk`` of ``existing``.
+    """Number the rows of ``df`` 1, 2, 3, ... after ``last_key``, or else after the highest ``sk`` of ``existing``.
 
-    Rows are numbered in the order of the MD5 of their key. Its first hex digits cut them into
+    A stored table knows its highest key (``SnapshotTable.highest_key``); finding it in ``existing`` takes a scan.
+    Rows are numbered in the order of the hash of their key. Its first hex digits cut them into
     16**digits groups of like size, whatever the keys look like: each group is ranked on its own,
     and starts where the groups before it end. The starts are a table of at most 16**digits rows,
     which bounds both the single-task running sum and the broadcast. The numbers depend on the
     data alone, so retried tasks agree. ``df`` is read twice: hand in a stored table if it is dear.
     """
     keys = list(key_cols)
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
-    marked = df.drop(sk).withColumn("_digest", digest)
+    marked = df.drop(sk).withColumn("_digest", row_hash(keys))
     marked = marked.withColumn("_group", F.substring("_digest", 1, digits))
 
     before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
@@ -35,7 +38,9 @@ def assign_surrogate_keys(
     within = Window.partitionBy("_group").orderBy("_digest", *keys)
     ranked = marked.withColumn("_place", F.row_number().over(within))
     number = (F.col("_start") + F.col("_place")).cast("long")
-    if existing is not None:
+    if last_key is not None:
+        number = number + F.lit(last_key).cast("long")
+    elif existing is not None:
         number = number + existing.agg(F.coalesce(F.max(sk), F.lit(0))).scalar()
     out = ranked.join(F.broadcast(starts), "_group").withColumn(sk, number)
     return out.drop("_digest", "_group", "_place", "_start")

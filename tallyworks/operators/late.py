@@ -119,3 +119,18 @@ def merge_by_delivery(
     """The next snapshot of ``target``; see ``place``."""
     others = target.join(staged.select(*keys), list(keys), "left_anti")
     return others.unionByName(place(target, staged, run_ts, keys, cols))
+
+
+def changes_of(
+    before: DataFrame, placed: DataFrame, run_ts: datetime, keys: Sequence[str] = ("order_id",), cols: HistoryColumns = SILVER_HISTORY
+) -> DataFrame:
+    """The change feed of ``place``: ``before`` holds all versions of the same keys as they were.
+
+    A row that went is a preimage. One that came is a postimage where its key held a version with its hash, else an insert.
+    """
+    columns = placed.columns
+    both = before.select(*columns, F.lit(-1).alias("_n")).unionByName(placed.select(*columns, F.lit(1).alias("_n")))
+    net = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    gone_too = F.min("_n").over(Window.partitionBy(*keys, cols.source_hash)) < 0
+    kind = F.when(F.col("_n") < 0, "update_preimage").when(gone_too, "update_postimage").otherwise("insert")
+    return net.withColumns({"_change_type": kind, "_commit_ts": utc_literal(run_ts)}).drop("_n")

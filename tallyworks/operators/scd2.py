@@ -71,14 +71,6 @@ def _known(keys: Sequence[str]) -> Column:
     return known
 
 
-def _unique(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    many = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    return staged.withColumn("_many", many).where(
-        F.when(F.col("_many") & _known(keys), F.raise_error(F.lit("staged keys are not unique")).cast("boolean"))
-        .otherwise(F.lit(True))
-    ).drop("_many")
-
-
 def classify(
     target: DataFrame,
     staged: DataFrame,
@@ -140,49 +132,26 @@ def merge(
     run_ts: datetime,
     keys: Sequence[str] = ("order_id",),
     cols: HistoryColumns = SILVER_HISTORY,
-    small_batch: bool = False,
 ) -> DataFrame:
-    """The next snapshot of ``target``.
-
-    ``small_batch`` says that the batch's keys and hashes were counted to fit a broadcast; the
-    target then is not shuffled at all. The result is the same either way.
-    """
-    if small_batch:
-        return _merge_small(target, staged, run_ts, list(keys), cols)
+    """The next snapshot of ``target``."""
     history = target.where(~F.coalesce(F.col(cols.is_current), F.lit(False)))
     return history.unionByName(next_rows(classify(target, staged, keys, cols), run_ts, cols))
 
 
-def _merge_small(target, staged, run_ts, keys, cols):
-    staged = _unique(staged, keys)
-    batch = F.broadcast(
-        staged.select(*keys, F.col(cols.source_hash).alias("_new_hash"), F.col(cols.valid_from).alias("_closes_at"))
-    )
-    current, h = F.coalesce(F.col(cols.is_current), F.lit(False)), F.col(cols.source_hash)
-    changed = current & F.coalesce(h != F.col("_new_hash"), F.lit(False))
-    carried = _close(target.join(batch, keys, "left"), changed, run_ts, cols).select(*target.columns)
-    stays = F.coalesce(h == F.col("_new_hash"), F.lit(True))
-    # Narrow scan of the target that leaves at most the batch's own keys, so it fits where they did.
-    held = target.where(current).select(*keys, h).join(batch, keys).where(stays).select(*keys).distinct()
-    return carried.unionByName(staged.join(F.broadcast(held), keys, "left_anti"), allowMissingColumns=True)
-
-
 def effective_changes(
     target: DataFrame,
     staged: DataFrame,
     keys: Sequence[str] = ("order_id",),
     cols: HistoryColumns = SILVER_HISTORY,
-    small_batch: bool = False,
 ) -> DataFrame:
     """The staged rows that are new or changed; the merge of these equals the merge of all.
 
-    Only keys and hashes of the target are read. ``small_batch`` says that the batch's keys were
-    counted to fit a broadcast: the target is then cut to those keys before anything is shuffled.
+    Only keys and hashes of the target are read, and those of the batch's keys are kept; whether that takes a shuffle
+    of the target is for run-time sizes to say.
     """
     keys = list(keys)
     held = target.where(F.col(cols.is_current)).select(*keys, cols.source_hash)
-    if small_batch:
-        held = held.join(F.broadcast(staged.select(*keys)), keys, "left_semi")
+    held = held.join(staged.select(*keys), keys, "left_semi")
     # One row per key already, unless the table is damaged: then every current row must agree.
     agreed = held.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(
         F.min(cols.source_hash).alias("_lo"), F.max(cols.source_hash).alias("_hi")

@@ -32,11 +32,13 @@ def build_dimension(
     run_ts: datetime,
     existing: DataFrame | None = None,
     store: Callable[[DataFrame], DataFrame] = lambda df: df,
+    last_key: int | None = None,
 ) -> DataFrame:
     """Merge unique source rows into a Type 2 dimension; every new version gets a fresh key.
 
     The contract's first column is the surrogate key and its second the business key; the columns up
-    to ``valid_from`` are the tracked attributes. ``store`` may write intermediate rows to a table.
+    to ``valid_from`` are the tracked attributes. ``store`` may write intermediate rows to a table;
+    ``last_key`` is the highest key given so far, where it is known.
     """
     sk, business_key = contract.names[:2]
     attributes = contract.names[2 : contract.names.index("valid_from")]
@@ -47,7 +49,7 @@ def build_dimension(
     tagged = store(classify(existing, staged, [business_key], DIM_HISTORY))
     carried = next_rows(tagged.where("_action IN ('keep', 'expire')"), run_ts, DIM_HISTORY)
     inserted = next_rows(tagged.where("_action = 'insert'"), run_ts, DIM_HISTORY)
-    numbered = assign_surrogate_keys(inserted, sk, [business_key], existing)
+    numbered = assign_surrogate_keys(inserted, sk, [business_key], existing, last_key=last_key)
     parts = [existing.where(~F.col("is_current")), carried, numbered]
     first, *rest = [conform_to_contract(p, contract) for p in parts]
     for part in rest:
@@ -186,30 +188,26 @@ def upsert_fact(
     existing: DataFrame,
     rows: DataFrame,
     store: Callable[[DataFrame], DataFrame] = lambda df: df,
-    key_source: DataFrame | None = None,
-    small_batch: bool = False,
+    last_key: int | None = None,
 ) -> DataFrame:
     """Replace facts by order_id: known orders keep their key and creation time, new ones are numbered.
 
-    ``key_source`` is the table whose highest key new rows continue from, when ``existing`` is only
-    a part of it. ``small_batch`` says that the rows were counted to fit a broadcast by their ids;
-    ``existing`` is then not shuffled.
+    One full outer join: ``existing`` is read and shuffled once. ``store`` writes what it gives, since numbering reads the
+    new orders twice. ``last_key`` is the highest key of the table that ``existing`` is a part of; without it the
+    highest of ``existing`` counts.
     """
-    size_hint = F.broadcast if small_batch else (lambda df: df)
-    ids = size_hint(rows.select("order_id"))
-    held = existing.select("order_id", "sales_order_sk", F.col("created_ts").alias("_created_ts"))
-    held = size_hint(held.join(ids, "order_id", "left_semi"))
-    matched = store(rows.join(held, "order_id", "left"))
-    matched = matched.withColumn("created_ts", F.coalesce("_created_ts", "created_ts")).drop("_created_ts")
-    known = matched.where("sales_order_sk IS NOT NULL")
-    fresh = matched.where("sales_order_sk IS NULL")
-    last = existing if key_source is None else key_source
-    numbered = assign_surrogate_keys(fresh, "sales_order_sk", ["order_id"], last)
-    parts = [existing.join(ids, "order_id", "left_anti"), known, numbered]
-    first, *rest = [conform_to_contract(p, FACT_ORDERS) for p in parts]
-    for part in rest:
-        first = first.unionByName(part)
-    return first
+    columns = FACT_ORDERS.names
+    fresh_columns = [c for c in columns if c != "sales_order_sk"]
+    old = existing.select(F.col("order_id").alias("_old_id"), F.struct(*columns).alias("_old"))
+    new = rows.select(F.col("order_id").alias("_new_id"), F.struct(*fresh_columns).alias("_new"))
+    came = F.col("_new_id").isNotNull()
+    values = {c: F.when(came, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")) for c in fresh_columns}
+    values["created_ts"] = F.coalesce("_old.created_ts", "_new.created_ts")
+    values["sales_order_sk"] = F.col("_old.sales_order_sk")
+    merged = store(old.join(new, F.col("_old_id") == F.col("_new_id"), "full").select(*[values[c].alias(c) for c in columns]))
+    known, fresh = merged.where("sales_order_sk IS NOT NULL"), merged.where("sales_order_sk IS NULL")
+    numbered = assign_surrogate_keys(fresh, "sales_order_sk", ["order_id"], known, last_key=last_key)
+    return conform_to_contract(known, FACT_ORDERS).unionByName(conform_to_contract(numbered, FACT_ORDERS))
 
 
 def upsert_by_key(existing: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,6 +21,8 @@ from tallyworks.contracts import (
     columns,
 )
 from tallyworks.operators.late import DELIVERED
+from tallyworks.operators.scd2 import SILVER_HISTORY
+from tallyworks.sources.feed import ChangeFeed
 from tallyworks.sources.files import CRM_ACCOUNTS
 from tallyworks.sources.landing import Landing, quarantine_at
 from tallyworks.sources.snapshots import SnapshotTable
@@ -87,13 +89,18 @@ class Lake:
 
     @property
     def silver_orders(self) -> SnapshotTable:
+        """Current rows and history lie apart: closed rows are added to theirs, which a merge neither reads nor writes."""
         return SnapshotTable(
             f"{self.root}/silver/sales_orders_cleansed",
             STORED_SILVER.schema,
-            STORED_SILVER.partition_by,
+            (SILVER_HISTORY.is_current, *STORED_SILVER.partition_by),
             ("order_date", "customer_id", "product_id"),
         )
 
+    @property
+    def silver_changes(self) -> ChangeFeed:
+        return ChangeFeed(f"{self.root}/silver/sales_orders_changes", STORED_SILVER.schema)
+
     @property
     def control(self) -> str:
         """The run log: a folder of its own for each write, so that jobs which end together do not meet."""
@@ -106,15 +113,15 @@ class Lake:
 
     @property
     def customers(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.root}/dim/customer", DIM_CUSTOMER.schema)
+        return SnapshotTable(f"{self.root}/dim/customer", DIM_CUSTOMER.schema, key="customer_sk")
 
     @property
     def products(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.root}/dim/product", DIM_PRODUCT.schema)
+        return SnapshotTable(f"{self.root}/dim/product", DIM_PRODUCT.schema, key="product_sk")
 
     @property
     def employees(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.root}/dim/employee", DIM_EMPLOYEE.schema)
+        return SnapshotTable(f"{self.root}/dim/employee", DIM_EMPLOYEE.schema, key="employee_sk")
 
     @property
     def dates(self) -> SnapshotTable:
@@ -123,7 +130,7 @@ class Lake:
     @property
     def fact_orders(self) -> SnapshotTable:
         return SnapshotTable(f"{self.root}/fact/sales_orders", _by_month(FACT_ORDERS.schema), (MONTH,),
-                             ("order_date", "customer_sk", "product_sk"))
+                             ("order_date", "customer_sk", "product_sk"), "sales_order_sk")
 
     @property
     def unresolved(self) -> SnapshotTable:
@@ -134,7 +141,7 @@ class Lake:
     @property
     def daily_summary(self) -> SnapshotTable:
         return SnapshotTable(f"{self.root}/agg/sales_daily_summary", _by_month(DAILY_SUMMARY.schema), (MONTH,),
-                             ("order_date", "region", "category"))
+                             ("order_date", "region", "category"), "summary_sk")
 
     @property
     def summary_due(self) -> SnapshotTable:

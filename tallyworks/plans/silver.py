@@ -18,9 +18,8 @@ from tallyworks.operators.star import enrich_orders
 from tallyworks.plans.ingest import read_bronze_orders
 from tallyworks.plans.lake import STORED_SILVER, Lake
 from tallyworks.plans.runlog import RunResult, log, run_logged
-from tallyworks.session import BROADCAST_ROWS, stage
-from tallyworks.sources.layout import cluster_rewrite, files_for, stored_bytes
-from tallyworks.sources.snapshots import SnapshotTable
+from tallyworks.session import stage
+from tallyworks.sources.layout import cluster_rewrite, files_for
 from tallyworks.sources.tables import incremental_scan
 
 TRANSFORM_SILVER = "transform_silver_sales"
@@ -58,11 +57,12 @@ def build_silver(
     bronze: DataFrame | None = None,
     customers: DataFrame | None = None,
     products: DataFrame | None = None,
-    optimize: bool = True,
+    optimize: bool = False,
 ) -> RunResult:
     """Merge one ingestion date (by default yesterday's) into silver, or rebuild it from everything.
 
-    Only the months that hold a new or changed order are rewritten. Days may be run in any order and again: once a later
+    Only the current rows of months that hold a new or changed order are rewritten, once; closed rows are added to the
+    history. ``optimize`` clusters the rewritten partitions afterwards, see ``cluster_silver``. Days may be run in any order and again: once a later
     day has been run, an earlier day's versions go between those held.
     """
     processing_date = processing_date or default_processing_date(run_ts)
@@ -76,18 +76,19 @@ def build_silver(
         staged = conform_to_contract(staged, STORED_SILVER)
         table = lake.silver_orders
         if full_refresh or not table.exists(spark):
-            rows = stage(staged, "silver")
-            write_months(rows, table, None, optimize, stored=True)
-            changed = rows.count()
+            table.overwrite(staged)
+            changed = table.read(spark).count()
         else:
             last = last_day_seen(spark, lake)
             if last is not None and last > processing_date:
                 d = F.col("ingestion_date")
                 later = raw.where((d > F.lit(processing_date)) & (d <= F.lit(last)))
-                changed = place_orders(spark, lake, late.with_next_delivery(staged, later), run_ts, optimize)
+                changed = place_orders(spark, lake, late.with_next_delivery(staged, later), run_ts)
             else:
-                changed = merge_orders(spark, lake, staged, run_ts, optimize)
+                changed = merge_orders(spark, lake, staged, run_ts)
         quality.require_active_rows(table.read(spark))
+        if optimize and changed:
+            cluster_silver(spark, lake)
         return RunResult(run_id, changed, run_ts)
 
     return run_logged(spark, lake, TRANSFORM_SILVER, run_ts, work, processing_date)
@@ -95,62 +96,80 @@ def build_silver(
 
 def last_day_seen(spark: SparkSession, lake: Lake) -> date | None:
     """The latest day whose deliveries silver reflects: by the run log, or by a held version (a full refresh sees all)."""
-    held = lake.silver_orders.read(spark).agg(F.max(F.to_date(late.DELIVERED)).alias("d")).first().d
+    current = lake.silver_orders.read(spark).where("_is_current")  # no closed row was delivered after its key's current one
+    held = current.agg(F.max(F.to_date(late.DELIVERED)).alias("d")).first().d
     return max((d for d in (held, control.last_success(log(spark, lake), TRANSFORM_SILVER)) if d is not None), default=None)
 
 
-def merge_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: datetime, optimize: bool = True) -> int:
-    """Merge staged versions into the silver table; returns how many orders were new or changed."""
+def merge_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: datetime) -> int:
+    """Merge staged versions into the current rows; returns how many orders were new or changed.
+
+    What the merge closes is added to the history, which is neither read nor rewritten. The changes are stored in the feed.
+    """
     table = lake.silver_orders
-    months = list(table.partition_by)
-    target = table.read(spark)
+    months = list(STORED_SILVER.partition_by)
+    current = table.read(spark).where("_is_current")  # a partition filter
     # The batch is computed once. Redelivered, unchanged orders leave here and cost no rewrite.
     batch = stage(staged, "silver-batch")
-    few = batch.count() <= BROADCAST_ROWS
-    changes = stage(scd2.effective_changes(target, batch, small_batch=few), "silver-changes")
+    changes = stage(scd2.effective_changes(current, batch), "silver-changes")
     n = changes.count()
     if n == 0:
         return 0
-    few = n <= BROADCAST_ROWS
-    ids = F.broadcast(changes.select("order_id")) if few else changes.select("order_id")
-    held_in = target.where("_is_current").join(ids, "order_id", "left_semi").select(*months)
-    affected = [tuple(r) for r in held_in.unionByName(changes.select(*months)).distinct().collect()]
+    ids = changes.select("order_id")
+    held_in = current.select("order_id", *months).join(ids, "order_id", "left_semi").select(*months)
+    affected = [(True, *r) for r in held_in.unionByName(changes.select(*months)).distinct().collect()]
     part = table.read(spark, affected)
-    merged = scd2.merge(part, changes, run_ts, small_batch=few)
-    write_months(merged, table, affected, optimize)
+    held = part.join(ids, "order_id", "left_semi")
+    judged = stage(scd2.classify(held, changes), "silver-judged")
+    merged = part.join(ids, "order_id", "left_anti").unionByName(scd2.next_rows(judged, run_ts))
+    commit(spark, lake, merged, affected, scd2.change_feed(judged, run_ts))
     return n
 
 
-def place_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: datetime, optimize: bool = True) -> int:
+def place_orders(spark: SparkSession, lake: Lake, staged: DataFrame, run_ts: datetime) -> int:
     """Merge staged versions that may be older than those held; returns how many orders changed.
 
-    Only the months that hold one of the batch's orders are read, and of these only the changed ones are rewritten.
+    Only the partitions, history among them, that hold one of the batch's orders are read, and of these only the changed
+    ones are rewritten.
     """
     table = lake.silver_orders
-    months = list(table.partition_by)
+    parts = list(table.partition_by)
     batch = stage(staged, "silver-batch")
     ids = batch.select("order_id")
-    held_in = table.read(spark).select("order_id", *months).join(ids, "order_id", "left_semi").select(*months).distinct()
-    held = table.read(spark, [tuple(r) for r in held_in.collect()])
+    held_in = table.read(spark).select("order_id", *parts).join(ids, "order_id", "left_semi").select(*parts).distinct()
+    held = stage(table.read(spark, [tuple(r) for r in held_in.collect()]).join(ids, "order_id", "left_semi"), "silver-held")
     placed = stage(late.place(held, batch, run_ts), "silver-placed")
-    changed = placed.where(F.col("_updated_ts") == scd2.utc_literal(run_ts))
-    affected = [tuple(r) for r in changed.select(*months).distinct().collect()]
+    feed = stage(late.changes_of(held, placed, run_ts), "silver-feed")
+    affected = [tuple(r) for r in feed.select(*parts).distinct().collect()]
     if not affected:
         return 0
-    here = F.struct(*months).isin([F.struct(*[F.lit(v) for v in m]) for m in affected])
+    here = F.struct(*parts).isin([F.struct(*[F.lit(v) for v in p]) for p in affected])
     others = table.read(spark, affected).join(ids, "order_id", "left_anti")
-    write_months(others.unionByName(placed.where(here)), table, affected, optimize)
-    return changed.select("order_id").distinct().count()
+    commit(spark, lake, others.unionByName(placed.where(here)), affected, feed)
+    return feed.select("order_id").distinct().count()
+
+
+def commit(spark: SparkSession, lake: Lake, rows: DataFrame, replaced: list[tuple], changes: DataFrame) -> None:
+    """One write of the table: its new state and, before that shows, the changes that make it."""
+    table = lake.silver_orders
+    lake.silver_changes.write(table.next_version(spark), changes)
+    table.apply(rows, replaced)
+
 
+def cluster_silver(spark: SparkSession, lake: Lake, partitions: list[tuple] | None = None) -> None:
+    """Range-cluster partitions (by default those that several writes hold, and the last written) in target-sized files.
 
-def write_months(
-    rows: DataFrame, table: SnapshotTable, affected: list[tuple] | None, optimize: bool, stored: bool = False
-) -> None:
-    """Write whole months, range-clustered in target-sized files when ``optimize`` is set."""
-    if not optimize:
-        table.overwrite(rows) if affected is None else table.replace_partitions(rows, affected)
+    A step of its own: it changes no row, and the feed says so. Long histories of small additions become few files by it.
+    """
+    table = lake.silver_orders
+    version = table.versions(spark)[-1]
+    held = table.manifest(spark)
+    if partitions is None:
+        folders = [p for p, vs in held.items() if len(vs) > 1 or vs[-1] == version]
+        partitions = [tuple(part.split("=", 1)[1] for part in p.split("/")) for p in folders]
+    if not partitions:
         return
-    # Range bounds are sampled, which would run the plan twice: store it first, and size it by its files.
-    held = rows if stored else stage(rows, "silver-months")
+    rows = table.read(spark, partitions)
+    lake.silver_changes.write(table.next_version(spark), spark.createDataFrame([], lake.silver_changes.stored))
     by = [*table.partition_by, *CLUSTER_BY]
-    table.adopt(cluster_rewrite(held, by, files_for(stored_bytes(held))), affected)
+    table.adopt(cluster_rewrite(rows, by, files_for(table.stored_bytes(spark, partitions))), partitions)

@@ -115,6 +115,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder."""
+    folder, files = _folder(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the cluster's file system, if it is there."""
     folder, files = _folder(spark, path)

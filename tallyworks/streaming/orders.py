@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.contracts import conform_to_contract
 from tallyworks.plans.lake import STORED_ORDERS, STORED_SILVER, Lake
-from tallyworks.plans.silver import place_orders, stage_orders, write_months
-from tallyworks.session import stage, staged_tables_dropped
+from tallyworks.plans.silver import place_orders, stage_orders
+from tallyworks.session import staged_tables_dropped
 
 
 def stream_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -43,7 +43,7 @@ def stream_into_silver(
             if lake.silver_orders.exists(spark):
                 place_orders(spark, lake, staged, now)  # files may come in any order
             else:
-                write_months(stage(staged, "silver"), lake.silver_orders, None, optimize=True, stored=True)
+                lake.silver_orders.overwrite(staged)
 
     writer = stream_bronze(spark, lake).writeStream.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).foreachBatch(merge).start()

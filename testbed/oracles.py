@@ -324,6 +324,7 @@ BODIES: dict[str, str] = {
     "max_watermark_value": "select cast(max(l_shipdate) as varchar) as max_watermark from lineitem",
     "scd2_stage": "select * from first_batch",
     "scd2_merge": "select * from silver",
+    "feed_replay": "select * from silver",
     "scd2_merge_late": "select * from late_merged",
     "scd2_change_feed": f"""
         select *, 'insert' as _change_type, {RUN_2} as _commit_ts from inserts

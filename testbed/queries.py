@@ -33,6 +33,7 @@ from tallyworks.operators.latest import latest_per_key
 from tallyworks.plans.lake import STORED_ORDERS
 from tallyworks.plans.silver import CLUSTER_BY, TIE_BREAKERS
 from tallyworks.sources import (
+    SnapshotTable,
     cluster_rewrite,
     crm_accounts,
     incremental_scan,
@@ -44,6 +45,7 @@ from tallyworks.sources import (
     window_extract,
 )
 from tallyworks.session import stage, staging_root
+from tallyworks.sources.feed import ChangeFeed, replay
 from tallyworks.sources.files import CATALOGUE_JSON, CRM_JSON, ORDERS_CSV
 from tallyworks.sources.landing import Landing, not_held, page_sets, parse_json_checked, read_csv_checked, split_corrupt
 from tallyworks.sources.layout import files_for
@@ -215,6 +217,20 @@ def scd2_change_feed(spark, sf):
     return scd2.change_feed(scd2.classify(first, second), tb.RUN_2)
 
 
+@query(STAGED)
+def feed_replay(spark, sf):
+    """The first state of a stored table and the changes kept since: its second state."""
+    first, second = tb.silver_batches(spark, sf)
+    root, judged = f"{staging_root(spark)}/staged/feed-{uuid.uuid4().hex}", stage(scd2.classify(first, second), "judged")
+    table, feed = SnapshotTable(f"{root}/table", first.schema, ("_is_current",)), ChangeFeed(f"{root}/changes", first.schema)
+    table.overwrite(first)
+    feed.write(table.next_version(spark), scd2.change_feed(judged, tb.RUN_2))
+    current = table.read(spark).where("_is_current")
+    kept = current.join(judged.select("order_id").distinct(), "order_id", "left_anti")
+    version = table.apply(kept.unionByName(scd2.next_rows(judged, tb.RUN_2)), [(True,)])
+    return replay(table.read(spark, version=1), feed.between(spark, 1, version))
+
+
 @query("order_id:s _source_hash:s")
 def scd2_effective_changes(spark, sf):
     first, second = tb.silver_batches(spark, sf)

@@ -100,18 +100,36 @@ def test_fact_keys_measures_and_unresolved_orders(spark):
     assert [(r.order_id, r.unresolved) for r in star.unresolved_orders(resolved).collect()] == [("A4", "customer_id,product_id")]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_upsert_keeps_keys_of_known_orders(spark, small):
+def test_upsert_keeps_keys_of_known_orders(spark):
     c, p, e = dims(spark)
     old = star.fact_orders(star.resolve_keys(orders(spark).where("order_id < 'A3'"), c, p, e), RUN)
     changed = orders(spark).where("order_id >= 'A2'").withColumn("quantity", F.lit(7).cast("decimal(18,4)"))
-    new = star.upsert_fact(old, star.fact_rows(star.resolve_keys(changed, c, p, e), NEXT), small_batch=small)
+    new = star.upsert_fact(old, star.fact_rows(star.resolve_keys(changed, c, p, e), NEXT))
     was, now = by(old), by(new)
     assert now["A1"] == was["A1"]
     assert (now["A2"].sales_order_sk, now["A2"].created_ts, now["A2"].updated_ts) == (was["A2"].sales_order_sk, RUN, NEXT)
     assert now["A2"].quantity == 7 and sorted(r.sales_order_sk for r in now.values()) == [1, 2, 3, 4]
 
 
+def test_upsert_reads_the_table_once(spark, tmp_path):
+    c, p, e = dims(spark)
+    star.fact_orders(star.resolve_keys(orders(spark).where("order_id < 'A3'"), c, p, e), RUN).write.parquet(str(tmp_path / "fact"))
+    old, plans = spark.read.parquet(str(tmp_path / "fact")), []
+    rows = star.fact_rows(star.resolve_keys(orders(spark).where("order_id >= 'A2'"), c, p, e), NEXT)
+
+    def store(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.parquet(str(tmp_path / "merged"))
+        return spark.read.parquet(str(tmp_path / "merged"))
+
+    new = star.upsert_fact(old, rows, store, last_key=40)
+    assert len(plans) == 1 and plans[0].count(f"{tmp_path}/fact") == 1
+    assert f"{tmp_path}/fact]" not in new._jdf.queryExecution().toString()
+    assert sorted(r.sales_order_sk for r in new.collect()) == [1, 2, 41, 42]
+    blank = rows.withColumn("region", F.lit(None).cast("string"))
+    assert by(star.upsert_fact(old, blank))["A2"].region is None  # what comes wins, null or not
+
+
 def test_plain_upsert(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     b = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")

@@ -54,26 +54,22 @@ def test_merge_equals_expire_then_append(spark):
     target, staged = spark.createDataFrame(t, SCHEMA), spark.createDataFrame(s, SCHEMA)
     want = sorted(map(repr, expire_then_append(t, s)))
     assert rows(scd2.merge(target, staged, RUN)) == want
-    assert rows(scd2.merge(target, staged, RUN, small_batch=True)) == want
     changes = scd2.effective_changes(target, staged)
     assert changes.count() < staged.count()
     assert rows(scd2.merge(target, changes, RUN)) == want
-    assert rows(scd2.effective_changes(target, staged, small_batch=True)) == rows(changes)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_repeated_keys_in_the_batch_fail(spark, small):
+def test_repeated_keys_in_the_batch_fail(spark):
     _, s = random_state(1)
     target, staged = spark.createDataFrame([], SCHEMA), spark.createDataFrame([*s, s[0]], SCHEMA)
     with pytest.raises(Exception, match="staged keys are not unique"):
-        scd2.merge(target, staged, RUN, small_batch=small).collect()
+        scd2.merge(target, staged, RUN).collect()
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_null_keys_never_match(spark, small):
+def test_null_keys_never_match(spark):
     row = (None, "x", OLD, None, True, OLD, "a")
     target, staged = spark.createDataFrame([row], SCHEMA), spark.createDataFrame([(*row[:6], "b")], SCHEMA)
-    assert scd2.merge(target, staged, RUN, small_batch=small).where("_is_current").count() == 2
+    assert scd2.merge(target, staged, RUN).where("_is_current").count() == 2
 
 
 def test_the_same_batch_again_changes_nothing_and_intervals_do_not_overlap(spark):

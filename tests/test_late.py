@@ -113,7 +113,7 @@ def test_days_two_three_two(spark, tmp_path):
     for day in (DAY1, DAY3):
         silver.build_silver(spark, other, rates(spark), day, at(day, 4))
     assert other.silver_orders.read(spark).count() == 1  # the third day confirmed the first
-    assert silver.build_silver(spark, other, rates(spark), DAY2, at(DAY3, 9), optimize=False).rows == 1
+    assert silver.build_silver(spark, other, rates(spark), DAY2, at(DAY3, 9)).rows == 1
     line = sorted(other.silver_orders.read(spark).collect(), key=lambda r: r._valid_from)
     assert [(r.status, r.order_month, r._is_current) for r in line] == [("Completed", 2, False), ("Pending", 1, False), ("Completed", 2, True)]
     assert [r._valid_to for r in line] == [line[1]._valid_from, line[2]._valid_from, None]

@@ -39,15 +39,6 @@ def test_merge_shuffles_each_side_once(stored, spark):
     assert text.count("Exchange hashpartitioning") <= 2 and "Join" not in text
 
 
-def test_small_merge_does_not_shuffle_the_target(stored):
-    spark = stored.sparkSession
-    batch = spark.createDataFrame(stored.limit(3).collect(), stored.schema)
-    text = plan(scd2.merge(stored, batch, RUN, small_batch=True))
-    assert "SortMergeJoin" not in text
-    # Whatever is exchanged on the key stems from the batch or was cut to its keys.
-    assert "BroadcastHashJoin" in text
-
-
 def test_change_detection_reads_keys_and_hashes_only(stored):
     batch = stored.withColumn("payload", F.lit("Q"))
     text = scd2.effective_changes(stored, batch)._jdf.queryExecution().toString()

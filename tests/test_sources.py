@@ -122,7 +122,7 @@ def test_snapshot_table_states(spark, tmp_path):
     assert state(t.read(spark)) == [("a", 1, 1), ("d", 4, 2)]
     assert state(t.read(spark, [(2,)])) == [("d", 4, 2)]
     assert state(t.read(spark, version=1)) == [("a", 1, 1), ("b", 2, 2), ("c", 3, 2)]
-    assert t.manifest(spark) == {"m=1": 1, "m=2": 2}
+    assert t.manifest(spark) == {"m=1": (1,), "m=2": (2,)}
     # A state may be built from the one it replaces.
     t.replace_partitions(t.read(spark, [(1,)]).withColumn("x", F.col("x") + 1), [(1,)])
     assert state(t.read(spark)) == [("a", 2, 1), ("d", 4, 2)]
@@ -132,6 +132,30 @@ def test_snapshot_table_states(spark, tmp_path):
     assert t.exists(spark) and t.read(spark).count() == 0
 
 
+def test_rows_are_added_to_partitions(spark, tmp_path):
+    t = src.SnapshotTable(str(tmp_path / "t"), STATE, ("m",))
+    t.overwrite(spark.createDataFrame([("a", 1, 1), ("b", 2, 2), ("c", 3, 3)], STATE))
+    assert t.apply(spark.createDataFrame([("d", 4, 2), ("e", 5, 1), ("f", 6, 4)], STATE), [(2,), (3,)]) == 2
+    assert state(t.read(spark)) == [("a", 1, 1), ("d", 4, 2), ("e", 5, 1), ("f", 6, 4)]
+    assert t.manifest(spark) == {"m=1": (1, 2), "m=2": (2,), "m=4": (2,)}
+    assert state(t.read(spark, version=1)) == [("a", 1, 1), ("b", 2, 2), ("c", 3, 3)]
+    assert t.stored_bytes(spark, [(1,)]) > t.stored_bytes(spark, [(2,)]) > 0
+    t.apply(t.read(spark).where("m = 9"), [(1,)])
+    assert state(t.read(spark)) == [("d", 4, 2), ("f", 6, 4)] and t.versions(spark) == [1, 2, 3]
+    assert {p.split("/data/")[1] for p in t.prune(spark, keep=1)} == {"v=1/m=1", "v=1/m=2", "v=1/m=3", "v=2/m=1"}
+
+
+def test_a_table_knows_its_highest_key(spark, tmp_path):
+    t = src.SnapshotTable(str(tmp_path / "t"), STATE, ("m",), key="x")
+    assert t.highest_key(spark) == 0
+    t.overwrite(spark.createDataFrame([("a", 7, 1), ("b", 2, 2)], STATE))
+    t.replace_partitions(spark.createDataFrame([("c", 5, 1)], STATE), [(1,)])
+    assert t.highest_key(spark) == 7  # the row is gone, its number stays given
+    t.apply(spark.createDataFrame([("d", 9, 2)], STATE), [])
+    t.replace_partitions(spark.createDataFrame([], STATE), [(1,), (2,)])
+    assert t.highest_key(spark) == 9 and t.read(spark).count() == 0
+
+
 def test_unfinished_write_stays_invisible(spark, tmp_path):
     t = src.SnapshotTable(str(tmp_path / "t"), STATE, ("m",))
     t.overwrite(spark.createDataFrame([("a", 1, 1)], STATE))
