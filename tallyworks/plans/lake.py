@@ -84,8 +84,10 @@ class Lake:
         """What of an input could not be used."""
         return quarantine_at(f"{self.root}/quarantine/{name}")
 
-    def archive(self, table: str) -> str:
-        return f"{self.root}/archive/{table}"
+    @property
+    def archived_orders(self) -> SnapshotTable:
+        """Aged bronze rows by ingestion date; the state of the table is the ledger of what has been copied."""
+        return SnapshotTable(f"{self.root}/archive/sales_orders_raw", STORED_ORDERS.schema, ("ingestion_date",))
 
     @property
     def silver_orders(self) -> SnapshotTable:
@@ -108,8 +110,9 @@ class Lake:
 
     @property
     def gold_progress(self) -> SnapshotTable:
-        """The silver state that the fact reflects; 0 while it has to be rebuilt."""
-        return SnapshotTable(f"{self.root}/ctrl/gold_progress", columns(("silver_version", LONG)))
+        """The states of silver and the dimensions that the fact reflects; 0 while it has to be rebuilt."""
+        names = ("silver_version", "customer_version", "product_version", "employee_version")
+        return SnapshotTable(f"{self.root}/ctrl/gold_progress", columns(*[(n, LONG) for n in names]))
 
     @property
     def customers(self) -> SnapshotTable:

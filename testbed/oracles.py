@@ -448,6 +448,9 @@ BODIES: dict[str, str] = {
         from (select *, pipeline_name = 'ingest_sales_orders' and status = 'FAILED'
                 and cast(run_date as date) = date '2024-01-23' as hit from runs) r""",
     "retention_split": f"select tier, ingestion_date, count(*) as row_count from ({TIERS}) t group by tier, ingestion_date",
+    "archive_ledger": """select cast(date_trunc('month', ingestion_date) as date) as ingestion_date, count(*) as row_count from bronze
+        where cast(date_trunc('month', ingestion_date) as date) >= date '1997-12-01'
+          and cast(date_trunc('month', ingestion_date) as date) < date '2002-12-01' - 720 group by 1""",
     "cluster_rewrite_orders": "select * from bronze",
     "catalog_explode": """
         select 'PROD-' || p_partkey as product_id, p_name as product_name, p_type as category, p_brand as subcategory,

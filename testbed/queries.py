@@ -9,7 +9,7 @@ from __future__ import annotations
 import dataclasses
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from tallyworks.contracts import (
 from tallyworks.operators import cleanse as cl
 from tallyworks.operators import control, fx, late, quality, reports, scd2, star, summary
 from tallyworks.operators.latest import latest_per_key
+from tallyworks.plans.ingest import archive_dates
 from tallyworks.plans.lake import STORED_ORDERS
 from tallyworks.plans.silver import CLUSTER_BY, TIE_BREAKERS
 from tallyworks.sources import (
@@ -468,6 +469,17 @@ def retention_split(spark, sf):
     return first.groupBy("tier", "ingestion_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("ingestion_date:a row_count:l")
+def archive_ledger(spark, sf):
+    """What the archive holds by month after two runs some years apart; the second copies new months and drops old ones."""
+    month = F.to_date(F.date_trunc("month", "ingestion_date"))
+    rows = tb.bronze_orders(spark, sf).select(*STORED_ORDERS.names).withColumn("ingestion_date", month)
+    table = SnapshotTable(f"{staging_root(spark)}/staged/archive-{uuid.uuid4().hex}", STORED_ORDERS.schema, ("ingestion_date",))
+    for today in (date(2000, 12, 1), date(2002, 12, 1)):
+        archive_dates(rows, table, today, hot_days=720, archive_years=5)
+    return table.read(spark).groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query("order_id:s order_date:a customer_id:s product_id:s total_amount:d")
 def cluster_rewrite_orders(spark, sf):
     files = files_for(stored_bytes(tb.load(spark, sf, "lineitem")))

@@ -11,7 +11,7 @@ from tallyworks.operators.control import SilverNotReady
 from tallyworks.operators.quality import DataQualityError
 from tallyworks.plans import gold, ingest, runlog, silver
 from tallyworks.plans.lake import MONTH, Lake
-from tallyworks.sources import read_crm_responses, read_table
+from tallyworks.sources import read_crm_responses
 from tallyworks.streaming import redelivered_dropped, stream_into_silver
 
 DAY1, DAY2, DAY3 = date(2024, 3, 1), date(2024, 3, 2), date(2024, 3, 3)
@@ -247,9 +247,13 @@ def test_reference_and_accounts_and_archive(spark, lake, tmp_path):
     envelopes = read_crm_responses(spark, str(tmp_path))
     assert ingest.ingest_accounts(spark, lake, envelopes, at(DAY1)).rows == 1
     assert [r.Id for r in lake.bronze_accounts.read(spark).collect()] == ["x"]
-    for _ in range(2):
-        ingest.archive_bronze(spark, lake, DAY2 + timedelta(days=90))
-    assert read_table(spark, lake.archive("sales_orders_raw")).count() == 3
+    done = [ingest.archive_bronze(spark, lake, DAY2 + timedelta(days=90)) for _ in range(2)]
+    assert [d.copied for d in done] == [[DAY1], []] and lake.archived_orders.versions(spark) == [1]
+    assert lake.archived_orders.read(spark).count() == 3
+    later = ingest.archive_bronze(spark, lake, date(2031, 3, 2))
+    assert (later.copied, later.dropped) == ([DAY2], [DAY1])
+    assert {r.ingestion_date for r in lake.archived_orders.read(spark).collect()} == {DAY2}
+    assert lake.archived_orders.manifest(spark) == {f"ingestion_date={DAY2}": (2,)}
 
 
 def test_streamed_silver_equals_the_batch_job(spark, tmp_path):

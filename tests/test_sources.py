@@ -18,7 +18,7 @@ from tallyworks.contracts import (
     conform_strict,
     conform_to_contract,
 )
-from tallyworks.sources.database import jdbc_options, narrowed
+from tallyworks.sources.database import bounds_query, jdbc_options, max_watermark_query, narrowed, query_options, range_predicates
 from tallyworks.sources.layout import cluster_rewrite, files_for, retention_tiers, stored_bytes
 
 
@@ -30,6 +30,26 @@ def test_jdbc_options():
     assert split["fetchsize"] == "10" and split["user"] == "u"
 
 
+def test_ranges_from_the_sources_own_bounds(spark):
+    asked = query_options("jdbc:x:y", bounds_query("dbo.Orders", "ID", "AEDAT", datetime(2024, 1, 1)), fetch_rows=10)
+    assert asked["query"] == "SELECT MIN(ID) AS lower_bound, MAX(ID) AS upper_bound FROM dbo.Orders WHERE AEDAT > '2024-01-01 00:00:00'"
+    assert "dbtable" not in asked and asked["fetchsize"] == "10"
+    assert max_watermark_query("dbo.Orders", "AEDAT") == "SELECT MAX(AEDAT) AS max_watermark FROM dbo.Orders"
+    for bad in ("x; drop", "a b", "1a", "", "a.", "a--"):
+        with pytest.raises(ValueError, match="plain name"):
+            max_watermark_query(bad, "AEDAT")
+    ids = spark.sql("SELECT CASE WHEN id < 90 THEN id - 5 END AS ID, timestamp_seconds(id * 1000) AS AEDAT FROM range(100)")
+    span = [(-5, 84, n) for n in (1, 2, 7, 120)] + [(3, 3, 4), (0, 1, 3), (None, None, 5)]
+    for lower, upper, parts in span:
+        conditions = range_predicates("ID", lower, upper, parts)
+        assert len(conditions) <= parts
+        counts = [ids.where(c).count() for c in conditions]
+        assert sum(counts) == 100, (lower, upper, parts, counts)
+    times = range_predicates("AEDAT", datetime(1970, 1, 1), datetime(1970, 1, 2), 4)
+    assert len(times) == 4 and "'1970-01-01 06:00:00'" in times[0]
+    assert sum(ids.where(c.replace("'1970", "timestamp '1970")).count() for c in times) == 100
+
+
 def test_watermark_and_columns_narrow_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.sql("SELECT id, timestamp '2024-01-01' + make_interval(0,0,0,cast(id AS int)) AS AEDAT, id * 2 AS x FROM range(10)").write.parquet(path)
