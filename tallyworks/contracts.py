@@ -269,11 +269,12 @@ def _convert(df: DataFrame, f: T.StructField) -> Column:
 
 def _decimal_places(text: Column) -> Column:
     """How many decimal places a number written as text has, closing zeros left out; exact for any number of digits."""
-    number = r"^\s*[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?"
-    fraction = F.regexp_extract(text, number, 2)
-    digits = F.concat(F.regexp_extract(text, number, 1), fraction)
+    parts = F.lower(F.trim(text))
+    mantissa = F.ltrim(F.split_part(parts, F.lit("e"), F.lit(1)), F.lit("+-"))
+    fraction = F.split_part(mantissa, F.lit("."), F.lit(2))
+    digits = F.concat(F.split_part(mantissa, F.lit("."), F.lit(1)), fraction)
     significant = F.rtrim(digits, F.lit("0"))
-    shifted = F.coalesce(F.regexp_extract(text, number, 3).try_cast("int"), F.lit(0))
+    shifted = F.coalesce(F.split_part(parts, F.lit("e"), F.lit(2)).try_cast("int"), F.lit(0))
     places = F.length(fraction) - (F.length(digits) - F.length(significant)) - shifted
     return F.when(F.ltrim(significant, F.lit("0")) == "", F.lit(0)).otherwise(places)
 

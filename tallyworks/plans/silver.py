@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.contracts import conform_to_contract
+from tallyworks.contracts import SILVER_ORDERS, conform_to_contract
 from tallyworks.functions import default_processing_date, row_hash, standardise_status
 from tallyworks.operators import control, late, quality, scd2
 from tallyworks.operators.cleanse import cleanse
@@ -62,8 +62,9 @@ def build_silver(
     """Merge one ingestion date (by default yesterday's) into silver, or rebuild it from everything.
 
     Only the current rows of months that hold a new or changed order are rewritten, once; closed rows are added to the
-    history. ``optimize`` clusters the rewritten partitions afterwards, see ``cluster_silver``. Days may be run in any order and again: once a later
-    day has been run, an earlier day's versions go between those held.
+    history. ``optimize`` clusters the rewritten partitions afterwards, see ``cluster_silver``. Days may be run in any order
+    and again: once a later day has been run, an earlier day's versions go between those held. Names come from
+    ``customers`` and ``products``, by default from the stored dimensions once there are any.
     """
     processing_date = processing_date or default_processing_date(run_ts)
 
@@ -71,8 +72,10 @@ def build_silver(
         raw = read_bronze_orders(spark, lake) if bronze is None else bronze
         scanned = incremental_scan(raw, processing_date, full_refresh)
         staged = stage_orders(scanned, fx, processing_date, run_ts)
-        if customers is not None and products is not None:
-            staged = enrich_orders(staged, customers, products)
+        named = [given if given is not None else table.read(spark) if table.exists(spark) else None
+                 for given, table in ((customers, lake.customers), (products, lake.products))]
+        if all(n is not None for n in named):
+            staged = enrich_orders(staged, *named)
         staged = conform_to_contract(staged, STORED_SILVER)
         table = lake.silver_orders
         if full_refresh or not table.exists(spark):
@@ -94,6 +97,17 @@ def build_silver(
     return run_logged(spark, lake, TRANSFORM_SILVER, run_ts, work, processing_date)
 
 
+def check_silver(spark: SparkSession, lake: Lake, skip: bool = False) -> list:
+    """The gate over the stored current rows: standard, contract and dictionary rules in one scan, and unique keys.
+
+    Raises when one fails, unless ``skip`` overrides it; returns all outcomes. History is not read.
+    """
+    current = lake.silver_orders.read(spark).where("_is_current")
+    rules = [*quality.CORE_CHECKS, *quality.contract_rules(SILVER_ORDERS), *quality.DICTIONARY_CHECKS]
+    found = quality.evaluate(current, rules, non_empty=True)
+    return quality.gate(found.unionByName(quality.uniqueness_check(current, SILVER_ORDERS)), skip)
+
+
 def last_day_seen(spark: SparkSession, lake: Lake) -> date | None:
     """The latest day whose deliveries silver reflects: by the run log, or by a held version (a full refresh sees all)."""
     current = lake.silver_orders.read(spark).where("_is_current")  # no closed row was delivered after its key's current one

@@ -448,6 +448,11 @@ BODIES: dict[str, str] = {
         from (select *, pipeline_name = 'ingest_sales_orders' and status = 'FAILED'
                 and cast(run_date as date) = date '2024-01-23' as hit from runs) r""",
     "retention_split": f"select tier, ingestion_date, count(*) as row_count from ({TIERS}) t group by tier, ingestion_date",
+    "job_silver_refresh": "select * from staged",
+    "job_gold_refresh": "select * from fact",
+    "job_run_log": f"""select 'transform_silver_sales' as pipeline_name, 'SUCCESS' as status, (select count(*) from staged) as rows_processed,
+          {RUN_1} as run_date
+        union all select 'transform_gold_sales_summary', 'SUCCESS', (select count(*) from fact_all), {RUN_1}""",
     "archive_ledger": """select cast(date_trunc('month', ingestion_date) as date) as ingestion_date, count(*) as row_count from bronze
         where cast(date_trunc('month', ingestion_date) as date) >= date '1997-12-01'
           and cast(date_trunc('month', ingestion_date) as date) < date '2002-12-01' - 720 group by 1""",

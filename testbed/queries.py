@@ -30,8 +30,9 @@ from tallyworks.contracts import (
 from tallyworks.operators import cleanse as cl
 from tallyworks.operators import control, fx, late, quality, reports, scd2, star, summary
 from tallyworks.operators.latest import latest_per_key
+from tallyworks.plans import gold, runlog, silver
 from tallyworks.plans.ingest import archive_dates
-from tallyworks.plans.lake import STORED_ORDERS
+from tallyworks.plans.lake import STORED_ORDERS, Lake
 from tallyworks.plans.silver import CLUSTER_BY, TIE_BREAKERS
 from tallyworks.sources import (
     SnapshotTable,
@@ -457,6 +458,38 @@ def control_repair(spark, sf):
     return control.repair(log, "ingest_sales_orders", "2024-01-23", datetime(2024, 1, 22))
 
 
+# Jobs
+
+
+def _job_lake(spark: SparkSession, sf: str) -> Lake:
+    """A lake after one full run of the silver and the gold job over all deliveries."""
+    lake = Lake(f"{staging_root(spark)}/staged/lake-{uuid.uuid4().hex}")
+    day = datetime.fromisoformat(tb.RATE_DATE).date()
+    master = tb.master_data(spark, sf)
+    silver.build_silver(spark, lake, tb.fx_rates(spark), day, tb.RUN_1, full_refresh=True, bronze=tb.bronze_orders(spark, sf))
+    gold.build_gold(spark, lake, master, day, tb.RUN_1, full_refresh=True)
+    return lake
+
+
+@query(STAGED)
+def job_silver_refresh(spark, sf):
+    lake = Lake(f"{staging_root(spark)}/staged/lake-{uuid.uuid4().hex}")
+    day = datetime.fromisoformat(tb.RATE_DATE).date()
+    silver.build_silver(spark, lake, tb.fx_rates(spark), day, tb.RUN_1, full_refresh=True, bronze=tb.bronze_orders(spark, sf))
+    return lake.silver_orders.read(spark)
+
+
+@query(FACT)
+def job_gold_refresh(spark, sf):
+    return _job_lake(spark, sf).fact_orders.read(spark)
+
+
+@query("pipeline_name:s status:s rows_processed:l run_date:t")
+def job_run_log(spark, sf):
+    """What the two jobs wrote into the run log."""
+    return runlog.log(spark, _job_lake(spark, sf))
+
+
 # Layout and envelopes
 
 
