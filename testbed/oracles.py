@@ -350,8 +350,13 @@ BODIES: dict[str, str] = {
         select (select count(*) from customers_first) + row_number() over (order by md5(customer_id), customer_id), *,
           {RUN_2}, cast(null as timestamp), true, {RUN_2}, {RUN_2}
         from customer_new""",
-    "dim_product": "select *, true as is_current from d_product",
-    "dim_employee": f"select *, {RUN_1} as valid_from, true as is_current from d_employee",
+    "dim_product": f"""select *, {RUN_1} as valid_from, cast(null as timestamp) as valid_to, true as is_current, {RUN_1} as created_ts,
+          {RUN_1} as updated_ts, md5(coalesce(sku, '') || '|' || coalesce(product_name, '') || '|' || coalesce(category, '') || '|'
+            || coalesce(subcategory, '') || '|' || coalesce(cast(unit_price as varchar), '') || '|'
+            || coalesce(cast(cost_price as varchar), '') || '|' || currency || '|' || uom || '||' || 'true') as source_hash
+        from (select *, 'USD' as currency, 'EA' as uom, cast(null as varchar) as supplier_id, true as is_active from d_product) p""",
+    "dim_employee": f"""select *, {RUN_1} as valid_from, cast(null as timestamp) as valid_to, true as is_current, {RUN_1} as created_ts,
+          {RUN_1} as updated_ts, md5(coalesce(full_name, '') || '|' || coalesce(team, '')) as source_hash from d_employee""",
     "dim_date": """select cast(strftime(day, '%Y%m%d') as int) as date_sk, day as date, year(day) as year,
         quarter(day) as quarter, month(day) as month, strftime(day, '%Y-%m') as year_month
         from (select cast(unnest(generate_series(min(order_date), max(order_date), interval 1 day)) as date) as day
@@ -456,7 +461,7 @@ BODIES: dict[str, str] = {
     "archive_ledger": """select cast(date_trunc('month', ingestion_date) as date) as ingestion_date, count(*) as row_count from bronze
         where cast(date_trunc('month', ingestion_date) as date) >= date '1997-12-01'
           and cast(date_trunc('month', ingestion_date) as date) < date '2002-12-01' - 720 group by 1""",
-    "cluster_rewrite_orders": "select * from bronze",
+    "cluster_rewrite_orders": """select *, 'BATCH-' || strftime(_ingestion_ts, '%Y%m') as _source_file, false as _is_deleted from bronze""",
     "catalog_explode": """
         select 'PROD-' || p_partkey as product_id, p_name as product_name, p_type as category, p_brand as subcategory,
           p_retailprice as unit_price, p_size as min_order_qty, date '2024-01-10' as last_modified from part

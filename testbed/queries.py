@@ -270,12 +270,17 @@ def dim_customer(spark, sf):
     return star.dim_customer(later, tb.RUN_2, held, store=lambda df: stage(df, "tagged"))
 
 
-@query("product_sk:l product_id:s sku:s product_name:s category:s subcategory:s unit_price:d cost_price:d is_current:b")
+@query(
+    "product_sk:l product_id:s sku:s product_name:s category:s subcategory:s unit_price:d cost_price:d currency:s uom:s supplier_id:s "
+    "is_active:b valid_from:t valid_to:t is_current:b created_ts:t updated_ts:t source_hash:s"
+)
 def dim_product(spark, sf):
     return star.dim_product(tb.products(spark, sf), tb.RUN_1)
 
 
-@query("employee_sk:l employee_id:s full_name:s team:s valid_from:t is_current:b")
+@query(
+    "employee_sk:l employee_id:s full_name:s team:s valid_from:t valid_to:t is_current:b created_ts:t updated_ts:t source_hash:s"
+)
 def dim_employee(spark, sf):
     return star.dim_employee(tb.representatives(spark, sf), tb.RUN_1)
 
@@ -285,7 +290,7 @@ def dim_date(spark, sf):
     return star.dim_date(tb.bronze_orders(spark, sf))
 
 
-@query("order_id:s customer_id:s customer_name:s product_id:s product_name:s category:s order_year:l order_month:l")
+@query(STAGED + " customer_name:s product_name:s category:s order_year:l order_month:l")
 def silver_enriched(spark, sf):
     customers, products, _ = tb.dimensions(spark, sf)
     return conform_to_contract(star.enrich_orders(tb.staged_orders(spark, sf), customers, products), SILVER_ORDERS)
@@ -352,7 +357,10 @@ def sales_overview_secured(spark, sf):
     return reports.secured(_overview(spark, sf), tb.entitlements(spark, sf), "NATION_3")
 
 
-@query("order_id:s order_date:a customer_name:s product_name:s category:s region:s total_amount_usd:d")
+@query(
+    "order_id:s order_date:a order_year:l order_month:l customer_id:s customer_name:s product_id:s product_name:s category:s "
+    "region:s sales_rep_id:s quantity:d unit_price_usd:d total_amount_usd:d"
+)
 def completed_orders(spark, sf):
     return reports.completed_orders(tb.silver_orders(spark, sf))
 
@@ -513,7 +521,10 @@ def archive_ledger(spark, sf):
     return table.read(spark).groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query("order_id:s order_date:a customer_id:s product_id:s total_amount:d")
+@query(
+    "order_id:s order_date:a customer_id:s product_id:s quantity:d unit_price:d total_amount:d currency:s status:s region:s "
+    "sales_rep_id:s _ingestion_ts:t _source_file:s _is_deleted:b ingestion_date:a"
+)
 def cluster_rewrite_orders(spark, sf):
     files = files_for(stored_bytes(tb.load(spark, sf, "lineitem")))
     return cluster_rewrite(tb.bronze_orders(spark, sf), CLUSTER_BY, files)
