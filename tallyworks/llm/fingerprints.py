@@ -98,7 +98,7 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
     if not a or not b:
         return float(not a and not b)
     one, two = dict(a), dict(b)
-    smallest = sorted(one.keys() | two.keys())[: max(len(a), len(b))]
+    smallest = sorted(one.keys() | two.keys())[:KEEP]  # of fewer than KEEP anchors a fingerprint holds all
     both = sorted((one[h], two[h]) for h in smallest if h in one and h in two)
     chain: list[int] = []  # ends of the longest ascending runs of places
     for _, p in both:

@@ -9,7 +9,8 @@ with a query block; Spark merges the rest by query.
 Weights are floor(256 x) of each component as a double. Vectors that are null, empty of components, or hold null or
 non-finite components take no part; vectors of another length match on the terms that both have. A row never matches
 rows of its own id. Ties go to the smaller id; repeated rows of an id count as one match with the best score. Ids that
-are null take no part. Fewer than k candidates give fewer rows.
+are null take no part. Fewer than k candidates give fewer rows. A vector whose components are so large that scores may
+pass 64 bits (terms times the square of the largest weight) fails the query.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ CANDIDATES, QUERIES = 8192, 1024
 SCALE = 256
 _BLOCK = "block long, n int, terms int, ids binary, weights binary"
 _SAFE = 1 << 48
+_MOST = 2.0**63
 
 
 def blocks(vectors: DataFrame, size: int) -> DataFrame:
@@ -47,7 +49,10 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
             for vec_id, vector in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 rows = held.setdefault(len(x), [])
-                rows.append((vec_id, np.floor(x * SCALE).astype(np.int64)))
+                scaled = np.floor(x * SCALE)
+                if len(x) * float(np.abs(scaled).max()) ** 2 >= _MOST:
+                    raise ValueError(f"vector {vec_id}: products of such components may not fit a 64-bit score")
+                rows.append((vec_id, scaled.astype(np.int64)))
                 if len(rows) >= size:
                     yield block(len(x))
         for terms in list(held):

@@ -193,6 +193,18 @@ def test_fingerprints(docs, none):
     assert fingerprints.anchors(codes)[0].tolist() == plain
 
 
+def test_likeness_of_short_texts_is_that_of_their_anchors():
+    """Below KEEP anchors nothing is cut off: the share of all united anchors in one order."""
+    a, b = [(h, h) for h in range(0, 24)], [(h, h + 3) for h in range(10, 34)]
+    assert fingerprints.likeness(a, b) == fingerprints.likeness(b, a) == 14 / 34
+    assert fingerprints.likeness(a, a) == 1.0 and fingerprints.likeness(a, []) == 0.0 and fingerprints.likeness([], []) == 1.0
+    backwards = [(h, 100 - h) for h in range(0, 24)]
+    assert fingerprints.likeness(a, backwards) == 1 / 24
+    many, other = [(h, h) for h in range(0, 128, 2)], [(h, h) for h in range(0, 192, 3)]
+    united = sorted({h for h, _ in many} | {h for h, _ in other})[: fingerprints.KEEP]
+    assert fingerprints.likeness(many, other) == sum(h % 6 == 0 for h in united) / fingerprints.KEEP
+
+
 def test_language(docs, none):
     rows = [("en", "the house and the garden of them " * 20), ("fr", "la maison et le jardin des voisins " * 20)]
     model = language.train(rows)
@@ -223,6 +235,10 @@ def test_top_k(spark):
         assert [got[q][k] for k in range(1, 6)] == [(i, s) for s, i in want]
     assert topk.top_k(df.where("vec_id < 0"), F.col("vec_id") % 50 == 0).count() == 0
     assert topk.top_k(df.where("vec_id in (0, 1)"), F.col("vec_id") % 50 == 0).count() == 1
+    large = spark.createDataFrame([(0, [2.0**22, 1.0]), (1, [2.0**22, -1.0])], "vec_id long, embedding array<float>")
+    assert [r["score"] for r in topk.top_k(large, F.col("vec_id") == 0).collect()] == [2**60 - 2**16]
+    with pytest.raises(Exception, match="may not fit a 64-bit score"):
+        topk.top_k(large.withColumn("embedding", F.transform("embedding", lambda x: x * 1024)), F.col("vec_id") == 0).collect()
 
 
 def test_packing(docs, none):
