@@ -17,20 +17,21 @@ def sales_overview(fact: DataFrame, customers: DataFrame, products: DataFrame, e
     """The published sales view: orders that are not cancelled, with their current dimension rows.
 
     Each dimension is cut to its current rows before the join, so an order whose representative has
-    no current row keeps its place with nulls.
+    no current row keeps its place with nulls. Orders without one get a spread key, which matches
+    nothing, as keys count from 1: they would all meet in one partition.
     """
     c = customers.where("is_current").select(
         "customer_sk", "customer_id", "customer_name", "industry", "country", "account_type"
     )
     p = products.where("is_current").select("product_sk", "product_id", "product_name", "category", "subcategory")
     e = employees.where("is_current").select(
-        F.col("employee_sk").alias("sales_rep_sk"),
+        F.col("employee_sk").alias("_rep_key"),
         F.col("full_name").alias("sales_rep_name"),
         F.col("team").alias("sales_team"),
     )
-    joined = (
-        not_cancelled(fact).join(c, "customer_sk").join(p, "product_sk").join(e, "sales_rep_sk", "left")
-    )
+    spread = -1 - F.pmod(F.xxhash64("order_id"), F.lit(1024))
+    orders = not_cancelled(fact).withColumn("_rep_key", F.coalesce("sales_rep_sk", spread))
+    joined = orders.join(c, "customer_sk").join(p, "product_sk").join(e, "_rep_key", "left")
     return joined.select(
         "order_date",
         F.year("order_date").alias("order_year"),

@@ -136,6 +136,13 @@ def test_plain_upsert(spark):
     assert sorted(map(tuple, star.upsert_by_key(a, b, ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def test_overview_spreads_orders_without_representative(spark):
+    c, p, e = dims(spark)
+    view = reports.sales_overview(star.fact_orders(star.resolve_keys(orders(spark), c, p, e), RUN), c, p, e)
+    assert {r.order_id: r.sales_rep_name for r in view.collect()} == {"A1": "Ann", "A2": None, "A5": None}
+    assert "xxhash64(order_id" in view._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_summary_numbers(spark):
     c, p, e = dims(spark)
     fact = star.fact_orders(star.resolve_keys(orders(spark), c, p, e), RUN)
