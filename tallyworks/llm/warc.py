@@ -10,8 +10,8 @@ concurrent-to identifiers, whichever of two records names the other, to one nest
 Of captures with equal payloads of at least `least` bytes, that with the largest page id (then the largest url) is the
 response, the others revisit it. Where rows repeat it, one of them is. Equal payloads are recognised by their SHA-1.
 Null payloads are empty, a null url is an empty one, a null page id sorts first and is null again when read; line ends in a
-url are percent-encoded. An empty table gives no record. Other columns of the table are not read. Payloads of a group of
-copies are shuffled under salts and thrown away early: no task meets a whole group. A record must fit in memory, an
+url are percent-encoded. An empty table gives no record. Other columns of the table are not read. Payloads are shuffled by
+page, so that no task meets a group of copies. A record must fit in memory, an
 archive need not.
 
 Archives are gzip files; plain files would be cut into splits and are not read. A record cut short is returned with
@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ VERSION = "WARC/1.0\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 LEAST = 1000
 DATE = "2024-01-01T00:00:00Z"
-_SALTS = 8  # a power of two
+_SALTS = 8
 _BLOCK = 10_000
 _BATCH = 1 << 22
 RECORDS = (
@@ -79,19 +79,18 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", text: s
     )
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     shared = groups.where("members > 1").select(
-        "digest", F.col("top.page_id").alias("first_page"), F.col("top.url").alias("first_url"), F.col("top.n").alias("times"),
-        salts.alias("salt"),
-    )
-    alone, is_top = F.col("times").isNull(), F.col("page_id").eqNullSafe(F.col("first_page")) & (F.col("url") == F.col("first_url"))
-
-    # Payloads go to the salt of the task that read them: repeated rows, too, are dealt out. No key is nullable, so both
-    # uses of the join have the same inputs and Spark shuffles the payloads once.
-    salted = rows.where(~small).withColumn("salt", F.spark_partition_id().bitwiseAND(F.lit(_SALTS - 1)))
-    large = salted.join(shared, ["digest", "salt"], "left").where(alone | is_top)
-    once = large.where(alone | (F.col("times") == 1))
-    repeated = large.where("times > 1").dropDuplicates(["digest"])
+        "digest", F.col("top.page_id").alias("first_page"), F.col("top.url").alias("first_url"), salts.alias("salt")
+    )
+    is_top = F.col("page_id").eqNullSafe(F.col("first_page")) & (F.col("url") == F.col("first_url"))
+
+    # Payloads are shuffled once, by a key that only repeated rows share; of these a map task sends one.
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("-"))
+    same_row = Window.partitionBy("digest", "page_key", "url").orderBy("bytes")
+    large = rows.where(~small).withColumn("page_key", key).withColumn("_place", F.row_number().over(same_row)).where("_place = 1")
+    tops = groups.select("digest", F.coalesce(F.col("top.page_id").cast("string"), F.lit("-")).alias("page_key"), F.col("top.url").alias("url"))
+    first = large.join(tops, ["digest", "page_key", "url"], "left_semi")
     columns = ["page_id", "url", "digest", "bytes", "payload"]
-    responses = once.select(*columns).unionByName(repeated.select(*columns)).withColumn("copy", F.lit(0).cast("long"))
+    responses = first.select(*columns).withColumn("copy", F.lit(0).cast("long"))
     short = _copies(narrow.where(small), F.lit(0), F.col("n")).select(*columns, "copy")
 
     others = narrow.where(~small).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int"))
