@@ -5,8 +5,8 @@ neighbours are what BPE gives for their joined bytes. So reading a byte adds one
 that end there; which it is follows from the last tokens at their starts. A state of the transducer is the last token
 that was emitted and the bytes since. A token is emitted once all places where a longer token may still begin lie
 behind it on one path; the lookahead is therefore bounded by the longest token. A transition and its state are made when
-they are met again; a word that meets one for the first time is run undetermined. At a bound of states all but the one
-that is read from are dropped and made again as they are met, so what is held follows the data.
+they have been met a few times; until then words that meet them are run undetermined. At a bound of states all but the
+one that is read from are dropped and made again as they are met, so what is held follows the data.
 
 As in the public encoders, a match of the pattern that is itself a token is that token. The pattern never joins a
 character with white space that follows it, so a text falls into chunks (white space, then other text); distinct chunks
@@ -30,7 +30,9 @@ from tallyworks.llm.text import SPACE, ChunkTable, grouped, worker_state
 
 _CHUNK = regex.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 #: So many states are held at once.
-MOST_STATES = 60_000
+MOST_STATES = 30_000
+#: A transition is made when it is met so often.
+MEETINGS = 4
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,7 +65,7 @@ class Transducer:
         self.held: list[tuple[int, bytes, list[int], dict[int, tuple[int, int]]]] = []
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self.ends: dict[int, tuple[int, ...]] = {}
-        self.met: set[tuple[int, int]] = set()  # transitions asked for once
+        self.met: dict[int, int] = {}  # how often transitions were asked for that are not made
         self._state(-1, b"", [0], {})
 
     def _state(self, root: int, tail: bytes, opens: list[int], lasts: dict[int, tuple[int, int]]) -> int:
@@ -197,10 +199,12 @@ class Transducer:
         for byte in data:
             move = moves.get(state << 8 | byte)
             if move is None:
-                if (state, byte) not in self.met:
+                key = state << 8 | byte
+                times = self.met.get(key, 0) + 1
+                if times < MEETINGS:
                     if len(self.met) >= 4 * MOST_STATES:
                         self.met.clear()
-                    self.met.add((state, byte))
+                    self.met[key] = times
                     return self.simulated(data)
                 if len(self.held) >= MOST_STATES:
                     here = self.held[state]
@@ -243,7 +247,7 @@ class Encoder:
         self.transducer = Transducer(ranks)
         # white space as the public encoders have it: the Unicode property
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
-        self.table = ChunkTable(self._chunks, most=450_000, kind=np.int32)
+        self.table = ChunkTable(self._chunks, most=700_000, kind=np.int32, most_bytes=160 << 20)
 
     def _chunks(self, chunks: list[str]) -> list[list[int]]:
         encode, find = self.transducer.encode, self.pattern.findall

@@ -64,28 +64,36 @@ class ChunkTable:
     """Values of distinct chunks, worked out once each and held as one array with starts.
 
     `work(chunks)` returns an array of integers or floats for each chunk. Once `most` chunks or about `most_bytes` are held,
-    the next call starts anew: the chunks that are frequent then are soon back. This bounds memory by bytes, whatever
-    comes, and changes no result.
+    those used more than once since the last time stay, at most half of either bound and the most used first; the
+    others make room. This bounds memory by bytes, whatever comes, follows the data and changes no result.
     """
 
     #: What a chunk takes beside its bytes and values: dictionary entry, objects, starts.
-    ENTRY = 160
+    ENTRY = 200
 
-    def __init__(self, work: Callable[[list], list[np.ndarray]], most: int = 300_000, kind=np.int64, most_bytes: int = 96 << 20):
-        self.work, self.most, self.most_bytes, self.kind = work, most, most_bytes, kind
-        self.clear()
-
-    def clear(self) -> None:
+    def __init__(self, work: Callable[[list], list[np.ndarray]], most: int = 300_000, kind=np.int64, most_bytes: int = 64 << 20):
+        self.work, self.most, self.most_bytes = work, most, most_bytes
         self.codes_of = Codes()
-        self.values = np.zeros(0, self.kind)
+        self.values = np.zeros(0, kind)
         self.starts = np.zeros(1, np.int64)
-        self.held = 0
+        self.bytes = np.zeros(0, np.int64)  # of each chunk
+        self.uses = np.zeros(0, np.int64)
+
+    def _make_room(self) -> None:
+        order = np.argsort(-self.uses, kind="stable")
+        order = order[self.uses[order] > 1][: self.most // 2]
+        kept = np.sort(order[np.cumsum(self.bytes[order]) <= self.most_bytes // 2])
+        values = self.gather(kept)
+        chunks = list(self.codes_of)
+        self.codes_of = Codes(zip([chunks[i] for i in kept.tolist()], range(len(kept)), strict=True))
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes(kept))])
+        self.values, self.bytes, self.uses = values, self.bytes[kept], np.zeros(len(kept), np.int64)
 
     def codes(self, chunks: list) -> np.ndarray:
         """The chunks' numbers. They hold until the next call."""
-        if len(self.codes_of) >= self.most or self.held >= self.most_bytes:
-            self.clear()
-        known = len(self.starts) - 1
+        if len(self.codes_of) >= self.most or int(self.bytes.sum()) >= self.most_bytes:
+            self._make_room()
+        known = len(self.bytes)
         codes = np.fromiter(map(self.codes_of.__getitem__, chunks), np.int64, len(chunks))
         if len(self.codes_of) > known:
             fresh = list(islice(self.codes_of, known, None))
@@ -94,7 +102,10 @@ class ChunkTable:
             new = np.fromiter(chain.from_iterable(rows), self.values.dtype, int(sizes.sum()))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
             self.values = np.concatenate([self.values, new])
-            self.held += sum(map(len, fresh)) + new.nbytes + self.ENTRY * len(fresh)
+            taken = np.fromiter(map(len, fresh), np.int64, len(fresh)) + self.ENTRY + sizes * self.values.itemsize
+            self.bytes = np.concatenate([self.bytes, taken])
+            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
+        self.uses += np.bincount(codes, minlength=len(self.uses))
         return codes
 
     def sizes(self, codes: np.ndarray) -> np.ndarray:

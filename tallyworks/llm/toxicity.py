@@ -111,6 +111,10 @@ def _features(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.divide(value, norm, out=np.zeros_like(value), where=norm > 0)
 
 
+#: Letters that are worked through at once, padding included.
+CELLS = 40_000
+
+
 @dataclass
 class Model:
     weight: np.ndarray  # of each subsequence
@@ -124,9 +128,13 @@ class Model:
         are not normalised exactly.
         """
         out = np.full(len(found), FLOOR)
-        by_length = np.argsort(np.fromiter(map(len, found), np.int64, len(found)), kind="stable")
-        for at in range(0, len(by_length), 2000):
-            part = by_length[at : at + 2000]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        by_length = np.argsort(-sizes, kind="stable")
+        at = 0
+        while at < len(by_length):
+            # longest first, so that the first of a part says how wide its rows are
+            part = by_length[at : at + max(1, min(2000, CELLS // max(1, int(sizes[by_length[at]]))))]
+            at += len(part)
             rows = _padded([found[i] for i in part])
             codes, weights = subsequences(rows)
             weights = np.where(codes > 0, weights.astype(np.float32), np.float32(0))
@@ -281,7 +289,7 @@ def scorer(docs: DataFrame, model: Model | None):
         m = held.value
         if m is None:
             return {"score": [0.0] * len(texts), "strongest": [FLOOR] * len(texts), "positive": [0] * len(texts)}
-        table = worker_state("toxicity", key, lambda: ChunkTable(m.of_chunks, most=400_000, kind=np.float32))
+        table = worker_state("toxicity", key, lambda: ChunkTable(m.of_chunks, most=200_000, kind=np.float32, most_bytes=40 << 20))
         strongest, positive, total = _summary(texts, table)
         return {"score": m.score(strongest, positive, total), "strongest": strongest, "positive": positive.astype(np.int32)}
 
