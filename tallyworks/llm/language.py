@@ -7,7 +7,8 @@ never seen costs 8 bits more than the escape. Statistics are frozen after traini
 (context, byte) is worked out once, in one table of `(context, byte, language)`: scoring a text looks up one row per
 byte, whatever the order.
 
-Training takes a bounded sample: about `SAMPLE_DOCS` documents of each language, of at most `SAMPLE_CHARS` characters.
+Training takes a bounded sample: about `SAMPLE_DOCS` documents of each language, of longer ones a stretch of `SAMPLE_CHARS`
+characters.
 Contexts seen fewer than `LEAST` times over all languages, and those beyond the `CONTEXTS` most frequent, are no nodes
 of the trees; their bytes are coded by the next shorter context.
 
@@ -45,14 +46,19 @@ class Model:
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, longest: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """(lang, text) of a bounded, repeatable sample of labelled rows; languages with few rows keep all of them."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= longest))
+    """(lang, text) of a bounded, repeatable sample of labelled rows; languages with few rows keep all of them.
+
+    Of a longer text a stretch of `longest` characters is taken, at a place that depends on the text alone.
+    """
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = usable.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) / 1_000_000
-    rows = usable.where(place < share[F.col("lang")]).select("lang", "text").limit(2 * per_language * len(counts)).collect()
+    start = 1 + F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - longest, F.lit(1)))
+    stretch = F.when(F.length("text") <= longest, F.col("text")).otherwise(F.substring("text", start.cast("int"), F.lit(longest)))
+    rows = usable.where(place < share[F.col("lang")]).select("lang", stretch.alias("text")).limit(2 * per_language * len(counts)).collect()
     return [(r["lang"], r["text"]) for r in rows]
 
 

@@ -221,6 +221,16 @@ def test_language(docs, none):
     assert none.select(language.detect(none, F.col("text"), None)).count() == 0
 
 
+def test_language_learns_from_long_texts_alone(spark):
+    """A language all of whose texts are long is learned from stretches of them."""
+    long = "la maison et le jardin des voisins " * 900
+    rows = [(1, "the house and the garden of them " * 20, "en"), (2, long, "fr"), (3, long[5:], "fr"), (4, None, "de"), (5, "", "de"), (6, "x", None)]
+    taken = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted((lang, len(t)) for lang, t in taken) == [("de", 0), ("en", 660), ("fr", 20_000), ("fr", 20_000)]
+    assert all(t in long for lang, t in taken if lang == "fr")
+    assert language.code_lengths(language.train(taken), b"le jardin des").argmin() == 2
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8) * (rng.random(8) < 0.6)]) for i in range(300)]
