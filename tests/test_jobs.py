@@ -193,7 +193,7 @@ def test_silver_run_again_is_a_no_op(spark, lake):
     before = lake.silver_orders.read(spark).collect()
     versions = lake.silver_orders.versions(spark)
     silver.build_silver(spark, lake, rates(spark), DAY2, at(DAY2, 5))
-    assert sorted(lake.silver_orders.read(spark).collect()) == sorted(before)
+    assert sorted(map(str, lake.silver_orders.read(spark).collect())) == sorted(map(str, before))
     assert lake.silver_orders.versions(spark) == versions
 
 
@@ -265,7 +265,7 @@ def test_streamed_silver_equals_the_batch_job(spark, tmp_path):
         silver.build_silver(spark, batch, rates(spark), day, at(day, 4))
         now = next(days)
         stream_into_silver(spark, lake, rates(spark), str(tmp_path / "cp"), lambda now=now: now).awaitTermination()
-    assert sorted(lake.silver_orders.read(spark).collect()) == sorted(batch.silver_orders.read(spark).collect())
+    assert sorted(map(str, lake.silver_orders.read(spark).collect())) == sorted(map(str, batch.silver_orders.read(spark).collect()))
 
 
 def test_streamed_redeliveries_are_dropped(spark, tmp_path):
