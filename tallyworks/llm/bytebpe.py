@@ -247,7 +247,7 @@ class Encoder:
         self.transducer = Transducer(ranks)
         # white space as the public encoders have it: the Unicode property
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
-        self.table = ChunkTable(self._chunks, most=700_000, kind=np.int32, most_bytes=160 << 20)
+        self.table = ChunkTable(self._chunks, most=450_000, kind=np.int32, most_bytes=112 << 20)
 
     def _chunks(self, chunks: list[str]) -> list[list[int]]:
         encode, find = self.transducer.encode, self.pattern.findall

@@ -34,7 +34,7 @@ def _token_table(path: str) -> ChunkTable:
     def work(chunks: list[bytes]) -> list[np.ndarray]:
         return [e.ids for e in tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
-    return ChunkTable(work, most=1_000_000, kind=np.uint32, most_bytes=224 << 20)
+    return ChunkTable(work, most=600_000, kind=np.uint32, most_bytes=160 << 20)
 
 
 def token_pieces(

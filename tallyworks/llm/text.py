@@ -59,13 +59,18 @@ class Codes(dict):
         self[key] = n = len(self)
         return n
 
+    def keep(self, most: int) -> None:
+        """Forgets the latest keys beyond `most`."""
+        while len(self) > most:
+            self.popitem()
+
 
 class ChunkTable:
     """Values of distinct chunks, worked out once each and held as one array with starts.
 
-    `work(chunks)` returns an array of integers or floats for each chunk. Once `most` chunks or about `most_bytes` are held,
-    those used more than once since the last time stay, at most half of either bound and the most used first; the
-    others make room. This bounds memory by bytes, whatever comes, follows the data and changes no result.
+    `work(chunks)` returns an array of integers or floats for each chunk. The chunks first met stay from call to call, at most
+    `most` of them and about `most_bytes`; later ones are worked out again when they return. This bounds memory by bytes,
+    whatever comes, and changes no result.
     """
 
     #: What a chunk takes beside its bytes and values: dictionary entry, objects, starts.
@@ -76,36 +81,26 @@ class ChunkTable:
         self.codes_of = Codes()
         self.values = np.zeros(0, kind)
         self.starts = np.zeros(1, np.int64)
-        self.bytes = np.zeros(0, np.int64)  # of each chunk
-        self.uses = np.zeros(0, np.int64)
-
-    def _make_room(self) -> None:
-        order = np.argsort(-self.uses, kind="stable")
-        order = order[self.uses[order] > 1][: self.most // 2]
-        kept = np.sort(order[np.cumsum(self.bytes[order]) <= self.most_bytes // 2])
-        values = self.gather(kept)
-        chunks = list(self.codes_of)
-        self.codes_of = Codes(zip([chunks[i] for i in kept.tolist()], range(len(kept)), strict=True))
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes(kept))])
-        self.values, self.bytes, self.uses = values, self.bytes[kept], np.zeros(len(kept), np.int64)
+        self.kept, self.held, self.full = 0, 0, False
 
     def codes(self, chunks: list) -> np.ndarray:
         """The chunks' numbers. They hold until the next call."""
-        if len(self.codes_of) >= self.most or int(self.bytes.sum()) >= self.most_bytes:
-            self._make_room()
-        known = len(self.bytes)
+        known = self.kept
+        self.codes_of.keep(known)
         codes = np.fromiter(map(self.codes_of.__getitem__, chunks), np.int64, len(chunks))
         if len(self.codes_of) > known:
             fresh = list(islice(self.codes_of, known, None))
             rows = self.work(fresh)
             sizes = np.fromiter(map(len, rows), np.int64, len(rows))
             new = np.fromiter(chain.from_iterable(rows), self.values.dtype, int(sizes.sum()))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.values = np.concatenate([self.values, new])
-            taken = np.fromiter(map(len, fresh), np.int64, len(fresh)) + self.ENTRY + sizes * self.values.itemsize
-            self.bytes = np.concatenate([self.bytes, taken])
-            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
-        self.uses += np.bincount(codes, minlength=len(self.uses))
+            self.starts = np.concatenate([self.starts[: known + 1], self.starts[known] + np.cumsum(sizes)])
+            self.values = np.concatenate([self.values[: self.starts[known]], new])
+            if not self.full:
+                taken = np.fromiter(map(len, fresh), np.int64, len(fresh)) + self.ENTRY + sizes * self.values.itemsize
+                held = self.held + np.cumsum(taken)
+                n = min(int(np.searchsorted(held, self.most_bytes, "right")), self.most - known)
+                self.full, self.kept = n < len(fresh), known + n
+                self.held = int(held[n - 1]) if n else self.held
         return codes
 
     def sizes(self, codes: np.ndarray) -> np.ndarray:
