@@ -486,7 +486,8 @@ def linked(groups: DataFrame, payload: DataFrame, exact: bool) -> DataFrame:
     """cls, label of the classes that links connect: groups (grp, cls, count), payload (cls, n, sketch and, if exact, shingles).
 
     Equal labels: connected. Groups of one block are compared whole. In larger ones, whose rows alone meet others, each
-    block is first compared within itself and with the first block; then blocks meet that still hold different labels.
+    block is first compared within itself and with the first block; then they are dealt into blocks anew, and blocks that
+    still hold different labels meet, those of several labels also within themselves.
     """
     large = groups.where(F.col("count") > BLOCK)
 
@@ -507,7 +508,10 @@ def linked(groups: DataFrame, payload: DataFrame, exact: bool) -> DataFrame:
     labels = components(edges)
     rest = large.select("grp", "cls").join(payload, "cls").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     mixed_labels = (F.col("a_low") != F.col("a_high")) | (F.col("b_low") != F.col("b_high")) | (F.col("a_low") != F.col("b_low"))
-    more = stored(forest_edges(_across(_blocks(rest), mixed_labels), exact))
+    blocks = _blocks(rest)
+    # these blocks are drawn anew, so one may hold members that have not met yet
+    unmet = _across(blocks, mixed_labels).unionByName(_within(blocks.where("low <> high")))
+    more = stored(forest_edges(unmet, exact))
     return labels if more.isEmpty() else components(edges.unionByName(more))
 
 

@@ -325,6 +325,26 @@ def test_jaccard_join(docs, none, monkeypatch):
     assert jaccard.near_duplicates(none).count() == 0
 
 
+def test_jaccard_blocks_drawn_anew_are_compared_within(spark, monkeypatch):
+    """One large family gets blocks of its own, so the pairs beside it share fewer blocks than before."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = np.random.default_rng(5)
+    family = rng.choice(1 << 62, 100, replace=False).astype(np.uint64)
+    sets = [np.append(family, rng.integers(0, 1 << 62, 1).astype(np.uint64)) for _ in range(60)]
+    for _ in range(2):
+        own = rng.choice(1 << 62, 100, replace=False).astype(np.uint64)
+        sets += [np.append(own, np.uint64(k)) for k in (1, 2)]
+    sets = [np.unique(s) for s in sets]
+    rows = [(i + 1, len(s), bytearray(jaccard.bit_sketch(s).tobytes()), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    payload = spark.createDataFrame(rows, "cls long, n long, sketch binary, shingles binary")
+    groups = payload.select(F.lit(7).cast("long").alias("grp"), "cls", F.lit(len(rows)).cast("long").alias("count"))
+    for exact in (True, False):
+        label = {r["cls"]: r["label"] for r in jaccard.linked(groups, payload, exact).collect()}
+        assert len({label[i] for i in range(1, 61)}) == 1
+        assert [label[i] == label[i + 1] for i in range(61, 65, 2)] == [True] * 2
+        assert len(set(label.values())) == 3
+
+
 def test_word_hashes(monkeypatch):
     pieces = [b"one two  one", b"", b" \x0b", b"two " + b"x" * 50, b"\xe4\xbd\xa0 one"]
     short = [h.tolist() for h in jaccard.word_hashes(pieces)]
