@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.text import SPACE, ChunkTable, grouped, worker_state
 
-_CHUNK = regex.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
+_CHUNK = re.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
 #: So many states are held at once.
 MOST_STATES = 30_000
 #: A transition is made when it is met so often.
 MEETINGS = 4
+#: Ids of so many matches of the pattern, each of at most so many characters, are kept for chunks that are met later.
+MOST_MATCHES, LONGEST_MATCH = 100_000, 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,6 +57,11 @@ class Transducer:
         for t in ranks:
             for n in range(1, len(t)):
                 self.known[t[:n]] = (ranks.get(t[:n], -1), True)
+        # the same by byte: byte -> (what may come next or None, token or -1)
+        self.tree: dict[int, tuple[dict | None, int]] = {}
+        below = {t: {} for t, (_, longer) in self.known.items() if longer} | {b"": self.tree}
+        for t, (token, _) in self.known.items():
+            below[t[:-1]][t[-1]] = (below.get(t), token)
         self._pairs: dict[tuple[int, int], bool] = {}
         self._edges: dict[int, tuple | None] = {}
         self.reset()
@@ -217,23 +225,26 @@ class Transducer:
         return [*out, *self.finish(state)]
 
     def simulated(self, data: bytes) -> list[int]:
-        """The same ids without states: all places where a token may begin are followed side by side."""
-        known, follows = self.known, self._follows
-        lasts: list[tuple[int, int]] = [(-1, 0)]
-        opens = [0]
-        for n in range(1, len(data) + 1):
-            heads, last = [], None
-            for j in opens:
-                found = known.get(data[j:n])
-                if found is not None:
-                    if found[1]:
-                        heads.append(j)
-                    if last is None and found[0] >= 0 and follows(lasts[j][0], found[0]):
-                        last = (found[0], j)
-            lasts.append(last)
-            heads.append(n)
-            opens = heads
-        out, place = [], len(data)
+        """The same ids without states: all places where a token may begin are followed, one after another.
+
+        Of the tokens that end at a place the longest that follows counts, so the first one found from the left.
+        """
+        pairs, follows = self._pairs, self._follows
+        size = len(data)
+        lasts: list[tuple[int, int] | None] = [(-1, 0)] + [None] * size
+        for j in range(size):
+            before, node, n = lasts[j][0], self.tree, j
+            while node and n < size:
+                found = node.get(data[n])
+                if found is None:
+                    break
+                node, token = found
+                n += 1
+                if token >= 0 and lasts[n] is None:
+                    fits = pairs.get((before, token))
+                    if follows(before, token) if fits is None else fits:
+                        lasts[n] = (token, j)
+        out, place = [], size
         while place:
             token, place = lasts[place]
             out.append(token)
@@ -249,9 +260,17 @@ class Encoder:
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         self.table = ChunkTable(self._chunks, most=450_000, kind=np.int32, most_bytes=112 << 20)
 
+        self.matches: dict[str, list[int]] = {}
+
     def _chunks(self, chunks: list[str]) -> list[list[int]]:
-        encode, find = self.transducer.encode, self.pattern.findall
-        return [[i for m in find(c) for i in encode(m.encode("utf-8", "replace"))] for c in chunks]
+        known, find = self.matches.get, self.pattern.findall
+        return [[i for m in find(c) for i in known(m) or self._match(m)] for c in chunks]
+
+    def _match(self, match: str) -> list[int]:
+        ids = self.transducer.encode(match.encode("utf-8", "replace"))
+        if len(self.matches) < MOST_MATCHES and len(match) <= LONGEST_MATCH:
+            self.matches[match] = ids
+        return ids
 
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray]]:
         """(position, ids) of the texts' slices, in order."""

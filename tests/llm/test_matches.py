@@ -1,0 +1,32 @@
+"""Matches of the pattern that return in other chunks, and the simulation held to BPE by its definition."""
+
+import random
+
+import public_tokenizers
+import pytest
+
+from tallyworks.llm import bytebpe
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def test_a_match_met_in_another_chunk_is_not_encoded_again(ranks, monkeypatch):
+    encoder, asked = bytebpe.Encoder(ranks, public_tokenizers.PATTERN), []
+    encode = encoder.transducer.encode
+    monkeypatch.setattr(encoder.transducer, "encode", lambda data: asked.append(data) or encode(data))
+    texts = ["x zqxjkvw.", "y zqxjkvw, zqxjkvw; z"]
+    found = [list(ids) for _, ids in encoder.encode_batch(texts)]
+    assert asked.count(b" zqxjkvw") == 1
+    monkeypatch.setattr(bytebpe, "MOST_MATCHES", 0)
+    plain = bytebpe.Encoder(ranks, public_tokenizers.PATTERN)
+    assert found == [list(ids) for _, ids in plain.encode_batch(texts)] and not plain.matches
+
+
+def test_simulation_gives_the_merges_of_the_definition(ranks):
+    transducer, draw = bytebpe.Transducer(ranks), random.Random(7)
+    words = [bytes(draw.choices(b"aenrst hi\xc3\xa4\xff.0", k=draw.randint(1, 24))) for _ in range(1500)]
+    for word in words:
+        assert [transducer.bytes_of[i] for i in transducer.simulated(word)] == transducer.merged(word)
