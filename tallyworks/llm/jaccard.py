@@ -506,7 +506,9 @@ def linked(groups: DataFrame, payload: DataFrame, exact: bool) -> DataFrame:
     lead = stored(forest_edges(_across(blocks_of(large), F.col("i") == 0), exact))
     edges = edges.unionByName(lead)
     labels = components(edges)
-    rest = large.select("grp", "cls").join(payload, "cls").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    # labels go to the classes, of which there are no more than documents, not to their places in groups
+    marked = payload.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    rest = large.select("grp", "cls").join(marked, "cls")
     mixed_labels = (F.col("a_low") != F.col("a_high")) | (F.col("b_low") != F.col("b_high")) | (F.col("a_low") != F.col("b_low"))
     blocks = _blocks(rest)
     # these blocks are drawn anew, so one may hold members that have not met yet
