@@ -350,10 +350,17 @@ def _several(groups: DataFrame) -> DataFrame:
 
 
 def kept_groups(found: DataFrame) -> DataFrame:
-    """grp, cls, count: every class without its most frequent words, as many as its band can spare."""
+    """grp, cls, count: every class without its most frequent words, as many as its band can spare.
+
+    Groups go over to their least member, and those with the same one are one group: a passage in many documents makes a
+    group of each word it fills, and most of their members are the same. What met before still meets.
+    """
     rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy(F.desc("size"), "grp"))
     kept = found.where("grp is not null").withColumn("rank", rank).where("rank > spare")
-    return _several(stored(kept.select("grp", "cls").distinct()))
+    places = stored(kept.select("grp", "cls").distinct())
+    least = places.groupBy("grp").agg(F.min("cls").alias("least"), F.count(F.lit(1)).alias("count")).where("count > 1")
+    merged = places.join(least.select("grp", "least"), "grp").select(F.col("least").alias("grp"), "cls").distinct()
+    return _several(stored(merged))
 
 
 def sketches(docs: DataFrame, chosen: DataFrame, with_sets: bool) -> DataFrame:
@@ -501,9 +508,11 @@ def linked(groups: DataFrame, payload: DataFrame, exact: bool) -> DataFrame:
         )
 
     edges = stored(forest_edges(_within(blocks_of(groups)), exact))
+    release(edges)
     if large.isEmpty():
         return components(edges)
     lead = stored(forest_edges(_across(blocks_of(large), F.col("i") == 0), exact))
+    release(lead)
     edges = edges.unionByName(lead)
     labels = components(edges)
     # labels go to the classes, of which there are no more than documents, not to their places in groups
@@ -548,6 +557,7 @@ def near_duplicates(docs: DataFrame, most: int = WIDE) -> DataFrame:
     """doc_id, n_shingles, cls, component_id of every row."""
     docs = _columns(docs)
     both = stored(rows_and_groups(docs, most))
+    release(docs)
     rows = both.where("grp is null").select("doc_id", F.col("n").alias("n_shingles"), "cls")
     groups = stored(kept_groups(both))
     release(docs)
