@@ -31,14 +31,13 @@ component unless they link with one that has an id.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.text import Codes, fresh_name, grouped, release, stored
+from tallyworks.llm.text import Codes, drop_other_state, fresh_name, grouped, release, stored, worker_state
 
 WORDS = 5
 SMALL, GROWTH = 24, 1.6
@@ -66,10 +65,12 @@ _BASE = 0x5851F42D4C957F2D
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _C)
 
 
-@cache
 def _powers(base: int, count: int) -> np.ndarray:
-    """The first `count` powers of an odd base."""
-    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(count - 1, base, np.uint64))])
+    """The first `count` powers of an odd base, out of one table for each base that grows as needed."""
+    held = worker_state("jaccard", "powers", dict)
+    if len(held.get(base, ())) < count:
+        held[base] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(count - 1, base, np.uint64))])
+    return held[base][:count]
 
 
 def _long_word(word: bytes) -> int:
@@ -215,6 +216,7 @@ def sketch_keys(docs: DataFrame) -> DataFrame:
     names, kinds = "key cls n doc_id", (pa.int64(), pa.int64(), pa.int64(), pa.int64())
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_other_state("jaccard")
         seen: set[int] = set()  # copies of a set in this task emit its keys once; forgetting some does no harm
         for batch in batches:
             rows: list[tuple] = []
@@ -292,6 +294,7 @@ def rows_and_groups(docs: DataFrame, most: int = WIDE) -> DataFrame:
         return members(np.repeat(grp, sizes), np.repeat(sizes, sizes), key, cls, spare)
 
     def grouped_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_other_state("jaccard")
         held: list[tuple[np.ndarray, ...]] = []  # the last run, which may go on in the next batch
         count, last, is_wide = 0, (None, None), False
         for batch in batches:
@@ -371,6 +374,7 @@ def sketches(docs: DataFrame, chosen: DataFrame, with_sets: bool) -> DataFrame:
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())[: 3 + with_sets]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_other_state("jaccard")
         for batch in batches:
             rows: list[tuple] = []
             held = 0
@@ -397,6 +401,7 @@ def forest_edges(pairs: DataFrame, exact: bool) -> DataFrame:
     """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_other_state("jaccard")
         for batch in batches:
             us, vs = [], []
             for r in range(batch.num_rows):

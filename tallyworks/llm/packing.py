@@ -23,9 +23,11 @@ from tallyworks.llm.text import ChunkTable, grouped, worker_state
 
 CAPACITY = 2048
 GROUP_ROWS = 16_384
+#: Bytes of the table of chunks in each worker.
+TABLE_BYTES = 160 << 20
 
 
-def _token_table(path: str) -> ChunkTable:
+def _token_table(path: str, most_bytes: int = TABLE_BYTES) -> ChunkTable:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -34,19 +36,26 @@ def _token_table(path: str) -> ChunkTable:
     def work(chunks: list[bytes]) -> list[np.ndarray]:
         return [e.ids for e in tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
-    return ChunkTable(work, most=600_000, kind=np.uint32, most_bytes=160 << 20)
+    return ChunkTable(work, most=600_000, kind=np.uint32, most_bytes=most_bytes)
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = 0,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    table_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit) of every document's pieces.
 
-    The tokenizer must drop white space and never join what white space parts: distinct chunks are then encoded once.
+    The tokenizer must drop white space and never join what white space parts: distinct chunks are then encoded once,
+    as long as their table has room: `table_bytes` bounds it in each worker and changes no result.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = worker_state("packing", f"tokens {tokenizer}", lambda: _token_table(tokenizer))
+        table = worker_state("packing", f"tokens {tokenizer} {table_bytes}", lambda: _token_table(tokenizer, table_bytes))
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             out: tuple[list, ...] = ([], [], [], [], [])

@@ -15,6 +15,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,11 +115,18 @@ class ChunkTable:
         return self.values[np.repeat(self.starts[codes] - (ends - sizes), sizes) + np.arange(total)]
 
 
+def drop_other_state(kind: str) -> None:
+    """Drops what this worker process holds for another kind of work; for work that holds nothing itself."""
+    if next(iter(_STATE), (kind,))[0] != kind:
+        _STATE.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def worker_state(kind: str, key: str, build: Callable):
     """What `build` makes, kept by this worker process for one `key` of a kind. A worker that goes on to another kind of work
     drops what it held for the last."""
-    if next(iter(_STATE), (kind,))[0] != kind:
-        _STATE.clear()
+    drop_other_state(kind)
     if (kind, key) not in _STATE:
         for other in [k for k in _STATE if k[1].split(" ")[0] == key.split(" ")[0]]:
             del _STATE[other]

@@ -1,10 +1,13 @@
-"""Groups of a sketch word that share their least member are one group."""
+"""Groups of a sketch word that share their least member are one group, and workers drop what other work held."""
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from tallyworks.llm import jaccard
+import public_tokenizers
+
+import corpus_pipeline
+from tallyworks.llm import jaccard, packing, text
 
 
 def test_groups_of_one_least_member_are_merged(spark):
@@ -26,3 +29,29 @@ def test_a_frequent_word_is_left_out_before_groups_are_merged(spark):
     kept = jaccard.kept_groups(spark.createDataFrame(rows, "grp long, cls long, band long, size long, spare long")).collect()
     assert {(r["cls"], r["count"]) for r in kept} >= {(1, 2), (2, 2)}
     assert not any(r.grp == r2.grp and r["cls"] == 1 and r2["cls"] in (3, 4) for r in kept for r2 in kept)
+
+
+def test_work_without_state_drops_that_of_others():
+    text._STATE.clear()
+    text.worker_state("toxicity", "table 1", list)
+    text.drop_other_state("toxicity")
+    assert set(text._STATE) == {("toxicity", "table 1")}
+    text.drop_other_state("jaccard")
+    assert not text._STATE
+
+
+def test_powers_of_a_base_are_held_once():
+    text._STATE.clear()
+    base = jaccard._BASE
+    few, many = jaccard._powers(base, 100).copy(), jaccard._powers(base, 1000)
+    held = text._STATE["jaccard", "powers"]
+    assert (many[:100] == few).all() and set(held) == {base} and jaccard._powers(base, 10).base is held[base]
+    assert [int(p) for p in many[:50]] == [pow(base, i, 1 << 64) for i in range(50)]
+
+
+def test_the_table_of_the_pipelines_packing_is_smaller(spark):
+    assert corpus_pipeline.TABLE_BYTES < packing.TABLE_BYTES
+    docs = spark.createDataFrame([(1, "some words here"), (2, None), (3, "some more words")], "doc_id long, text string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    one, other = (packing.token_pieces(docs, path, table_bytes=n).collect() for n in (packing.TABLE_BYTES, 300))
+    assert sorted(one) == sorted(other) and len(one) == 3
