@@ -35,7 +35,7 @@ MOST_STATES = 30_000
 #: A transition is made when it is met so often.
 MEETINGS = 4
 #: Ids of so many matches of the pattern, each of at most so many characters, are kept for chunks that are met later.
-MOST_MATCHES, LONGEST_MATCH = 100_000, 32
+MOST_MATCHES, LONGEST_MATCH = 180_000, 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -260,7 +260,8 @@ class Encoder:
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
         self.table = ChunkTable(self._chunks, most=450_000, kind=np.int32, most_bytes=112 << 20)
 
-        self.matches: dict[str, list[int]] = {}
+        # tuples, since they take less than lists and the garbage collector leaves them alone
+        self.matches: dict[str, tuple[int, ...]] = {}
 
     def _chunks(self, chunks: list[str]) -> list[list[int]]:
         known, find = self.matches.get, self.pattern.findall
@@ -269,7 +270,7 @@ class Encoder:
     def _match(self, match: str) -> list[int]:
         ids = self.transducer.encode(match.encode("utf-8", "replace"))
         if len(self.matches) < MOST_MATCHES and len(match) <= LONGEST_MATCH:
-            self.matches[match] = ids
+            self.matches[match] = tuple(ids)
         return ids
 
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray]]:

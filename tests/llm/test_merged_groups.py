@@ -7,7 +7,7 @@ from itertools import combinations
 import public_tokenizers
 
 import corpus_pipeline
-from tallyworks.llm import jaccard, packing, text
+from tallyworks.llm import bytebpe, jaccard, packing, text
 
 
 def test_groups_of_one_least_member_are_merged(spark):
@@ -55,3 +55,10 @@ def test_the_table_of_the_pipelines_packing_is_smaller(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     one, other = (packing.token_pieces(docs, path, table_bytes=n).collect() for n in (packing.TABLE_BYTES, 300))
     assert sorted(one) == sorted(other) and len(one) == 3
+
+
+def test_more_matches_are_kept_and_as_tuples():
+    encoder = bytebpe.Encoder({bytes([b]): b for b in range(256)}, r"\w+|\W+")
+    assert bytebpe.MOST_MATCHES >= 150_000
+    list(encoder.encode_batch(["ab cd"]))
+    assert encoder.matches and all(isinstance(ids, tuple) for ids in encoder.matches.values())
