@@ -11,8 +11,10 @@ of a length are settled by (doc_id, piece). An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +29,76 @@ GROUP_ROWS = 16_384
 TABLE_BYTES = 160 << 20
 
 
-def _token_table(path: str, most_bytes: int = TABLE_BYTES) -> ChunkTable:
+#: Chunks encoded in one call. Plain ones have only ASCII and Latin-1 letters and ASCII signs but "'" and "|" (contractions,
+#: special tokens): the known pattern makes each run of letters and each run of signs a word, and normalising moves no border.
+LOT = 256
+_LETTER, _SIGN, _OTHER = 1, 2, 3
+_KIND = np.full(257, _OTHER, np.int8)  # of a code point; the last entry is all beyond Latin-1
+_KIND[32] = 0
+_KIND[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'|"]] = _SIGN
+_KIND[[c for c in range(65, 256) if chr(c).isalpha() and (c < 128 or c >= 0xC0)]] = _LETTER
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def _marked_ends(path: str) -> np.ndarray | None:
+    """Which ids end a word, for tokenizers that cut words by the known pattern and mark the last id of each; else None."""
+    made = json.loads(Path(path).read_text(encoding="utf-8"))
+    model, suffix = made["model"], made["model"].get("end_of_word_suffix")
+    cuts = [p.get("pattern", {}).get("Regex") for p in (made.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    known = cuts == [_WORDS, None] and (made.get("normalizer") or {}).get("normalizers") == _NORMAL
+    if not (known and suffix and model["type"] == "BPE" and not model.get("dropout")):
+        return None
+    ends = np.zeros(max(model["vocab"].values()) + 1 + len(made["added_tokens"]), bool)
+    ends[[i for word, i in model["vocab"].items() if word.endswith(suffix)]] = True
+    return ends
+
+
+def _encoder(path: str) -> Callable[[list[bytes]], list[list[int]]]:
+    """The ids of each chunk as if it were encoded alone. Plain chunks go many in a call, parted by a space and told apart
+    by the ids that end words, since a call and its result cost as much as the words of a chunk."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, ends = Tokenizer.from_file(path), _marked_ends(path)
+
+    def alone(chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def together(chunks: list[str], words: np.ndarray) -> list[list[int]]:
+        (ids,) = alone([" ".join(chunks)])
+        last = np.flatnonzero(ends[ids]) + 1
+        if len(last) != words.sum() or (len(ids) and last[-1] != len(ids)):
+            return alone(chunks)
+        cuts = [0, *last[np.cumsum(words) - 1].tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def work(chunks: list[bytes]) -> list[list[int]]:
+        text = b" ".join(chunks).decode()
+        texts = text.split(" ")
+        if ends is None or not all(chunks):
+            return alone(texts) if chunks else []
+        kinds = _KIND[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 256)]
+        starts = np.concatenate([[0], np.flatnonzero(kinds == 0) + 1])
+        begins = np.concatenate([[True], kinds[1:] != kinds[:-1]]) & (kinds != 0)
+        words = np.add.reduceat(begins, starts, dtype=np.int64)
+        odd = np.logical_or.reduceat(kinds == _OTHER, starts)
+        out: list = [None] * len(texts)
+        other, plain = np.flatnonzero(odd).tolist(), np.flatnonzero(~odd)
+        for i, ids in zip(other, alone([texts[i] for i in other]), strict=True):
+            out[i] = ids
+        for at in range(0, len(plain), LOT):
+            lot = plain[at : at + LOT]
+            places = lot.tolist()
+            for i, ids in zip(places, together([texts[i] for i in places], words[lot]), strict=True):
+                out[i] = ids
+        return out
+
+    return work
 
-    def work(chunks: list[bytes]) -> list[np.ndarray]:
-        return [e.ids for e in tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
-    return ChunkTable(work, most=600_000, kind=np.uint32, most_bytes=most_bytes)
+def _token_table(path: str, most_bytes: int = TABLE_BYTES) -> ChunkTable:
+    return ChunkTable(_encoder(path), most=600_000, kind=np.uint32, most_bytes=most_bytes)
 
 
 def token_pieces(

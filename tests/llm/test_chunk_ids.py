@@ -1,0 +1,47 @@
+"""Chunks that are encoded many in a call have the ids they have alone."""
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from tallyworks.llm import packing
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = ["it's", "'s", "x'", "don't.", "<|endoftext|>", "a<|endoftext|>", "<|", "|>", "42", "a1b2", "..", ".a", "Éa\u0301", "ß", "İx", "x\u200by",
+       "ＡＢ", "日本", "e\u0301.", "\u0301", "ª", "×", "÷a", "a×b", "_", "a_b", "`~", "(x)", "STRAßE!!", "\U0001f600", "\ufffd", "ÿ?", "À-b"]
+
+
+def test_ids_of_chunks_are_those_of_each_alone():
+    whole = Tokenizer.from_file(PATH)
+    plain = [w + s for w in ("Haus", "été", "ñoña", "ABC", "q", "zzqxj", "Øre") for s in ("", ".", "!?", ",", ");", "--")]
+    chunks = [c for i, p in enumerate(plain * 20) for c in (p, ODD[i % len(ODD)], f"w{chr(97 + i % 26)}rd")]
+    expected = [whole.encode(c, add_special_tokens=False).ids for c in chunks]
+    assert [list(ids) for ids in packing._encoder(PATH)([c.encode() for c in chunks])] == expected
+
+
+def test_plain_chunks_take_few_calls(monkeypatch):
+    import tokenizers
+
+    given = []
+
+    class Counted:
+        def __init__(self, made):
+            self.made = made
+
+        def encode_batch_fast(self, texts, **kw):
+            given.extend(texts)
+            return self.made.encode_batch_fast(texts, **kw)
+
+    made = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_file": staticmethod(lambda path: Counted(made))}))
+    work = packing._token_table(PATH).work
+    assert len(work([f"{chr(97 + i % 26)}{chr(97 + i // 26)}word,".encode() for i in range(600)])) == 600
+    assert len(given) <= 10
+
+
+def test_an_unknown_tokenizer_is_asked_chunk_by_chunk(tmp_path):
+    path = tmp_path / "other.json"
+    other = Tokenizer.from_file(PATH)
+    other.normalizer = None
+    other.save(str(path))
+    assert packing._marked_ends(PATH) is not None and packing._marked_ends(str(path)) is None
+    assert [list(i) for i in packing._encoder(str(path))([b"Haus", b"x."])] == [other.encode(c).ids for c in ("Haus", "x.")]
