@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,9 @@ from tallyworks.llm.text import ChunkTable, grouped, text_column, worker_state
 LAMBDA, SPAN, SYMBOLS = 0.6, 6, 32
 TRAIN_DOCS, TRAIN_UNITS, LANDMARKS = 8_000, 8_000, 320
 THRESHOLD = 0.7
+#: Training runs on the driver. Units whose kernel values are worked out at once (each takes a row of landmarks for every
+#: subsequence), and bytes of the table of chunks while the curve is fitted; neither changes a result.
+KERNEL_ROWS, CURVE_BYTES = 25, 16 << 20
 #: Margins below this say nothing more about a text.
 FLOOR = 0.0
 #: Units are taken in stretches of this many symbols, which overlap by SPAN.
@@ -229,22 +233,31 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Data
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # at most `most` ids
 
 
+def _landmark_table(units: list[str]) -> np.ndarray:
+    """The features of each unit as a column over all subsequences."""
+    table = np.zeros((SYMBOLS**3, len(units)), np.float32)
+    for j, (codes, values) in enumerate(zip(*_features(_padded(units)), strict=True)):
+        np.add.at(table[:, j], codes, values)
+    return table
+
+
 def train(rows: list[tuple[str | None, int]], keep: int = TRAIN_UNITS, landmarks: int = LANDMARKS) -> Model | None:
     """Fits the machine to a bounded list of (text, toxic)."""
     toxic = np.array([y for _, y in rows], float)
     if not len(rows) or toxic.min() == toxic.max():
         return None
-    counts: dict = {}
+    found, counts = (Counter(), Counter()), (Counter(), Counter())  # sentences with a chunk and with a unit, by label
     for text, y in rows:
         for sentence in _SENTENCE.split(text or ""):
-            for chunk in set(chunks(sentence)):
-                counts.setdefault(chunk, [0, 0])[y] += 1
-    by_unit: dict[str, np.ndarray] = {}
-    for chunk, n in counts.items():
-        for unit in stretches(chunk):
-            by_unit[unit] = by_unit.get(unit, 0) + np.array(n)
-    counts, names = by_unit, sorted(by_unit)
-    n = np.array([counts[u] for u in names], float).reshape(-1, 2)
+            found[y].update(set(chunks(sentence)))
+    for of_chunks, of_units in zip(found, counts, strict=True):
+        while of_chunks:
+            chunk, times = of_chunks.popitem()
+            for unit in stretches(chunk):
+                of_units[unit] += times
+    names = sorted(counts[0].keys() | counts[1].keys())
+    n = np.array([[c[u] for c in counts] for u in names], float).reshape(-1, 2)
+    del counts
     if not len(names):
         return None
     lean = (n[:, 1] + 0.5) / (n.sum(1) + 1) - n[:, 1].sum() / n.sum()
@@ -255,23 +268,30 @@ def train(rows: list[tuple[str | None, int]], keep: int = TRAIN_UNITS, landmarks
     often = np.argsort(-n[:, 0], kind="stable")[:landmarks]
     marks = list(dict.fromkeys([*up.tolist(), *often.tolist()]))[:landmarks]
 
-    mark_codes, mark_values = _features(_padded([names[i] for i in marks]))
-    table = np.zeros((SYMBOLS**3, len(marks)), np.float32)
-    for j, (codes, values) in enumerate(zip(mark_codes, mark_values, strict=True)):
-        np.add.at(table[:, j], codes, values)
+    table = _landmark_table([names[i] for i in marks])
     kernel = np.empty((len(names), len(marks)))
-    for at in range(0, len(names), 200):
-        codes, values = _features(_padded(names[at : at + 200]))
-        kernel[at : at + 200] = np.einsum("nk,nkm->nm", values, table[codes], optimize=True)
+    for first in range(0, len(names), 200):
+        codes, values = _features(_padded(names[first : first + 200]))
+        for at in range(0, len(codes), KERNEL_ROWS):
+            part = slice(at, at + KERNEL_ROWS)
+            rows_of = np.einsum("nk,nkm->nm", values[part], table[codes[part]], optimize=True)
+            kernel[first + at : first + at + len(rows_of)] = rows_of
+    del table  # made again below: it is the largest
     among = kernel[marks]
     eigenvalues, vectors = np.linalg.eigh((among + among.T) / 2)
     good = eigenvalues > 1e-6 * eigenvalues.max()
     root = vectors[:, good] / np.sqrt(eigenvalues[good])
     z = np.concatenate([kernel @ root, np.ones((len(names), 1))], 1)
+    del kernel
     w = _fit_machine(z, n)
-    model = Model((table @ (root @ w[:-1])).astype(np.float32), float(w[-1]), np.zeros(4))
+    del z
+    table = _landmark_table([names[i] for i in marks])
+    folded = root @ w[:-1]
+    weight = np.concatenate([part @ folded for part in np.split(table, 32)])  # in parts: each is widened to doubles
+    model = Model(weight.astype(np.float32), float(w[-1]), np.zeros(4))
     model.weight[0] = 0
-    summary = _summary([t for t, _ in rows], ChunkTable(model.of_chunks, kind=np.float32))
+    del table  # the texts are gone through once more
+    summary = _summary([t for t, _ in rows], ChunkTable(model.of_chunks, kind=np.float32, most_bytes=CURVE_BYTES))
     model.curve = _fit_curve(_curve_inputs(*summary), toxic)
     return model
 
