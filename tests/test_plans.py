@@ -84,3 +84,46 @@ def test_no_python_in_any_plan(spark):
 
     for name in ("scd2_change_feed", "fact_unresolved", "strict_conform", "crm_explode"):
         assert "Python" not in plan(entry.queries()[name](spark, "/root/testdata/sf0.001")), name
+
+
+def exchanged(text, key):
+    """The lines under each shuffle by ``key``, the nearest projection of what it carries among them."""
+    lines = text.splitlines()
+    return ["\n".join(lines[i + 1 : i + 7]) for i, line in enumerate(lines) if f"Exchange hashpartitioning({key}#" in line]
+
+
+def test_line_items_are_not_shuffled_for_customers(spark, tmp_path):
+    """Orders meet their customers first; line items are shuffled for their parts and their orders only."""
+    from testbed.tables import derive_bronze
+
+    tables = {
+        "lineitem": "SELECT 1L l_orderkey, 2L l_partkey, 3L l_suppkey, 1 l_linenumber, 5D l_quantity, 10.5D l_extendedprice, 'R' l_returnflag, timestamp '1997-01-02 03:00:00' l_shipdate",
+        "orders": "SELECT 1L o_orderkey, 7L o_custkey, 'F' o_orderstatus, timestamp '1997-01-01' o_orderdate",
+        "customer": "SELECT c c_custkey, 0 c_nationkey FROM VALUES (7L), (7L), (8L) AS t(c)",
+        "nation": "SELECT 0 n_nationkey, 1 n_regionkey",
+        "region": "SELECT 1 r_regionkey, 'ASIA' r_name",
+        "part": "SELECT 2L p_partkey, 2.25D p_retailprice",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bronze = derive_bronze(spark, str(tmp_path))
+        text = plan(bronze)
+        rows = bronze.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_customer = exchanged(text, "o_custkey")
+    assert len(by_customer) == 1 and "l_orderkey" not in by_customer[0]
+    assert len(rows) == 2 and set(rows) == {rows[0]}  # a customer that comes twice doubles its orders, as ever
+    assert (str(rows[0].unit_price), str(rows[0].total_amount), rows[0].status, rows[0].currency) == ("2.2500", "10.5000", "REFD", "USD")
+
+
+def test_batches_are_shuffled_without_date_parts_and_source_columns(spark, raw, rates):
+    from tallyworks.plans.silver import stage_orders
+
+    staged = stage_orders(raw, rates, "2024-03-01", RUN)
+    carried = exchanged(plan(staged), "order_id")
+    assert len(carried) == 1 and "order_year" not in carried[0] and "order_month" not in carried[0]
+    found = {r.order_id: (r.order_year, r.order_month) for r in staged.collect()}
+    assert found["A1"] == (2024, 2) and found["A3"] == (2023, 12)
