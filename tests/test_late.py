@@ -120,3 +120,25 @@ def test_days_two_three_two(spark, tmp_path):
     # the ingestion time counts: rows of one extract are delivered when the extract runs
     assert [r._valid_from for r in line] == [at(DAY1, 4), at(DAY2), at(DAY3)]
     assert other.silver_orders.read(spark).where(F.col("_is_current")).count() == 1
+
+
+def test_a_merge_shuffles_the_table_once(spark, tmp_path):
+    """Rows of other keys, of null keys and rows that come twice pass; nothing joins the table to find them."""
+    run = delivered(2) + timedelta(hours=12)
+    rows = [("a", "A"), ("b", "A"), ("b", "A"), (None, "A"), (None, "A"), ("c", None), ("d", "A")]
+    spark.createDataFrame([(k, "n", run, None, True, run, h, delivered(2)) for k, h in rows], SCHEMA).write.parquet(str(tmp_path / "t"))
+    held, batch = spark.read.parquet(str(tmp_path / "t")), staged(spark, [("a", "B", None), (None, "B", None)], 3)
+    merged = late.merge_by_delivery(held, batch, delivered(9))
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+    found = [(r.order_id, r._source_hash, r._is_current) for r in merged.collect()]
+    others = [("b", "A", True)] * 2 + [(None, "A", True)] * 2 + [(None, "B", True), ("c", None, True), ("d", "A", True)]
+    assert sorted(found, key=str) == sorted([("a", "A", False), ("a", "B", True), *others], key=str)
+
+
+def test_the_next_delivery_takes_one_reading_of_the_batch(spark, tmp_path):
+    staged(spark, [("a", "A", None), ("b", "A", None), (None, "A", None)], 1).drop("_next_delivery_ts").write.parquet(str(tmp_path / "batch"))
+    later = spark.createDataFrame([("a", delivered(1), 1), ("a", delivered(3), 3), ("a", delivered(4), 3), ("a", delivered(5), 5), (None, delivered(3), 3)], "order_id string, _ingestion_ts timestamp, batch int")
+    found = late.with_next_delivery(spark.read.parquet(str(tmp_path / "batch")), later, batch="batch")
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r.order_id: r._next_delivery_ts for r in found.collect()} == {"a": delivered(4), "b": None, None: None}
