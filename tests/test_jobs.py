@@ -318,3 +318,18 @@ def test_day_three(spark, lake):
     cols = ["order_id", "status", "quantity", "total_amount_usd", "cost_amount_usd", "gross_margin_usd", "date_sk"]
     rebuilt = {tuple(r) for r in lake.fact_orders.read(spark).select(*cols).collect()}
     assert rebuilt == {tuple(r[c] for c in cols) for r in after.values()}
+
+
+def test_a_full_fact_stores_what_facts_take_of_an_order_once(spark, tmp_path, monkeypatch):
+    """Orders that wait are still kept whole."""
+    stored, keep = {}, gold.stage
+    monkeypatch.setattr(gold, "stage", lambda df, label: stored.setdefault(label, df) and keep(df, label))
+    lake = Lake(str(tmp_path / "lake"))
+    ingest.ingest_orders(spark, lake, source(spark, *FIRST), at(DAY1))
+    silver.build_silver(spark, lake, rates(spark), DAY1, at(DAY1, 4))
+    gold.build_gold(spark, lake, master(spark, "C1"), DAY1, at(DAY1, 6), full_refresh=True)
+    assert not {"_source_hash", "order_year", "product_name"} & set(stored["fact-resolved"].columns) and "fact-rows" not in stored
+    row = lake.unresolved.read(spark).first()
+    whole = lake.silver_orders.read(spark).where("order_id = 'A2'").first()
+    assert (row.order_id, row.unresolved, row._source_hash) == ("A2", "customer_id", whole._source_hash)
+    assert sorted(r.order_id for r in lake.fact_orders.read(spark).collect()) == ["A1", "A3"]
